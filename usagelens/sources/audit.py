@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from usagelens import schemas
+from usagelens.functions.binding import bind
 from usagelens.sources import envelopes
 
 # --- fixed values: event selection, and payload field -> column ---------------
@@ -57,7 +58,7 @@ _EVENT = f"array<struct<source: string, `detail-type`: string, detail: {_DETAIL}
 def read_audit_records(df: DataFrame, col: str = "data") -> DataFrame:
     """Decode delivered audit records: adds ``payload`` and ``event``."""
     decoded = envelopes.decode_envelopes(df, col)
-    return decoded.withColumn("event", envelopes._one_value(F.col("payload"), _EVENT))
+    return bind(decoded, event=envelopes.one_object(F.col("payload"), _EVENT))
 
 
 def filter_audit_feed(df: DataFrame) -> DataFrame:

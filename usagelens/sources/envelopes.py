@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from usagelens import schemas
+from usagelens.functions.binding import bind, let
 
 # --- fixed values -------------------------------------------------------------
 OK, DROPPED, FAILED = "Ok", "Dropped", "ProcessingFailed"
@@ -53,7 +54,7 @@ def _gunzip(data: Column) -> Column:
     return F.pandas_udf(inflate, T.BinaryType())(data)
 
 
-def _one_value(text: Column, schema: str) -> Column:
+def one_object(text: Column, schema: str) -> Column:
     """The struct in ``text`` when it holds exactly one JSON object, else NULL.
 
     Reading the text as a one-element array makes trailing garbage an error,
@@ -61,23 +62,25 @@ def _one_value(text: Column, schema: str) -> Column:
     """
     kept = F.when(F.ltrim(text).startswith("{") & F.rtrim(text).endswith("}"), text)
     values = F.from_json(F.concat(F.lit("["), kept, F.lit("]")), schema)
-    return F.when(F.size(values) == 1, values[0])
+    return let(values, lambda v: F.when(F.size(v) == 1, v[0]))
 
 
 def decode_envelopes(df: DataFrame, col: str = "data") -> DataFrame:
     """Add ``payload``: the record's JSON text, NULL when it cannot be decoded.
 
     Only gzipped bytes cross to Python; plain ones are decoded in the JVM.
+    Characters foreign to base64 are ignored, as lenient decoders do.
     """
-    raw = F.expr(f"try_to_binary(regexp_replace(`{col}`, '[^A-Za-z0-9+/=]', ''), 'base64')")
-    zipped = F.left(F.hex("_bytes"), F.lit(4)) == "1F8B"
+    raw = F.expr(
+        f"coalesce(try_to_binary(`{col}`, 'base64'),"
+        f" try_to_binary(regexp_replace(`{col}`, '[^A-Za-z0-9+/=]', ''), 'base64'))"
+    )
+    zipped = F.substring("_bytes", 1, 2) == F.unhex(F.lit("1F8B"))
+    text = F.coalesce(F.col("_inflated"), F.when(~zipped, F.col("_bytes"))).cast("string")
     return (
         df.withColumn("_bytes", raw)
         .withColumn("_inflated", _gunzip(F.when(zipped, F.col("_bytes"))))
-        .withColumn(
-            "payload",
-            F.try_validate_utf8(F.when(zipped, F.col("_inflated")).otherwise(F.col("_bytes")).cast("string")),
-        )
+        .withColumn("payload", F.try_validate_utf8(text))
         .drop("_bytes", "_inflated")
     )
 
@@ -86,23 +89,21 @@ def read_envelopes(df: DataFrame) -> DataFrame:
     """Add ``envelope`` (NULL when the payload is no JSON object) and ``kind``.
 
     ``kind`` is ``events``, ``control``, ``passthrough`` (JSON without log
-    events, delivered as it is) or ``unreadable``.
+    events, delivered as it is) or ``unreadable``. Payloads are parsed once; only
+    those without a list of events get a second look.
     """
     env = F.col("envelope")
-    keys = F.json_object_keys("payload")
     first = F.left(F.ltrim("payload"), F.lit(1))
+    has_key = F.array_contains(F.json_object_keys("payload"), "logEvents")
     kind = (
-        F.when(
-            env.isNotNull(),
-            F.when(~F.array_contains(keys, "logEvents"), "passthrough")
-            .when(env["messageType"] == CONTROL, "control")
-            .when(env["logEvents"].isNull(), "unreadable")
-            .otherwise("events"),
-        )
-        .when(first.isin("[", '"') & F.try_parse_json("payload").isNotNull(), "passthrough")
+        F.when(env["logEvents"].isNotNull(), F.when(env["messageType"] == CONTROL, "control").otherwise("events"))
+        .when(env.isNotNull() & ~has_key, "passthrough")
+        .when(env.isNotNull() & (env["messageType"] == CONTROL), "control")
+        .when(env.isNull() & first.isin("[", '"') & F.try_parse_json("payload").isNotNull(), "passthrough")
         .otherwise("unreadable")
     )
-    return df.withColumn("envelope", _one_value(F.col("payload"), _ENVELOPE)).withColumn("kind", kind)
+    parsed = bind(df, envelope=one_object(F.col("payload"), _ENVELOPE))
+    return parsed.withColumn("kind", kind)
 
 
 def drop_control(df: DataFrame) -> DataFrame:
@@ -146,27 +147,23 @@ def parse_message(df: DataFrame, table: str = "chat_logs", include_content: bool
     object has neither; :func:`conform_keys` gives it a reason.
     """
     message = F.col("message")
-    parsed = _one_value(message, _message_schema(_payload_fields(table, include_content)))
+    schema = _message_schema(_payload_fields(table, include_content))
     plain = F.col("fields").isNull() & F.try_parse_json(message).isNull()
-    return df.withColumn("fields", parsed).withColumn("raw_message", F.when(plain, message))
+    return bind(
+        bind(df, fields=one_object(message, schema)),
+        raw_message=F.when(plain, message),
+    )
 
 
-def _number(value: Column) -> Column:
-    """A JSON number (or boolean) as decimal; NULL for any other value."""
+def _whole(value: Column) -> Column:
+    """A JSON number (or boolean) rounded down; NULL for any other value."""
     numeric = F.schema_of_variant(value).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT|BOOLEAN)")
-    return F.when(numeric, F.try_variant_get(value, "$", "decimal(38,6)"))
+    return F.when(numeric, F.floor(F.try_variant_get(value, "$", "decimal(38,6)")).cast("bigint"))
 
 
-def _is_empty(value: Column) -> Column:
+def _not_given(value: Column) -> Column:
     """Missing, null, zero, false, '' and empty containers all mean "not given"."""
-    kind = F.schema_of_variant(value)
-    return (
-        value.isNull()
-        | F.is_variant_null(value)
-        | F.coalesce(_number(value) == 0, F.lit(False))
-        | ((kind == "STRING") & (F.try_variant_get(value, "$", "string") == ""))
-        | kind.isin("ARRAY<VOID>", "OBJECT<>")
-    )
+    return value.isNull() | F.to_json(value).isin("null", "0", "0.0", "false", '""', "[]", "{}")
 
 
 def event_seconds(event_time: Column, envelope_time: Column) -> Column:
@@ -175,12 +172,12 @@ def event_seconds(event_time: Column, envelope_time: Column) -> Column:
     The message's own time wins, in milliseconds above ten digits and in seconds
     otherwise. Only when it is absent does the envelope's (milliseconds) count.
     """
-    own = _number(event_time)
-    arrival = F.when(envelope_time.isNull(), F.lit(0).cast("decimal(38,6)")).otherwise(_number(envelope_time))
-    seconds = F.floor(
-        F.when(_is_empty(event_time), arrival / 1000).when(own > MILLIS_ABOVE, own / 1000).otherwise(own)
+    own = let(
+        _whole(event_time), lambda n: F.when(n > MILLIS_ABOVE, F.floor(n / 1000)).otherwise(n).cast("bigint")
     )
-    return F.when(seconds.between(_MIN_SECOND, _MAX_SECOND), seconds.cast("bigint"))
+    arrival = F.floor(F.when(envelope_time.isNull(), F.lit(0)).otherwise(_whole(envelope_time)) / 1000)
+    seconds = F.when(_not_given(event_time), arrival).otherwise(own)
+    return let(seconds, lambda s: F.when(s.between(_MIN_SECOND, _MAX_SECOND), s))
 
 
 def second_text(seconds: Column) -> Column:
@@ -198,11 +195,8 @@ def conform_keys(df: DataFrame, table: str = "chat_logs", include_content: bool
     """
     f = F.col("fields")
     own_time = f["event_timestamp"]
-    carried = [
-        c
-        for c in df.columns
-        if c not in ("log_group", "log_stream", "envelope_time", "message", "fields", "raw_message")
-    ]
+    used = ("log_group", "log_stream", "envelope_time", "message", "fields", "raw_message")
+    carried = [c for c in df.columns if c not in used]
     type_value = F.coalesce(f["logType"], f["log_type"])
     message_type = F.when(type_value.isNull(), UNKNOWN).otherwise(F.try_variant_get(type_value, "$", "string"))
     special = {
@@ -213,7 +207,8 @@ def conform_keys(df: DataFrame, table: str = "chat_logs", include_content: bool
     reason = F.when(f.isNull() & F.col("raw_message").isNull(), "not_an_object").when(
         F.col("_seconds").isNull(), "bad_event_time"
     )
-    return df.withColumn("_seconds", event_seconds(own_time, F.col("envelope_time"))).select(
+    timed = bind(df, _seconds=event_seconds(own_time, F.col("envelope_time")))
+    return timed.select(
         *carried,
         second_text(F.col("_seconds")).alias("timestamp"),
         "log_group",
@@ -254,9 +249,12 @@ _TIME_ONLY = "array<struct<event_timestamp: variant>>"
 
 def _event_survives(event: Column) -> Column:
     message = F.coalesce(event["message"], F.lit(""))
-    parsed = _one_value(message, _TIME_ONLY)
-    readable = parsed.isNotNull() | F.try_parse_json(message).isNull()
-    return readable & event_seconds(parsed["event_timestamp"], event["timestamp"]).isNotNull()
+
+    def outcome(parsed: Column) -> Column:
+        readable = parsed.isNotNull() | F.try_parse_json(message).isNull()
+        return readable & event_seconds(parsed["event_timestamp"], event["timestamp"]).isNotNull()
+
+    return let(one_object(message, _TIME_ONLY), outcome)
 
 
 def route_records(df: DataFrame) -> DataFrame:
