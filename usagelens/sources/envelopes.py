@@ -129,7 +129,7 @@ def explode_events(df: DataFrame) -> DataFrame:
 
 
 def _message_schema(fields: list[str]) -> str:
-    typed = ["logType: variant", "log_type: variant", "event_timestamp: variant"]
+    typed = ["logType: variant", "log_type: variant", "event_timestamp: bigint"]
     typed += ["accountId: string", "account_id: string"]
     typed += [f"`{f}`: string" for f in fields if f not in ("account_id", "event_timestamp")]
     return f"array<struct<{', '.join(typed)}>>"
@@ -166,17 +166,24 @@ def _not_given(value: Column) -> Column:
     return value.isNull() | F.to_json(value).isin("null", "0", "0.0", "false", '""', "[]", "{}")
 
 
-def event_seconds(event_time: Column, envelope_time: Column) -> Column:
+def event_seconds(event_time: Column, message: Column, envelope_time: Column) -> Column:
     """Epoch seconds of an event; NULL when neither source gives a usable number.
 
     The message's own time wins, in milliseconds above ten digits and in seconds
     otherwise. Only when it is absent does the envelope's (milliseconds) count.
+    ``event_time`` holds a plain whole number. A message that gives its time any
+    other way has it NULL here, and only then is the message looked at again.
     """
-    own = let(
-        _whole(event_time), lambda n: F.when(n > MILLIS_ABOVE, F.floor(n / 1000)).otherwise(n).cast("bigint")
-    )
-    arrival = F.floor(F.when(envelope_time.isNull(), F.lit(0)).otherwise(_whole(envelope_time)) / 1000)
-    seconds = F.when(_not_given(event_time), arrival).otherwise(own)
+
+    def scaled(n: Column) -> Column:
+        return F.when(n > MILLIS_ABOVE, F.floor(n / 1000)).otherwise(n).cast("bigint")
+
+    def odd(value: Column) -> Column:
+        arrival = F.floor(F.when(envelope_time.isNull(), F.lit(0)).otherwise(_whole(envelope_time)) / 1000)
+        return F.when(_not_given(value), arrival).otherwise(let(_whole(value), scaled))
+
+    given = F.try_variant_get(F.try_parse_json(message), "$.event_timestamp", "variant")
+    seconds = F.when(event_time != 0, scaled(event_time)).otherwise(let(given, odd))
     return let(seconds, lambda s: F.when(s.between(_MIN_SECOND, _MAX_SECOND), s))
 
 
@@ -194,20 +201,23 @@ def conform_keys(df: DataFrame, table: str = "chat_logs", include_content: bool
     for a usable event.
     """
     f = F.col("fields")
-    own_time = f["event_timestamp"]
     used = ("log_group", "log_stream", "envelope_time", "message", "fields", "raw_message")
     carried = [c for c in df.columns if c not in used]
     type_value = F.coalesce(f["logType"], f["log_type"])
     message_type = F.when(type_value.isNull(), UNKNOWN).otherwise(F.try_variant_get(type_value, "$", "string"))
+    # A time not given as a plain whole number is looked up again, for those rows only.
+    given = F.try_variant_get(F.try_parse_json("message"), "$.event_timestamp", "bigint")
     special = {
         "account_id": F.coalesce(f["accountId"], f["account_id"]),
-        "event_timestamp": F.try_variant_get(own_time, "$", "bigint"),
+        "event_timestamp": F.coalesce(f["event_timestamp"], given),
     }
     columns = [special.get(n, f[n]).alias(n) for n in _payload_fields(table, include_content)]
     reason = F.when(f.isNull() & F.col("raw_message").isNull(), "not_an_object").when(
         F.col("_seconds").isNull(), "bad_event_time"
     )
-    timed = bind(df, _seconds=event_seconds(own_time, F.col("envelope_time")))
+    timed = bind(
+        df, _seconds=event_seconds(f["event_timestamp"], F.col("message"), F.col("envelope_time"))
+    )
     return timed.select(
         *carried,
         second_text(F.col("_seconds")).alias("timestamp"),
@@ -244,7 +254,7 @@ def rejected(events: DataFrame) -> DataFrame:
     return events.filter("reason IS NOT NULL")
 
 
-_TIME_ONLY = "array<struct<event_timestamp: variant>>"
+_TIME_ONLY = "array<struct<event_timestamp: bigint>>"
 
 
 def _event_survives(event: Column) -> Column:
@@ -252,7 +262,7 @@ def _event_survives(event: Column) -> Column:
 
     def outcome(parsed: Column) -> Column:
         readable = parsed.isNotNull() | F.try_parse_json(message).isNull()
-        return readable & event_seconds(parsed["event_timestamp"], event["timestamp"]).isNotNull()
+        return readable & event_seconds(parsed["event_timestamp"], message, event["timestamp"]).isNotNull()
 
     return let(one_object(message, _TIME_ONLY), outcome)
 
