@@ -63,13 +63,23 @@ def click_through_many(details: DataFrame, selection: DataFrame) -> DataFrame:
 
 
 def drill_down(
-    df: DataFrame, path: Sequence[str], measures: Sequence[Column], grain: str = "DAY"
+    df: DataFrame, path: Sequence[str], column: str, agg: str, name: str, grain: str = "DAY"
 ) -> DataFrame:
     """Every level of a drill path at once, with ``level`` 0 for the total.
 
     A level's rows have the columns below it NULL; ``level`` tells such a NULL
-    from one in the data.
+    from one in the data. A rollup repeats its input once per level, so the rows
+    are first reduced to the finest level: to its distinct values for a distinct
+    count, to its partial results for a count, sum, maximum or minimum.
     """
     keys = [aggregate.dimension(c, grain) for c in path]
-    depth = F.lit(len(path)) - F.bit_count(F.grouping_id())
-    return df.rollup(*keys).agg(depth.cast("int").alias("level"), *measures)
+    names = [grain.lower() if c == aggregate.DATE_COLUMN else c for c in path]
+    value = "_value"
+    if agg == "DISTINCT_COUNT":
+        finest = df.select(*keys, F.col(column).alias(value)).distinct()
+        total = F.count_distinct(value)
+    else:
+        finest = df.groupBy(*keys).agg(aggregate.measure(column, agg, value))
+        total = {"COUNT": F.sum, "SUM": F.sum, "MAX": F.max, "MIN": F.min}[agg](value)
+    depth = F.lit(len(names)) - F.bit_count(F.grouping_id())
+    return finest.rollup(*names).agg(depth.cast("int").alias("level"), total.alias(name))

@@ -185,4 +185,4 @@ def drill(df: DataFrame, key: str) -> DataFrame:
     """All levels of a visual's drill path."""
     spec = VISUALS[key]
     column, agg, name = spec.measure
-    return interact.drill_down(df, spec.drill, [catalog.measure(spec.dataset, column, agg, name)])
+    return interact.drill_down(df, spec.drill, column, agg, name)

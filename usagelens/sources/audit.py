@@ -111,6 +111,11 @@ def route_audit_records(df: DataFrame) -> DataFrame:
     )
 
 
+def invalid(read: DataFrame) -> DataFrame:
+    """Records that are no audit event."""
+    return read.filter(~_is_valid())
+
+
 def flatten_audit(df: DataFrame, ingest_date: Column, carry: Sequence[str] = ()) -> DataFrame:
     """Decoded audit events to the table's 25 columns and the partition keys.
 

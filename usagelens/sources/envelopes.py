@@ -289,6 +289,11 @@ def passthrough(df: DataFrame) -> DataFrame:
     return read_envelopes(decode_envelopes(df)).filter("kind = 'passthrough'").drop("envelope", "kind")
 
 
+def unreadable(df: DataFrame) -> DataFrame:
+    """Records that end as ProcessingFailed; no message is parsed to tell."""
+    return read_envelopes(decode_envelopes(df)).filter("kind = 'unreadable'").select(*df.columns)
+
+
 def select_record_fields(df: DataFrame, log_type: str, include_content: bool = False) -> DataFrame:
     """The fields a log type delivers, in delivery order."""
     names = list(schemas.RECORD_FIELDS[log_type])

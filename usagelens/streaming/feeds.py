@@ -51,17 +51,8 @@ def _trigger(continuous: bool) -> dict:
 
 
 def _deliver(records: DataFrame, write, checkpoint: str, continuous: bool) -> StreamingQuery:
-    """Run ``write(batch, batch_id)`` per batch, over a batch read once."""
-
-    def deliver(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            write(batch, batch_id)
-        finally:
-            batch.unpersist()
-
     return (
-        records.writeStream.foreachBatch(deliver)
+        records.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**_trigger(continuous))
         .start()
@@ -80,17 +71,21 @@ def ingest_logs(
     """Stream a log feed into its landing folders, failures into the error prefix.
 
     Every write of a batch goes to folders named by the batch id and replaces
-    them, so a batch that is retried leaves nothing twice.
+    them, so a batch that is retried leaves nothing twice. Messages are parsed
+    once: good and rejected events are written from the same kept rows.
     """
     prefix = schemas.feed(table).prefix
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        events = envelopes.transform_log_records(batch, table, include_content)
-        _write_batch(envelopes.usable(events).drop("record_id"), f"{root}/{prefix}", batch_id)
-        failed = envelopes.route_records(batch).filter(F.col("result") == envelopes.FAILED)
-        _write_errors(failed.select("record_id", "data", "kind"), root, table, "records", batch_id)
-        lost = envelopes.rejected(events).select("record_id", "reason", "rejected_message")
-        _write_errors(lost, root, table, "events", batch_id)
+        events = envelopes.transform_log_records(batch, table, include_content).persist()
+        try:
+            _write_batch(envelopes.usable(events).drop("record_id"), f"{root}/{prefix}", batch_id)
+            lost = envelopes.rejected(events).select("record_id", "reason", "rejected_message")
+            _write_errors(lost, root, table, "events", batch_id)
+        finally:
+            events.unpersist()
+        failed = envelopes.unreadable(batch).select("record_id", "data")
+        _write_errors(failed, root, table, "records", batch_id)
 
     return _deliver(with_arrival(records, ingest_date), write, checkpoint, continuous)
 
@@ -106,12 +101,14 @@ def ingest_audit(
     prefix = schemas.PREFIXES["cloudtrail_events"]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        flat = audit.flatten_audit(
-            audit.filter_audit_feed(audit.read_audit_records(batch)), F.col("arrival"), carry=["arrival"]
-        )
-        _write_batch(flat, f"{root}/{prefix}", batch_id)
-        failed = audit.route_audit_records(batch).filter(F.col("result") == envelopes.FAILED)
-        _write_errors(failed.drop("arrival"), root, "cloudtrail_events", "records", batch_id)
+        read = audit.read_audit_records(batch).persist()
+        try:
+            flat = audit.flatten_audit(audit.filter_audit_feed(read), F.col("arrival"), carry=["arrival"])
+            _write_batch(flat, f"{root}/{prefix}", batch_id)
+            failed = audit.invalid(read).select("record_id", "data")
+            _write_errors(failed, root, "cloudtrail_events", "records", batch_id)
+        finally:
+            read.unpersist()
 
     return _deliver(with_arrival(records, ingest_date), write, checkpoint, continuous)
 

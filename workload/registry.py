@@ -740,9 +740,11 @@ def _(x):
 def _(x):
     root = _streamed(x)
     errors = f"{root}/{schemas.ERROR_PREFIX}/chat_logs"
-    records = x.spark.read.schema("record_id string, kind string").json(f"{errors}/records")
+    records = x.spark.read.schema("record_id string, data string").json(f"{errors}/records")
     events = x.spark.read.schema("record_id string, reason string").json(f"{errors}/events")
-    return records.select("record_id", F.col("kind").alias("reason")).unionByName(events.select("record_id", "reason"))
+    return records.select("record_id", F.lit("unreadable").alias("reason")).unionByName(
+        events.select("record_id", "reason")
+    )
 
 
 @query("p4_scheduled_refresh")
