@@ -65,6 +65,13 @@ def one_object(text: Column, schema: str) -> Column:
     return let(values, lambda v: F.when(F.size(v) == 1, v[0]))
 
 
+def _is_other_json(text: Column) -> Column:
+    """True for exactly one JSON value that is not an object."""
+    values = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "$", "array<variant>")
+    one = F.coalesce(let(values, lambda v: F.size(v) == 1), F.lit(False))
+    return F.when(F.ltrim(text).startswith("{"), False).otherwise(one)
+
+
 def decode_envelopes(df: DataFrame, col: str = "data") -> DataFrame:
     """Add ``payload``: the record's JSON text, NULL when it cannot be decoded.
 
@@ -99,7 +106,7 @@ def read_envelopes(df: DataFrame) -> DataFrame:
         F.when(env["logEvents"].isNotNull(), F.when(env["messageType"] == CONTROL, "control").otherwise("events"))
         .when(env.isNotNull() & ~has_key, "passthrough")
         .when(env.isNotNull() & (env["messageType"] == CONTROL), "control")
-        .when(env.isNull() & first.isin("[", '"') & F.try_parse_json("payload").isNotNull(), "passthrough")
+        .when(env.isNull() & first.isin("[", '"') & _is_other_json(F.col("payload")), "passthrough")
         .otherwise("unreadable")
     )
     parsed = bind(df, envelope=one_object(F.col("payload"), _ENVELOPE))
@@ -148,7 +155,7 @@ def parse_message(df: DataFrame, table: str = "chat_logs", include_content: bool
     """
     message = F.col("message")
     schema = _message_schema(_payload_fields(table, include_content))
-    plain = F.col("fields").isNull() & F.try_parse_json(message).isNull()
+    plain = F.col("fields").isNull() & ~_is_other_json(message)
     return bind(
         bind(df, fields=one_object(message, schema)),
         raw_message=F.when(plain, message),
@@ -261,7 +268,7 @@ def _event_survives(event: Column) -> Column:
     message = F.coalesce(event["message"], F.lit(""))
 
     def outcome(parsed: Column) -> Column:
-        readable = parsed.isNotNull() | F.try_parse_json(message).isNull()
+        readable = parsed.isNotNull() | ~_is_other_json(message)
         return readable & event_seconds(parsed["event_timestamp"], message, event["timestamp"]).isNotNull()
 
     return let(one_object(message, _TIME_ONLY), outcome)
