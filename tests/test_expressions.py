@@ -168,6 +168,9 @@ def test_masking(spark):
         "api_key = abcdefghijklmnop1234": "[SECRET_KEY]",
         "-----BEGIN RSA PRIVATE KEY-----\nabc\n-----END RSA PRIVATE KEY-----": "[PRIVATE_KEY]",
         "nothing 12-34": "nothing 12-34",
+        "end bob@x.example.org. Next a@b.com.x1": "end [EMAIL]. Next [EMAIL].x1",
+        "-bob@x.com, @x.com, a@b": "[EMAIL], @x.com, a@b",
+        "both bob@x.com and 10.1.2.3 and 123-45-6789": "both [EMAIL] and [IPV4] and [SSN_US]",
         None: None,
     }
     assert values(spark, cases, masking.mask) == list(cases.values())
@@ -177,3 +180,11 @@ def test_masking(spark):
 @given(st.lists(st.text(alphabet="ab/-é ", max_size=12), min_size=1, max_size=30))
 def test_short_name_agrees_with_python(spark, texts):
     assert values(spark, texts, E.short_name) == [t.rsplit("/", 1)[-1] for t in texts]
+
+
+def test_masking_stays_linear_on_hostile_text(spark):
+    """Long runs that invite backtracking finish, and text around them is masked."""
+    runs = ["a-" * 200_000, "a." * 200_000, "1" * 400_000, "1 " * 200_000, "a@" * 100_000]
+    texts = [f"x@y.com {run} bob@x.com" for run in runs]
+    got = values(spark, texts, masking.mask)
+    assert all(t.startswith("[EMAIL] ") and t.endswith("[EMAIL]") for t in got)

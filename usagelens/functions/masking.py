@@ -5,34 +5,68 @@ The patterns are ours and openly stated.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from itertools import groupby
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from usagelens.functions.binding import let
+
 # Edges of an ASCII word. Java's own word boundary also counts accented letters,
 # which would hide a number that follows one.
 _START, _END = "(?<![0-9A-Za-z_])", "(?![0-9A-Za-z_])"
 
 # Applied in this order: long, specific shapes first, so that a shorter pattern
-# cannot eat part of a longer one.
+# cannot eat part of a longer one. Every pattern is linear in the text: starts
+# are anchored, and repeats are possessive, bounded or of one fixed length.
 PATTERNS = {
     "PRIVATE_KEY": "-----BEGIN [A-Z ]*PRIVATE KEY( BLOCK)?-----[^-]*(-----END [A-Z ]*PRIVATE KEY( BLOCK)?-----)?",
     "ACCESS_KEY": f"{_START}(AKIA|ASIA)[0-9A-Z]{{16}}{_END}",
     "SECRET_KEY": f"{_START}(aws_secret_access_key|secret_key|api_key) *[=:] *[A-Za-z0-9/+=_-]{{16,}}",
-    "EMAIL": f"{_START}[0-9A-Za-z_][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+([.][A-Za-z0-9-]+)*[.][A-Za-z]{{2,}}{_END}",
+    "EMAIL": "(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+([.][A-Za-z0-9-]+){0,126}[.][A-Za-z]{2,}" + _END,
     "CARD": f"{_START}[0-9]{{4}}[ -]?[0-9]{{4}}[ -]?[0-9]{{4}}[ -]?[0-9]{{4}}{_END}",
     "SSN_US": f"{_START}[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}{_END}",
     "PHONE_US": f"([+]1[ .-]?)?([(][0-9]{{3}}[)] ?|{_START}[0-9]{{3}}[ .-])[0-9]{{3}}[ .-][0-9]{{4}}{_END}",
     "IPV4": f"{_START}[0-9]{{1,3}}[.][0-9]{{1,3}}[.][0-9]{{1,3}}[.][0-9]{{1,3}}{_END}",
 }
+# What a text must hold for a pattern to match at all. Looking for that is much
+# cheaper than the pattern, and most texts hold none of it.
+_FRAGMENTS = {
+    "PRIVATE_KEY": ["PRIVATE KEY"],
+    "ACCESS_KEY": ["AKIA", "ASIA"],
+    "SECRET_KEY": ["_key"],
+    "EMAIL": ["@"],
+}
+_DIGITS = "[0-9]{3}|[0-9][.][0-9]"
+
 
+def _may_match(text: Column, name: str) -> Column:
+    if name not in _FRAGMENTS:
+        return text.rlike(_DIGITS)
+    return reduce(Column.__or__, [text.contains(f) for f in _FRAGMENTS[name]])
 
-def mask(text: Column, names: list[str] | None = None) -> Column:
+
+def mask(text: Column, names: Sequence[str] | None = None) -> Column:
     """Replace each match by ``[NAME]``; the whole text is searched."""
-    for name in PATTERNS if names is None else names:
-        text = F.regexp_replace(text, PATTERNS[name], f"[{name}]")
+
+    def guarded(group: list[str]):
+        def replace(found: Column) -> Column:
+            masked = found
+            for name in group:
+                masked = F.regexp_replace(masked, PATTERNS[name], f"[{name}]")
+            return F.when(_may_match(found, group[0]), masked).otherwise(found)
+
+        return replace
+
+    # Neighbours that need the same thing are guarded together.
+    for _, group in groupby(PATTERNS if names is None else names, lambda n: tuple(_FRAGMENTS.get(n, ()))):
+        text = let(text, guarded(list(group)))
     return text
 
 
 def hits(text: Column, name: str) -> Column:
     """How often a pattern occurs in the text as it stands."""
-    return F.regexp_count(text, F.lit(PATTERNS[name]))
+    found = F.regexp_count(text, F.lit(PATTERNS[name]))
+    return F.when(_may_match(text, name), found).when(text.isNotNull(), 0)

@@ -248,7 +248,7 @@ _RE2 = {
     "PRIVATE_KEY": r"-----BEGIN [A-Z ]*PRIVATE KEY( BLOCK)?-----[^-]*(-----END [A-Z ]*PRIVATE KEY( BLOCK)?-----)?",
     "ACCESS_KEY": r"\b(AKIA|ASIA)[0-9A-Z]{16}\b",
     "SECRET_KEY": r"\b(aws_secret_access_key|secret_key|api_key) *[=:] *[A-Za-z0-9/+=_-]{16,}",
-    "EMAIL": r"\b\w[A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}\b",
+    "EMAIL": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+){0,126}\.[A-Za-z]{2,}\b",
     "CARD": r"\b\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{4}\b",
     "SSN_US": r"\b\d{3}-\d{2}-\d{4}\b",
     "PHONE_US": r"(\+1[ .-]?)?(\(\d{3}\) ?|\b\d{3}[ .-])\d{3}[ .-]\d{4}\b",
