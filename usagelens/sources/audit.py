@@ -57,7 +57,7 @@ _EVENT = f"array<struct<source: string, `detail-type`: string, detail: {_DETAIL}
 
 def read_audit_records(df: DataFrame, col: str = "data") -> DataFrame:
     """Decode delivered audit records: adds ``payload`` and ``event``."""
-    decoded = envelopes.decode_envelopes(df, col)
+    decoded = envelopes.decode_plain(df, col)
     return bind(decoded, event=envelopes.one_object(F.col("payload"), _EVENT))
 
 
@@ -69,11 +69,12 @@ def filter_audit_feed(df: DataFrame) -> DataFrame:
 
 def resource_type(resources: Column) -> Column:
     """Type of the first resource, after the last ``::``; '' without one."""
-    return F.coalesce(F.substring_index(F.get_json_object(resources, "$[0].type"), "::", -1), F.lit(""))
+    kind = F.get_json_object(F.nullif(resources, F.lit("[]")), "$[0].type")
+    return F.coalesce(F.substring_index(kind, "::", -1), F.lit(""))
 
 
 def resource_arn(resources: Column) -> Column:
-    return F.coalesce(F.get_json_object(resources, "$[0].ARN"), F.lit(""))
+    return F.coalesce(F.get_json_object(F.nullif(resources, F.lit("[]")), "$[0].ARN"), F.lit(""))
 
 
 def event_day(text: Column, fallback: Column) -> Column:
@@ -124,11 +125,13 @@ def flatten_audit(df: DataFrame, ingest_date: Column, carry: Sequence[str] = ())
     an event whose time cannot be read, so that a re-run gives the same rows.
     """
     detail = F.col("event")["detail"]
-    keys = F.json_object_keys(F.get_json_object("payload", "$.detail"))
     blank = F.lit("")
+    # Only a fragment that is not there needs to know whether it was given as null.
+    incomplete = F.coalesce(*[F.when(detail[k].isNull(), True) for k in FRAGMENT_FIELDS.values()])
+    keys = F.when(incomplete, F.json_object_keys(F.get_json_object("payload", "$.detail")))
 
     def fragment(name: str) -> Column:
-        absent = F.when(F.array_contains(keys, name), "null").otherwise("{}")
+        absent = F.when(F.array_contains("_keys", name), "null").otherwise("{}")
         return F.coalesce(detail[name], absent)
 
     resources = F.coalesce(detail["resources"], F.lit("[]"))
@@ -144,7 +147,7 @@ def flatten_audit(df: DataFrame, ingest_date: Column, carry: Sequence[str] = ())
     names = schemas.feed("cloudtrail_events").data.fieldNames()
     day = event_day(F.col("timestamp"), F.col("_ingest_date"))
     return (
-        df.filter(_is_valid())
+        bind(df.filter(_is_valid()), _keys=keys)
         .select(*[made[n].alias(n) for n in names], ingest_date.alias("_ingest_date"), *carry)
         .select(*names, *partition_keys(day), *carry)
     )

@@ -72,20 +72,28 @@ def _is_other_json(text: Column) -> Column:
     return F.when(F.ltrim(text).startswith("{"), False).otherwise(one)
 
 
+def _base64(col: str) -> Column:
+    """Bytes of base64 text; characters foreign to it are ignored, as lenient decoders do."""
+    return F.expr(
+        f"coalesce(try_to_binary(`{col}`, 'base64'),"
+        f" try_to_binary(regexp_replace(`{col}`, '[^A-Za-z0-9+/=]', ''), 'base64'))"
+    )
+
+
+def decode_plain(df: DataFrame, col: str = "data") -> DataFrame:
+    """Add ``payload`` of records that are never gzipped: no Python at all."""
+    return df.withColumn("payload", F.try_validate_utf8(_base64(col).cast("string")))
+
+
 def decode_envelopes(df: DataFrame, col: str = "data") -> DataFrame:
     """Add ``payload``: the record's JSON text, NULL when it cannot be decoded.
 
     Only gzipped bytes cross to Python; plain ones are decoded in the JVM.
-    Characters foreign to base64 are ignored, as lenient decoders do.
     """
-    raw = F.expr(
-        f"coalesce(try_to_binary(`{col}`, 'base64'),"
-        f" try_to_binary(regexp_replace(`{col}`, '[^A-Za-z0-9+/=]', ''), 'base64'))"
-    )
     zipped = F.substring("_bytes", 1, 2) == F.unhex(F.lit("1F8B"))
     text = F.coalesce(F.col("_inflated"), F.when(~zipped, F.col("_bytes"))).cast("string")
     return (
-        df.withColumn("_bytes", raw)
+        df.withColumn("_bytes", _base64(col))
         .withColumn("_inflated", _gunzip(F.when(zipped, F.col("_bytes"))))
         .withColumn("payload", F.try_validate_utf8(text))
         .drop("_bytes", "_inflated")
