@@ -114,6 +114,20 @@ def test_curate_all(spark, landed):
     assert spark.table("feedback_logs").count() == 4
 
 
+def test_publish_replaces_external_tables_only(spark, landed):
+    lake.curate_all(spark, landed, f"{landed}/one")
+    lake.curate_all(spark, landed, f"{landed}/two")
+    lake.overwrite_partitions(feedback(spark, ("new", 2024, 1, 5)), f"{landed}/two/feedback_logs")
+    for root, expected in (("one", "a"), ("two", "new"), ("one", "a")):
+        lake.publish(spark, "published", f"{landed}/{root}")
+        df = spark.table("published.feedback_logs").filter("year = 2024 AND month = 1 AND day = 5")
+        assert [u[0] for u in users(df)] == [expected]
+    spark.sql(f"CREATE DATABASE managed LOCATION '{landed}/managed'")
+    spark.range(1).write.saveAsTable("managed.chat_logs")
+    with pytest.raises(ValueError):
+        lake.publish(spark, "managed", f"{landed}/one")
+
+
 def test_content_columns_follow_the_opt_in(spark, folder):
     assert schemas.feed("chat_logs", True).data.names[-2:] == list(schemas.SENSITIVE)
     lake.create_table(spark, folder, "chat_logs", include_content=True)

@@ -306,3 +306,18 @@ def test_metrics_scan_only_the_columns_they_use(spark, folder):
     read = plan.split("ReadSchema: struct<")[1].split(">")[0]
     assert read == "timestamp:string,user_arn:string"
     assert "IsNotNull(timestamp)" in plan
+
+
+def test_latency_and_its_percentiles(spark):
+    rows = [row(1, latency=str(i), time_to_first_token="") for i in range(1, 101)] + [row(1, latency="-")]
+    data = datasets.chat_activity(chat(spark, *rows))
+    got = insights.latency_percentiles(data).first()
+    assert (got.p50_latency_ms, got.p95_latency_ms) == (50.0, 95.0)
+    mean = insights.latency(data).first()
+    assert (mean.avg_latency_ms, mean.avg_time_to_first_token_ms, mean.measured) == (50.5, None, 100)
+
+
+def test_sketched_distinct_count_is_close(spark):
+    df = spark.range(20000).select((F.col("id") % 7000).alias("k"))
+    got = aggregate.metric(df, [aggregate.measure("k", "APPROX_DISTINCT_COUNT", "n")]).first().n
+    assert got == pytest.approx(7000, rel=0.15)

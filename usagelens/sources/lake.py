@@ -186,6 +186,30 @@ def use_curated(spark: SparkSession, curated_root: str, include_content: bool =
     )
 
 
+def publish(
+    spark: SparkSession, database: str, curated_root: str, include_content: bool = False
+) -> None:
+    """Give the curated tables names in a catalog database, over the files they have.
+
+    An external table that already holds a name (say, one over landed JSON) makes
+    way; its files stay. A managed table is never dropped: that would delete data.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{curated_root}'")
+    for table in schemas.TABLES:
+        name, path = f"`{database}`.`{table}`", create_table(spark, curated_root, table, include_content)
+        if spark.catalog.tableExists(f"{database}.{table}"):
+            if spark.catalog.getTable(f"{database}.{table}").tableType != "EXTERNAL":
+                raise ValueError(f"{database}.{table} is not an external table")
+            spark.sql(f"DROP TABLE {name}")
+        fields = schemas.feed(table, include_content).schema.fields
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+        spark.sql(
+            f"CREATE TABLE {name} ({columns}) USING parquet"
+            f" PARTITIONED BY ({', '.join(schemas.PARTITION_COLUMNS)}) LOCATION '{path}'"
+        )
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+
+
 def refresh_dataset(df: DataFrame, path: str) -> None:
     """Materialize a dataset, replacing its last snapshot.
 

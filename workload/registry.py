@@ -328,8 +328,12 @@ def _(x):
 
 @query("d7_by_database")
 def _(x):
-    x.table("agent_hours_logs").createOrReplaceTempView("agent_hours_logs")
-    return datasets.dataset(x.spark, "agent-hours-usage").groupBy("service").agg(F.sum("hours").alias("hours"))
+    curated = x.scratch("curated")
+    lake.overwrite_partitions(x.table("agent_hours_logs"), lake.create_table(x.spark, curated, "agent_hours_logs"))
+    database = f"usage_{curated[-32:]}"
+    lake.publish(x.spark, database, curated)
+    named = datasets.dataset(x.spark, "agent-hours-usage", database)
+    return named.groupBy("service").agg(F.sum("hours").alias("hours"))
 
 
 # --- F: expressions -------------------------------------------------------------------
