@@ -104,9 +104,66 @@ def any_day(days: Iterable[dt.date]) -> Column:
     return (y * 10000 + m * 100 + d).isin([t.year * 10000 + t.month * 100 + t.day for t in days])
 
 
+def range_folders(start: dt.date, end: dt.date) -> list[str]:
+    """The fewest folders that hold the days from ``start`` to ``end``.
+
+    Whole years and months are named by one folder; years outside the supported
+    span by none.
+    """
+    start = max(start, dt.date(schemas.FIRST_YEAR, 1, 1))
+    end = min(end, dt.date(schemas.LAST_YEAR, 12, 31))
+    folders, day = [], start
+    while day <= end:
+        next_year = dt.date(day.year + 1, 1, 1)
+        next_month = (day.replace(day=1) + dt.timedelta(days=32)).replace(day=1)
+        if day.day == day.month == 1 and next_year - dt.timedelta(days=1) <= end:
+            folders.append(f"year={day.year}")
+            day = next_year
+        elif day.day == 1 and next_month - dt.timedelta(days=1) <= end:
+            folders.append(f"year={day.year}/month={day.month:02d}")
+            day = next_month
+        else:
+            folders.append(_day_folder(day))
+            day += dt.timedelta(days=1)
+    return folders
+
+
+def _day_folder(day: dt.date) -> str:
+    return f"year={day.year}/month={day.month:02d}/day={day.day:02d}"
+
+
+def _read_folders(spark: SparkSession, root: str, table: str, folders: list[str]) -> DataFrame:
+    """Landed rows below some day folders; the rest of the feed is not even listed."""
+    feed = schemas.feed(table)
+    base = _path(root, feed.prefix)
+    try:
+        if not folders:
+            raise FileNotFoundError
+        reader = spark.read.schema(feed.schema).option("basePath", base)
+        # One pattern, so that days without data do not count as missing paths.
+        df = reader.json(f"{base}/{{{','.join(folders)}}}" if len(folders) > 1 else f"{base}/{folders[0]}")
+    except FileNotFoundError:
+        df = spark.createDataFrame([], feed.schema)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        df = spark.createDataFrame([], feed.schema)
+    return df.select(*feed.schema.fieldNames())
+
+
 def read_range(spark: SparkSession, root: str, table: str, start: dt.date, end: dt.date) -> DataFrame:
-    """Landed rows of a day range; folders outside it are not opened."""
-    return read_raw(spark, root, table).filter(day_range(start, end))
+    """Landed rows of a day range; folders outside it are neither listed nor opened.
+
+    The folders follow from the range, so the cost of finding files grows with
+    the range and not with the history of the feed.
+    """
+    return _read_folders(spark, root, table, range_folders(start, end)).filter(day_range(start, end))
+
+
+def read_days(spark: SparkSession, root: str, table: str, days: Iterable[dt.date]) -> DataFrame:
+    """Landed rows of some days, found as in :func:`read_range`."""
+    days = sorted(days)
+    return _read_folders(spark, root, table, [_day_folder(d) for d in days]).filter(any_day(days))
 
 
 def ensure_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -124,10 +181,15 @@ def ensure_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[conform(field) for field in schema.fields])
 
 
-def overwrite_partitions(df: DataFrame, path: str) -> None:
-    """Replace the days ``df`` holds and keep all others: a re-run changes nothing."""
+def overwrite_partitions(df: DataFrame, path: str, compacted: bool = True) -> None:
+    """Replace the days ``df`` holds and keep all others: a re-run changes nothing.
+
+    Compacting shuffles the rows once, which many small landed files are worth.
+    Turn it off where landed files are large already: then nothing is shuffled
+    and each task writes the days of the files it read.
+    """
     (
-        compact(df)
+        (compact(df) if compacted else df)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
@@ -156,14 +218,20 @@ def create_table(spark: SparkSession, root: str, table: str, include_content: bo
 
 
 def curate(
-    spark: SparkSession, raw_root: str, curated_root: str, table: str, include_content: bool = False
+    spark: SparkSession,
+    raw_root: str,
+    curated_root: str,
+    table: str,
+    include_content: bool = False,
+    compacted: bool = True,
 ) -> bool:
     """Conform one feed's landed rows into its table; False when it has none."""
     path = create_table(spark, curated_root, table, include_content)
     raw = read_raw_or_none(spark, raw_root, table, include_content)
     if raw is None:
         return False
-    overwrite_partitions(ensure_columns(raw, schemas.feed(table, include_content).schema), path)
+    conformed = ensure_columns(raw, schemas.feed(table, include_content).schema)
+    overwrite_partitions(conformed, path, compacted)
     return True
 
 

@@ -17,11 +17,9 @@ from pyspark.sql.streaming import StreamingQuery
 from usagelens import schemas
 from usagelens.sources import audit, envelopes, lake
 
-# --- fixed values: how long and how much a delivery buffers ---------------------
+# --- fixed value: how long a delivery buffers -----------------------------------
 BUFFER_SECONDS = 900
-BUFFER_BYTES = 128 * 1024 * 1024
-REFRESH_MINUTES = 30
-# --- end of fixed values --------------------------------------------------------
+# --- end of fixed value ---------------------------------------------------------
 
 RECORDS = "record_id string, data string"
 FILE_LISTING = [
@@ -32,9 +30,17 @@ FILE_LISTING = [
 ]
 
 
-def read_records(spark: SparkSession, path: str, max_bytes: int = BUFFER_BYTES) -> DataFrame:
-    """Delivered records as a stream of JSON-lines files."""
-    return spark.readStream.schema(RECORDS).option("maxBytesPerTrigger", str(max_bytes)).json(path)
+def read_records(spark: SparkSession, path: str, max_bytes: int | None = None) -> DataFrame:
+    """Delivered records as a stream of JSON-lines files.
+
+    A batch takes all that has come since the last one; ``max_bytes`` bounds it,
+    for working off a backlog in steps. Spark's input splits (128 MB by default)
+    set how much one written file holds.
+    """
+    reader = spark.readStream.schema(RECORDS)
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes))
+    return reader.json(path)
 
 
 def with_arrival(records: DataFrame, ingest_date: dt.date | None = None) -> DataFrame:
@@ -145,7 +151,7 @@ def refresh_curated(
         # Calendar days: a short list, which prunes the folders read below.
         touched = [dt.date(*row) for row in batch.select(*schemas.PARTITION_COLUMNS).distinct().collect()]
         if touched:
-            raw = lake.read_raw(spark, raw_root, table).filter(lake.any_day(touched))
+            raw = lake.read_days(spark, raw_root, table, touched)
             lake.overwrite_partitions(lake.ensure_columns(raw, feed.schema), path)
 
     return (
