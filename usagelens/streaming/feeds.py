@@ -8,6 +8,7 @@ executor can reach; a restarted query goes on from there.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,8 +58,14 @@ def _trigger(continuous: bool) -> dict:
 
 
 def _deliver(records: DataFrame, write, checkpoint: str, continuous: bool) -> StreamingQuery:
+    """Call ``write(batch, name)`` per batch, under a name only a retry uses again.
+
+    Batch numbers start over with a new checkpoint, so the name also tells the
+    checkpoint: a second query into the same folders adds to the first's rows.
+    """
+    query = hashlib.sha256(checkpoint.encode()).hexdigest()[:8]
     return (
-        records.writeStream.foreachBatch(write)
+        records.writeStream.foreachBatch(lambda batch, number: write(batch, f"{query}-{number}"))
         .option("checkpointLocation", checkpoint)
         .trigger(**_trigger(continuous))
         .start()
@@ -76,22 +83,22 @@ def ingest_logs(
 ) -> StreamingQuery:
     """Stream a log feed into its landing folders, failures into the error prefix.
 
-    Every write of a batch goes to folders named by the batch id and replaces
+    Every write of a batch goes to folders named after the batch and replaces
     them, so a batch that is retried leaves nothing twice. Messages are parsed
     once: good and rejected events are written from the same kept rows.
     """
     prefix = schemas.feed(table).prefix
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, name: str) -> None:
         events = envelopes.transform_log_records(batch, table, include_content).persist()
         try:
-            _write_batch(envelopes.usable(events).drop("record_id"), f"{root}/{prefix}", batch_id)
+            _write_batch(envelopes.usable(events).drop("record_id"), f"{root}/{prefix}", name)
             lost = envelopes.rejected(events).select("record_id", "reason", "rejected_message")
-            _write_errors(lost, root, table, "events", batch_id)
+            _write_errors(lost, root, table, "events", name)
         finally:
             events.unpersist()
         failed = envelopes.unreadable(batch).select("record_id", "data")
-        _write_errors(failed, root, table, "records", batch_id)
+        _write_errors(failed, root, table, "records", name)
 
     return _deliver(with_arrival(records, ingest_date), write, checkpoint, continuous)
 
@@ -106,29 +113,29 @@ def ingest_audit(
     """Stream the audit feed into its landing folders, failures into the error prefix."""
     prefix = schemas.PREFIXES["cloudtrail_events"]
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, name: str) -> None:
         read = audit.read_audit_records(batch).persist()
         try:
             flat = audit.flatten_audit(audit.filter_audit_feed(read), F.col("arrival"), carry=["arrival"])
-            _write_batch(flat, f"{root}/{prefix}", batch_id)
+            _write_batch(flat, f"{root}/{prefix}", name)
             failed = audit.invalid(read).select("record_id", "data")
-            _write_errors(failed, root, "cloudtrail_events", "records", batch_id)
+            _write_errors(failed, root, "cloudtrail_events", "records", name)
         finally:
             read.unpersist()
 
     return _deliver(with_arrival(records, ingest_date), write, checkpoint, continuous)
 
 
-def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
+def _write_batch(df: DataFrame, path: str, name: str) -> None:
     """One batch into the folder of its arrival day, and in it of its batch."""
-    placed = lake.place(df, F.col("arrival")).drop("arrival").withColumn("batch", F.lit(batch_id))
+    placed = lake.place(df, F.col("arrival")).drop("arrival").withColumn("batch", F.lit(name))
     lake.landing_writer(placed, ["batch"]).mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).save(path)
 
 
-def _write_errors(df: DataFrame, root: str, table: str, kind: str, batch_id: int) -> None:
-    path = f"{root}/{schemas.ERROR_PREFIX}/{table}/{kind}/batch={batch_id}"
+def _write_errors(df: DataFrame, root: str, table: str, kind: str, name: str) -> None:
+    path = f"{root}/{schemas.ERROR_PREFIX}/{table}/{kind}/batch={name}"
     df.write.mode("overwrite").option("compression", "gzip").json(path)
 
 

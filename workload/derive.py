@@ -14,13 +14,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from usagelens import schemas
-from usagelens.sources import lake
+from usagelens.plans import views
+from usagelens.sources import audit, lake
 
-SPARK = {
+_NAMES = {"query_source": views.QUERY_SOURCE, "audit_source": audit.AUDIT_SOURCES[0]}
+SPARK = _NAMES | {
     "iso": """date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")""",
     "epoch": "unix_seconds(cast(ts as timestamp))",
 }
-DUCKDB = {
+DUCKDB = _NAMES | {
     "iso": "strftime(ts, '%Y-%m-%dT%H:%M:%S')",
     "epoch": "cast(floor(epoch(ts)) as bigint)",
 }
@@ -88,7 +90,7 @@ SELECT CASE WHEN event_id % 103 = 0 THEN NULL WHEN event_id % 97 = 0 THEN '' ELS
     WHEN 20 THEN 'CreateFolder' WHEN 21 THEN 'ListTemplates' WHEN 22 THEN 'UpdateTheme' WHEN 23 THEN 'RegisterUser'
     WHEN 24 THEN 'GenerateEmbedUrl' WHEN 25 THEN 'DescribeAccountSettings' WHEN 26 THEN 'GetAuthorization'
     WHEN 27 THEN 'SearchThings' WHEN 28 THEN 'QueryDatabase' WHEN 29 THEN 'ListSpaces' ELSE 'TagResource' END AS event_name,
-  CASE WHEN event_id % 12 = 0 THEN 'other.example.com' ELSE 'quicksight.amazonaws.com' END AS event_source,
+  CASE WHEN event_id % 12 = 0 THEN 'other.example.com' ELSE '{{query_source}}' END AS event_source,
   'AwsApiCall' AS event_type, 'Management' AS event_category,
   CASE event_id % 3 WHEN 0 THEN 'us-east-1' WHEN 1 THEN 'us-west-2' ELSE 'eu-west-1' END AS aws_region,
   '10.0.' || (user_id % 200) || '.1' AS source_ip, 'sdk/1.0' AS user_agent,
@@ -186,9 +188,9 @@ FROM {events} WHERE event_type IN ('view', 'click')"""
 RAW_AUDIT = """
 SELECT event_id, 'r' || event_id AS record_id,
   CASE WHEN event_id % 43 = 0 THEN 'not json' ELSE
-    '{{"source":"' || CASE WHEN event_id % 13 = 0 THEN 'aws.other' ELSE 'aws.quicksight' END
+    '{{"source":"' || CASE WHEN event_id % 13 = 0 THEN 'aws.other' ELSE '{audit_source}' END
     || '","detail-type":"' || CASE WHEN event_id % 17 = 0 THEN 'Something Else' WHEN event_id % 2 = 0 THEN 'AWS API Call via CloudTrail' ELSE 'AWS Service Event via CloudTrail' END
-    || '","detail":{{"eventID":"evt-' || event_id || '","eventName":"CreateDashboard","eventSource":"quicksight.amazonaws.com"'
+    || '","detail":{{"eventID":"evt-' || event_id || '","eventName":"CreateDashboard","eventSource":"{query_source}"'
     || CASE WHEN event_id % 103 = 0 THEN '' WHEN event_id % 97 = 0 THEN ',"eventTime":"soon"' ELSE ',"eventTime":"' || {iso} || 'Z"' END
     || ',"awsRegion":"us-east-1","userIdentity":' || CASE WHEN event_id % 41 = 0 THEN 'null' ELSE
          '{{"type":"IAMUser","arn":"arn/u' || user_id || '"' || CASE WHEN event_id % 5 = 0 THEN '' ELSE ',"userName":"u' || user_id || '"' END || '}}' END

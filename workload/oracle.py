@@ -10,6 +10,7 @@ from workload import derive
 
 _GB, _MB = 1073741824.0, 1048576.0
 _YMD = "year, month, day"
+_QUERY_SOURCE = derive.DUCKDB["query_source"]
 
 
 def _named(column: str) -> str:
@@ -137,7 +138,7 @@ def _member(name: str) -> str:
 
 _AUDIT_OK = "event_id % 43 <> 0 AND event_id % 41 <> 0"
 _FLAT_AUDIT = f"""SELECT coalesce(eventTime, '') AS timestamp, 'evt-' || event_id AS event_id, 'CreateDashboard' AS event_name,
-  'quicksight.amazonaws.com' AS event_source, '' AS event_type, '' AS event_category, 'us-east-1' AS aws_region,
+  '{_QUERY_SOURCE}' AS event_source, '' AS event_type, '' AS event_category, 'us-east-1' AS aws_region,
   '' AS source_ip, '' AS user_agent, 'IAMUser' AS user_type, '' AS principal_id,
   if(event_id % 5 = 0, '', 'u' || user_id) AS user_name, 'arn/u' || user_id AS user_arn, '' AS account_id,
   '' AS recipient_account_id, '' AS shared_event_id, event_id % 3 = 0 AS read_only,
@@ -325,7 +326,7 @@ def _oracle() -> dict[str, str]:
     o["i12_partition_keys"] = "SELECT year, month, day, count(*) AS row_count FROM flat_audit GROUP BY ALL"
     o["i13_resource_type"] = "SELECT event_id, resources, resource_type FROM flat_audit"
     o["i14_resource_arn"] = "SELECT event_id, resource_arn FROM flat_audit"
-    o["i15_filter_audit_feed"] = "SELECT 'r' || event_id AS record_id, 'aws.quicksight' AS source FROM events WHERE event_type IN ('error', 'view') AND event_id % 43 <> 0 AND event_id % 13 <> 0 AND event_id % 17 <> 0"
+    o["i15_filter_audit_feed"] = f"SELECT 'r' || event_id AS record_id, '{derive.DUCKDB['audit_source']}' AS source FROM events WHERE event_type IN ('error', 'view') AND event_id % 43 <> 0 AND event_id % 13 <> 0 AND event_id % 17 <> 0"
     for key, (table, fields) in _FIELDS.items():
         o[key] = f"SELECT {fields} FROM {table}"
     o["i17_read_raw"] = "SELECT * FROM chat_logs"
@@ -349,7 +350,7 @@ def _oracle() -> dict[str, str]:
     for i, view in enumerate(["chat_activity", "feedback_analysis", "agent_hours_usage", "api_audit_trail"], 1):
         o[f"w{i}_{view}"] = f"SELECT * FROM {view}"
     o["w5_querydatabase_events"] = f"""SELECT {_TIME} AS event_time, event_id, user_name, user_type, aws_region, error_code, {_SCALARS}, account_id, {_YMD}
-FROM cloudtrail_events WHERE event_name = 'QueryDatabase' AND event_source = 'quicksight.amazonaws.com' AND timestamp IS NOT NULL"""
+FROM cloudtrail_events WHERE event_name = 'QueryDatabase' AND event_source = '{_QUERY_SOURCE}' AND timestamp IS NOT NULL"""
     o["w6_index_usage"] = "SELECT * FROM index_usage"
     for i, (name, frame) in enumerate(_FRAMES.items(), 1):
         number = {"chat-activity": 1, "feedback-analysis": 2, "agent-hours-usage": 3, "api-audit-trail": 4, "index-usage": 5}[name]
@@ -370,7 +371,7 @@ FROM cloudtrail_events WHERE event_name = 'QueryDatabase' AND event_source = 'qu
     o["f10_bytes_to_gb_mb"] = f"SELECT consumed_source_size, round(consumed_source_size / {_GB}, 4) AS gb, round(consumed_source_size / {_MB}, 2) AS mb FROM index_usage_logs"
     o["f11_json_scalars"] = f"SELECT event_id, {_SCALARS} FROM cloudtrail_events"
     o["f12_not_null_time"] = "SELECT timestamp, system_message_id FROM chat_logs WHERE timestamp IS NOT NULL"
-    o["f13_name_and_source"] = "SELECT event_id, event_name, event_source FROM cloudtrail_events WHERE event_name = 'QueryDatabase' AND event_source = 'quicksight.amazonaws.com'"
+    o["f13_name_and_source"] = f"SELECT event_id, event_name, event_source FROM cloudtrail_events WHERE event_name = 'QueryDatabase' AND event_source = '{_QUERY_SOURCE}'"
     o["f14_calendar_day"] = f"SELECT event_time, {_DAY} AS event_day FROM chat_activity"
     o["f15_percent"] = """SELECT user_name, count(*) FILTER (web_search = 'true') AS web, count(*) AS messages,
   round(100.0::DOUBLE * count(*) FILTER (web_search = 'true') / count(*), 1) AS percentage FROM chat_activity GROUP BY user_name"""
