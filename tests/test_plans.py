@@ -96,6 +96,19 @@ def test_index_usage_collapses_repeats_but_not_days(spark):
     assert (first.consumed_source_size_gb, first.consumed_index_size_gb, first.user_name) == (1.0, 2.0, "owner")
 
 
+def test_index_usage_hashes_repeats_before_any_shuffle(spark):
+    plan = views.index_usage(table(spark, "index_usage_logs", [usage(1)]))._jdf.queryExecution().executedPlan()
+    steps = [line.strip(" :+-") for line in plan.toString().splitlines()]
+    bottom = [s for s in steps if s.startswith(("HashAggregate", "SortAggregate", "Exchange", "Sort "))][-2:]
+    assert [s.split("(")[0].split(" ")[0] for s in bottom] == ["Exchange", "HashAggregate"]
+
+
+def test_index_usage_takes_the_largest_text_of_a_group(spark):
+    rows = [usage(1, user_arn="x/a", resource_arn="r2", account_id="1"), usage(1, user_arn="x/b", resource_arn="r1")]
+    got = views.index_usage(table(spark, "index_usage_logs", rows)).collect()
+    assert [(r.user_name, r.resource_arn, r.account_id) for r in got] == [("b", "r2", "1")]
+
+
 def test_index_size_is_summed_for_parity_and_not_for_the_current_size(spark):
     rows = [usage(1, "s1"), usage(1, "s2"), usage(2, "s1", total=3 << 30), usage(2, "s2", total=3 << 30)]
     index = datasets.index_usage(table(spark, "index_usage_logs", rows))

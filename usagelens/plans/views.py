@@ -143,24 +143,29 @@ def querydatabase_events(cloudtrail_events: DataFrame) -> DataFrame:
 def index_usage(index_usage_logs: DataFrame) -> DataFrame:
     """One row per source, totals and day.
 
-    The feed repeats a source's totals once per indexed document, so partial
-    aggregation on the map side removes nearly all rows before the shuffle.
+    The feed repeats a source's totals once per indexed document. Maxima of text
+    cannot be kept in a hash aggregate, which would mean sorting every row first.
+    So the texts are grouped by before they are compared: the first step hashes
+    the repeats away on the map side, the second meets only what is left.
     """
     index_size, source_size = F.col("consumed_index_size"), F.col("consumed_source_size")
+    keys = [
+        "source_arn",
+        "source_type",
+        "source_name",
+        "consumed_index_size",
+        "consumed_source_size",
+        "consumed_source_doc_count",
+        *PARTITION_COLUMNS,
+    ]
     return (
         timed(index_usage_logs)
-        .groupBy(
-            "source_arn",
-            "source_type",
-            "source_name",
-            "consumed_index_size",
-            "consumed_source_size",
-            "consumed_source_doc_count",
-            *PARTITION_COLUMNS,
-        )
+        .groupBy(*keys, E.short_name(F.col("user_arn")).alias("user_name"), "resource_arn", "account_id")
+        .agg(F.max(E.wall_time(F.col("timestamp"))).alias("event_time"))
+        .groupBy(*keys)
         .agg(
-            F.max(E.wall_time(F.col("timestamp"))).alias("event_time"),
-            F.max(E.short_name(F.col("user_arn"))).alias("user_name"),
+            F.max("event_time").alias("event_time"),
+            F.max("user_name").alias("user_name"),
             F.max("resource_arn").alias("resource_arn"),
             F.max("account_id").alias("account_id"),
         )
