@@ -144,3 +144,32 @@ def test_daily_activity_is_close_and_closed(spark, sf_dir, folder):
     for day, r in got.items():
         assert r.calls == exact[day].calls
         assert r.active_users == pytest.approx(exact[day].users, rel=0.15)
+
+
+@pytest.mark.parametrize("include", [False, True])
+def test_content_opt_in_holds_from_delivery_to_table(spark, sf_dir, folder, include):
+    turns = derive.source(spark, sf_dir, "conversations")
+    delivered(spark, derive.conversation_records(spark, sf_dir), f"{folder}/in")
+    feeds.ingest_logs(
+        feeds.read_records(spark, f"{folder}/in"),
+        "chat_logs",
+        f"{folder}/raw",
+        f"{folder}/cp",
+        include_content=include,
+        ingest_date=DAY,
+        continuous=False,
+    ).awaitTermination()
+    feeds.refresh_curated(
+        spark, f"{folder}/raw", f"{folder}/cur", "chat_logs", f"{folder}/cp2", include_content=include
+    ).awaitTermination()
+    curated = lake.read_curated(spark, f"{folder}/cur", "chat_logs", include_content=include)
+    assert curated.count() == turns.count()
+    ranged = lake.read_range(spark, f"{folder}/raw", "chat_logs", DAY, DAY, include_content=include)
+    assert ranged.columns == curated.columns
+    if include:
+        asked = [r.user_message for r in curated.filter("user_message IS NOT NULL").collect()]
+        assert sorted(asked) == sorted(r.text for r in turns.filter("role = 'user'").collect())
+    else:
+        assert not set(schemas.SENSITIVE) & set(curated.columns)
+        landed = spark.read.text(f"{folder}/raw/{schemas.PREFIXES['chat_logs']}/*/*/*/*")
+        assert landed.filter(F.col("value").contains("_message\":\"")).count() == 0

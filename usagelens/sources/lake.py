@@ -132,9 +132,11 @@ def _day_folder(day: dt.date) -> str:
     return f"year={day.year}/month={day.month:02d}/day={day.day:02d}"
 
 
-def _read_folders(spark: SparkSession, root: str, table: str, folders: list[str]) -> DataFrame:
+def _read_folders(
+    spark: SparkSession, root: str, table: str, folders: list[str], include_content: bool
+) -> DataFrame:
     """Landed rows below some day folders; the rest of the feed is not even listed."""
-    feed = schemas.feed(table)
+    feed = schemas.feed(table, include_content)
     base = _path(root, feed.prefix)
     try:
         if not folders:
@@ -151,19 +153,25 @@ def _read_folders(spark: SparkSession, root: str, table: str, folders: list[str]
     return df.select(*feed.schema.fieldNames())
 
 
-def read_range(spark: SparkSession, root: str, table: str, start: dt.date, end: dt.date) -> DataFrame:
+def read_range(
+    spark: SparkSession, root: str, table: str, start: dt.date, end: dt.date, include_content: bool = False
+) -> DataFrame:
     """Landed rows of a day range; folders outside it are neither listed nor opened.
 
     The folders follow from the range, so the cost of finding files grows with
     the range and not with the history of the feed.
     """
-    return _read_folders(spark, root, table, range_folders(start, end)).filter(day_range(start, end))
+    rows = _read_folders(spark, root, table, range_folders(start, end), include_content)
+    return rows.filter(day_range(start, end))
 
 
-def read_days(spark: SparkSession, root: str, table: str, days: Iterable[dt.date]) -> DataFrame:
+def read_days(
+    spark: SparkSession, root: str, table: str, days: Iterable[dt.date], include_content: bool = False
+) -> DataFrame:
     """Landed rows of some days, found as in :func:`read_range`."""
     days = sorted(days)
-    return _read_folders(spark, root, table, [_day_folder(d) for d in days]).filter(any_day(days))
+    folders = [_day_folder(d) for d in days]
+    return _read_folders(spark, root, table, folders, include_content).filter(any_day(days))
 
 
 def ensure_columns(df: DataFrame, schema: T.StructType) -> DataFrame:

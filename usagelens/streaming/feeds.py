@@ -140,7 +140,12 @@ def _write_errors(df: DataFrame, root: str, table: str, kind: str, name: str) ->
 
 
 def refresh_curated(
-    spark: SparkSession, raw_root: str, curated_root: str, table: str, checkpoint: str
+    spark: SparkSession,
+    raw_root: str,
+    curated_root: str,
+    table: str,
+    checkpoint: str,
+    include_content: bool = False,
 ) -> StreamingQuery:
     """Bring a curated table up to date with what landed since the last run.
 
@@ -148,8 +153,8 @@ def refresh_curated(
     replaced, so late files and repeated runs leave no duplicates. The caller
     schedules the runs, one at a time.
     """
-    feed = schemas.feed(table)
-    path = lake.create_table(spark, curated_root, table)
+    feed = schemas.feed(table, include_content)
+    path = lake.create_table(spark, curated_root, table, include_content)
     # Listed, not read: only the folder names of new files are used.
     listing = T.StructType(FILE_LISTING + schemas.PARTITION_SCHEMA.fields)
     landed = spark.readStream.format("binaryFile").schema(listing).load(f"{raw_root}/{feed.prefix}")
@@ -158,7 +163,7 @@ def refresh_curated(
         # Calendar days: a short list, which prunes the folders read below.
         touched = [dt.date(*row) for row in batch.select(*schemas.PARTITION_COLUMNS).distinct().collect()]
         if touched:
-            raw = lake.read_days(spark, raw_root, table, touched)
+            raw = lake.read_days(spark, raw_root, table, touched, include_content)
             lake.overwrite_partitions(lake.ensure_columns(raw, feed.schema), path)
 
     return (
