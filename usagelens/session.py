@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+LOCAL_SCRATCH = "usagelens.local.scratch"
+
 # Settings the library relies on. The zone fixes the text <-> time rules; the
 # partition overwrite mode keeps re-runs idempotent (see sources.lake).
 REQUIRED = {
@@ -42,14 +44,14 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared one the cluster names.
 
-    ``spark.checkpoint.dir`` is read from the session. Only a local session may
-    do without it, and then uses a new temporary folder: executors of a cluster
-    could not see the driver's own disk.
+    ``spark.checkpoint.dir`` is read from the session. Only a local session may do
+    without it; it then gets a temporary folder of its own, under LOCAL_SCRATCH,
+    since Spark does not let a running session set the other.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(LOCAL_SCRATCH, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="usagelens-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
+        spark.conf.set(LOCAL_SCRATCH, root)
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
