@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from usagelens.llm import base, decontaminate, huffman, mixing, repetition, secrets
+from usagelens.llm import base, decontaminate, huffman, mixing, neardup, repeats, repetition, secrets
 
 
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,11 +25,19 @@ def op6_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.round_trip(base.table(spark, sf_dir, "documents"))
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.deduplicated(base.table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.judge(base.table(spark, sf_dir, "documents"), base.table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = [op1_secrets, op2_quality, op5_mixing, op6_tokens, op8_decontamination]
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.judge(base.table(spark, sf_dir, "documents"))
+
+
+QUERIES = [op1_secrets, op2_quality, op5_mixing, op6_tokens, op7_repeats, op8_decontamination, op10_near_duplicates]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
