@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 from usagelens import session
 
 # What a Python worker gets at once: texts are long, so few rows, and fewer if they are very long.
-BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "256", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "256", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 
 
 def prepare(spark: SparkSession) -> SparkSession:

@@ -42,7 +42,7 @@ PERCENT = 75
 COORDINATES = 128
 COLLISIONS = 72
 SHORT_LIST = 32
-TURNS = 3
+TURNS = 4
 PAGE_ROWS = 1024
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -166,19 +166,22 @@ def postings(nodes: DataFrame) -> DataFrame:
 
 
 def candidates(lists: DataFrame, labels: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b) to look at in this turn, and the postings of lists that hold several components."""
+    """Pairs (a, b) to look at in this turn, and the postings of lists that hold several components.
+
+    The first pivot of a list is its smallest node, which lists of one group share;
+    later ones are drawn for each list, so that a node meets many others of its group.
+    """
     named = lists.join(labels.withColumnRenamed("label", "known"), "node", "left").select("key", "node", F.coalesce("known", "node").alias("label"))
-    pivot = F.min("node") if turn == 0 else F.min_by("node", F.xxhash64(F.lit(turn), "node"))
-    stats = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size"), pivot.alias("pivot"))
+    drawn = F.struct("node") if turn == 0 else F.struct(F.xxhash64(F.lit(turn), "key", "node"), "node")
+    stats = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size"), F.min_by(F.struct("node", "label"), drawn).alias("pivot"))
     stats = base.saved(stats.filter("low != high"), "lists")
     left = base.saved(named.join(stats.select("key", "size", "pivot"), "key"), "open-lists")
-    every = (F.col("size") <= SHORT_LIST) | F.lit(turn >= TURNS)
-    star = left.filter(~every & (F.col("node") != F.col("pivot"))).select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
+    every, pivot = (F.col("size") <= SHORT_LIST) | F.lit(turn >= TURNS), F.col("pivot.node")
+    star = left.filter(~every & (F.col("label") != F.col("pivot.label"))).select(F.least("node", pivot).alias("a"), F.greatest("node", pivot).alias("b"))
     some = left.filter(every).select("key", "node", "label")
     other = some.select("key", F.col("node").alias("b"), F.col("label").alias("label_b"))
     cross = some.join(other, "key").filter((F.col("node") < F.col("b")) & (F.col("label") != F.col("label_b"))).select(F.col("node").alias("a"), "b")
-    rest = left.filter(~every & (F.col("node") != F.col("pivot"))).select("key", "node")
-    return star.unionByName(cross).distinct(), rest
+    return star.unionByName(cross).distinct(), left.filter(~every & (F.col("node") != pivot)).select("key", "node")
 
 
 def colliding(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -192,7 +195,7 @@ def colliding(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     code = lambda x: nodes.select(F.col("node").alias(x), F.col("code").alias(f"code_{x}"), F.col("n_shingles").alias(f"n_{x}"))
     near = (100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b"))
-    return base.map_batches(pairs.join(code("a"), "a").join(code("b"), "b").filter(near).select("a", "b", "code_a", "code_b"), lambda: act, types)
+    return base.map_batches(pairs.join(code("a").hint("merge"), "a").join(code("b").hint("merge"), "b").filter(near).select("a", "b", "code_a", "code_b"), lambda: act, types)
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -208,7 +211,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         return [batch.column("a").filter(fit), batch.column("b").filter(fit)]
 
     own = lambda x: sets.select(F.col("node").alias(x), F.col("shingles").alias(f"set_{x}"))
-    return base.map_batches(pairs.join(own("b"), "b").join(own("a"), "a").select("a", "b", "set_a", "set_b"), lambda: act, "a long, b long")
+    return base.map_batches(pairs.join(own("b").hint("merge"), "b").join(own("a").hint("merge"), "a").select("a", "b", "set_a", "set_b"), lambda: act, "a long, b long")
 
 
 SET_BYTES = 5  # of a shingle's hash in a packed set; sets are compared with each other only, of some thousand members
@@ -229,7 +232,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").alias("node"), "text").join(wanted, "node", "left_semi")
     return base.map_batches(
         texts, lambda: lambda batch: [batch.column("node"), [pack(x) for x in shingles(base.text_bytes(batch))]], "node long, shingles binary"
-    ).filter(F.length("shingles") > 0)
+    )
 
 
 def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -240,17 +243,18 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     nodes = classes.filter("node is not null")
     lists = base.saved(postings(nodes), "postings")
     codes = base.saved(base.map_batches(nodes.select("node", "n_shingles", "signature"), lambda: _codes, "node long, n_shingles long, code binary"), "codes")
-    labels, tested, turn = docs.sparkSession.createDataFrame([], "node long, label long"), None, 0
+    labels, tested, sets, turn = docs.sparkSession.createDataFrame([], "node long, label long"), None, None, 0
     while True:
-        pairs, rest = candidates(lists, labels, turn)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = base.saved(colliding(pairs, codes), "colliding")
+        pairs, lists = candidates(lists, labels, turn)
+        pairs = base.saved(colliding(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), codes), "colliding")
         new = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        links = base.saved(confirmed(pairs, base.saved(full_sets(docs, new), "sets")), "confirmed")
-        labels = base.components(links, labels)
+        # The first turn wants sets in proportion to the corpus, later ones a few more.
+        more = full_sets(docs, new.hint("merge")) if sets is None else full_sets(docs, new.join(sets, "node", "left_anti"))
+        more = base.saved(more, "sets")
+        sets = more if sets is None else sets.unionByName(more)
+        labels = base.components(base.saved(confirmed(pairs, sets), "confirmed"), labels)
         tested = pairs if tested is None else tested.unionByName(pairs)
-        lists, turn = base.saved(rest, "postings"), turn + 1
+        lists, turn = base.saved(lists, "postings"), turn + 1
         if lists.isEmpty():
             break
     named = classes.join(labels, "node", "left").select("set_id", F.coalesce("label", "node").alias("component_id"))
