@@ -274,7 +274,11 @@ def judge(docs: DataFrame) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """One document of each component, with all its columns; of repeated rows one stays."""
-    kept = judge(docs).filter("kept").select(F.col("doc_id").alias("__kept_id")).distinct()
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(F.col("__kept_id")), "left_semi")
-    return rows.dropDuplicates(["doc_id", "text"])
+    """One document of each component, with all its columns; of rows equal in id and text one stays."""
+    kept = judge(docs).filter("kept").groupBy(F.col("doc_id").alias("kept_id")).agg((F.count(F.lit(1)) > 1).alias("repeated"))
+    kept = base.saved(kept, "kept")
+    staying = lambda table: docs.join(table.select("kept_id"), docs["doc_id"].eqNullSafe(F.col("kept_id")), "left_semi")
+    repeated = kept.filter("repeated")
+    if repeated.isEmpty():
+        return staying(kept)
+    return staying(kept.filter("not repeated")).unionByName(staying(repeated).dropDuplicates(["doc_id", "text"]))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from usagelens.llm import base, decontaminate, huffman, mixing, neardup, repeats, repetition, secrets
+from usagelens.llm import base, decontaminate, huffman, lines, mixing, neardup, repeats, repetition, secrets, surrogates, urls
 
 
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +17,14 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.judge(base.table(spark, sf_dir, "documents"))
 
 
+def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(base.table(spark, sf_dir, "pages"))
+
+
+def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replace(base.table(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.judge(base.table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -33,11 +41,26 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.judge(base.table(spark, sf_dir, "documents"), base.table(spark, sf_dir, "benchmark"))
 
 
+def op9_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.judge(base.table(spark, sf_dir, "documents"))
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.judge(base.table(spark, sf_dir, "documents"))
 
 
-QUERIES = [op1_secrets, op2_quality, op5_mixing, op6_tokens, op7_repeats, op8_decontamination, op10_near_duplicates]
+QUERIES = [
+    op1_secrets,
+    op2_quality,
+    op3_urls,
+    op4_surrogates,
+    op5_mixing,
+    op6_tokens,
+    op7_repeats,
+    op8_decontamination,
+    op9_line_spread,
+    op10_near_duplicates,
+]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -45,4 +68,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_line_spread": lines.SQL}
