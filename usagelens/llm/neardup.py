@@ -42,7 +42,9 @@ PERCENT = 75
 COORDINATES = 128
 COLLISIONS = 72
 SHORT_LIST = 32
-TURNS = 4
+TURNS = 2
+BLOCK = 512
+COLUMNS = 4096  # shingles of two blocks that are compared at once
 PAGE_ROWS = 1024
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -176,7 +178,7 @@ def candidates(lists: DataFrame, labels: DataFrame, turn: int) -> tuple[DataFram
     stats = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size"), F.min_by(F.struct("node", "label"), drawn).alias("pivot"))
     stats = base.saved(stats.filter("low != high"), "lists")
     left = base.saved(named.join(stats.select("key", "size", "pivot"), "key"), "open-lists")
-    every, pivot = (F.col("size") <= SHORT_LIST) | F.lit(turn >= TURNS), F.col("pivot.node")
+    every, pivot = F.col("size") <= SHORT_LIST, F.col("pivot.node")
     star = left.filter(~every & (F.col("label") != F.col("pivot.label"))).select(F.least("node", pivot).alias("a"), F.greatest("node", pivot).alias("b"))
     some = left.filter(every).select("key", "node", "label")
     other = some.select("key", F.col("node").alias("b"), F.col("label").alias("label_b"))
@@ -235,16 +237,64 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     )
 
 
+def compared(rows: pa.Table) -> pa.Table:
+    """Members of one or two blocks with the smallest member that links connect them to, if another."""
+    nodes, chunk = rows.column("node").to_numpy(), rows.column("chunk").to_numpy()
+    order = np.argsort(nodes)
+    nodes, chunk, packed = nodes[order], chunk[order], rows.column("shingles").to_pylist()
+    sets = [unpack(packed[i]) for i in order]
+    n, sizes = len(sets), np.array([len(x) for x in sets])
+    values, column, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = np.cumsum(counts > 1) - 1
+    of = np.repeat(np.arange(n), sizes)[counts[column] > 1]
+    column = shared[column[counts[column] > 1]]
+    both = np.zeros((n, n), np.float32)
+    by_column = np.argsort(column, kind="stable")
+    of, column = of[by_column], column[by_column]
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, (low, low + COLUMNS))
+        part = np.zeros((n, COLUMNS), np.float32)
+        part[of[a:b], column[a:b] - low] = 1
+        both += part @ part.T
+    link = 100 * both >= PERCENT * (sizes[:, None] + sizes[None, :] - both)
+    if len(np.unique(chunk)) > 1:
+        link &= chunk[:, None] != chunk[None, :]  # pairs within a block are looked at where it stands alone
+    np.fill_diagonal(link, True)
+    root = np.arange(n)
+    while True:
+        new = np.where(link, root[None, :], n).min(1)
+        new = new[new]
+        if (new == root).all():
+            break
+        root = new
+    moved = root != np.arange(n)
+    return pa.table({"a": pa.array(nodes[root[moved]], pa.int64()), "b": pa.array(nodes[moved], pa.int64())})
+
+
+def dense_links(lists: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links within lists that stayed long, compared block by block."""
+    pivot = lists.groupBy("key").agg(F.min("node").alias("a"))
+    groups = base.components(lists.join(pivot, "key").select("a", F.col("node").alias("b")))
+    size = groups.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("chunks"))
+    members = base.saved(groups.join(size, "label").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")), "members")
+    missing = full_sets(docs, members.select("node").join(sets, "node", "left_anti"))
+    own = base.saved(members.join(sets.unionByName(missing), "node"), "member-sets")
+    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
+    pairs = own.select("label", "node", "shingles", "chunk", other).withColumn("low", F.least("chunk", "other")).withColumn("high", F.greatest("chunk", "other"))
+    return pairs.groupBy("label", "low", "high").applyInArrow(compared, "a long, b long")
+
+
 def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """All documents (doc_id, n_shingles, set_id), and the component of each class (set_id, component_id)."""
     all_signed = base.saved(signed(docs), "signed")
-    classes = all_signed.filter("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
+    first = lambda c: F.first(c).alias(c)
+    classes = all_signed.filter("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("node"), first("n_shingles"), first("signature"))
     classes = base.saved(classes, "classes")
     nodes = classes.filter("node is not null")
     lists = base.saved(postings(nodes), "postings")
     codes = base.saved(base.map_batches(nodes.select("node", "n_shingles", "signature"), lambda: _codes, "node long, n_shingles long, code binary"), "codes")
-    labels, tested, sets, turn = docs.sparkSession.createDataFrame([], "node long, label long"), None, None, 0
-    while True:
+    labels, tested, sets = docs.sparkSession.createDataFrame([], "node long, label long"), None, None
+    for turn in range(TURNS):
         pairs, lists = candidates(lists, labels, turn)
         pairs = base.saved(colliding(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), codes), "colliding")
         new = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
@@ -254,9 +304,15 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         sets = more if sets is None else sets.unionByName(more)
         labels = base.components(base.saved(confirmed(pairs, sets), "confirmed"), labels)
         tested = pairs if tested is None else tested.unionByName(pairs)
-        lists, turn = base.saved(lists, "postings"), turn + 1
+        lists = base.saved(lists, "postings")
         if lists.isEmpty():
             break
+    else:
+        named = lists.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        several = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high")
+        lists = base.saved(lists.join(several.select("key"), "key", "left_semi"), "dense-lists")
+        if not lists.isEmpty():
+            labels = base.components(base.saved(dense_links(lists, docs, sets), "dense-links"), labels)
     named = classes.join(labels, "node", "left").select("set_id", F.coalesce("label", "node").alias("component_id"))
     return all_signed.select("doc_id", "n_shingles", "set_id"), base.saved(named, "components")
 
