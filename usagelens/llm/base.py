@@ -214,6 +214,11 @@ def page_number(count: int) -> int:
 # --- Connected components ---------------------------------------------------------
 
 
+def nodes_of(links: DataFrame) -> DataFrame:
+    """The nodes of links; each side is reduced first."""
+    return links.select(F.col("a").alias("node")).distinct().unionByName(links.select(F.col("b").alias("node")).distinct()).distinct()
+
+
 def components(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """Connected components of links (a, b): a table of node and label, the smallest node of its component.
 
@@ -224,7 +229,7 @@ def components(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     spark = links.sparkSession
     if labels is None:
         labels = spark.createDataFrame([], "node long, label long")
-    nodes = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    nodes = nodes_of(links)
     labels = saved(labels.unionByName(nodes.join(labels, "node", "left_anti").withColumn("label", F.col("node"))), "labels")
     links = saved(links.select("a", "b").distinct(), "links")
     while True:

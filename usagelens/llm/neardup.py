@@ -170,11 +170,11 @@ def postings(nodes: DataFrame) -> DataFrame:
 def candidates(lists: DataFrame, labels: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
     """Pairs (a, b) to look at in this turn, and the postings of lists that hold several components.
 
-    The first pivot of a list is its smallest node, which lists of one group share;
-    later ones are drawn for each list, so that a node meets many others of its group.
+    The first pivot of a list is its smallest node; later ones are drawn. Lists of one
+    group share most of their members and so their pivots, which keeps the pairs few.
     """
     named = lists.join(labels.withColumnRenamed("label", "known"), "node", "left").select("key", "node", F.coalesce("known", "node").alias("label"))
-    drawn = F.struct("node") if turn == 0 else F.struct(F.xxhash64(F.lit(turn), "key", "node"), "node")
+    drawn = F.struct("node") if turn == 0 else F.struct(F.xxhash64(F.lit(turn), "node"), "node")
     stats = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size"), F.min_by(F.struct("node", "label"), drawn).alias("pivot"))
     stats = base.saved(stats.filter("low != high"), "lists")
     left = base.saved(named.join(stats.select("key", "size", "pivot"), "key"), "open-lists")
@@ -297,7 +297,7 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     for turn in range(TURNS):
         pairs, lists = candidates(lists, labels, turn)
         pairs = base.saved(colliding(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), codes), "colliding")
-        new = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        new = base.nodes_of(pairs)
         # The first turn wants sets in proportion to the corpus, later ones a few more.
         more = full_sets(docs, new.hint("merge")) if sets is None else full_sets(docs, new.join(sets, "node", "left_anti"))
         more = base.saved(more, "sets")
