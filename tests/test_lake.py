@@ -63,7 +63,7 @@ def test_the_folder_wins_over_the_body(spark, folder):
 )
 def test_range_reads_only_its_folders(spark, landed, start, end, expected):
     spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
-    df = lake.read_range(spark, landed, "feedback_logs", start, end)
+    df = lake.read_range(spark, landed, "feedback_logs", start, end, years=(2023, 2031))
     assert "".join(u[0] for u in users(df)) == expected
     plan = df._jdf.queryExecution().executedPlan().toString()
     if expected:
@@ -73,6 +73,11 @@ def test_range_reads_only_its_folders(spark, landed, start, end, expected):
     spark.conf.unset("spark.sql.maxMetadataStringLength")
 
 
+def test_range_outside_the_years_is_an_error(spark, landed):
+    with pytest.raises(ValueError, match="2024 to 2030"):
+        lake.read_range(spark, landed, "feedback_logs", dt.date(2030, 12, 31), dt.date(2031, 1, 1))
+
+
 def test_range_folders():
     assert lake.range_folders(dt.date(2024, 1, 30), dt.date(2024, 3, 1)) == [
         "year=2024/month=01/day=30",

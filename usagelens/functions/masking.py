@@ -22,9 +22,9 @@ _START, _END = "(?<![0-9A-Za-z_])", "(?![0-9A-Za-z_])"
 # cannot eat part of a longer one. Every pattern is linear in the text: starts
 # are anchored, and repeats are possessive, bounded or of one fixed length.
 PATTERNS = {
-    "PRIVATE_KEY": "-----BEGIN [A-Z ]*PRIVATE KEY( BLOCK)?-----[^-]*(-----END [A-Z ]*PRIVATE KEY( BLOCK)?-----)?",
+    "PRIVATE_KEY": "-----BEGIN [A-Z ]*PRIVATE KEY( BLOCK)?-----(?s:.*?)(-----END [A-Z ]*PRIVATE KEY( BLOCK)?-----|\\z)",
     "ACCESS_KEY": f"{_START}(AKIA|ASIA)[0-9A-Z]{{16}}{_END}",
-    "SECRET_KEY": f"{_START}(aws_secret_access_key|secret_key|api_key) *[=:] *[A-Za-z0-9/+=_-]{{16,}}",
+    "SECRET_KEY": f"{_START}(?i:aws_secret_access_key|secret_key|api_key)[\"']? *[=:] *[\"']?[A-Za-z0-9/+=_-]{{16,}}",
     "EMAIL": "(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+([.][A-Za-z0-9-]+){0,126}[.][A-Za-z]{2,}" + _END,
     "CARD": f"{_START}[0-9]{{4}}[ -]?[0-9]{{4}}[ -]?[0-9]{{4}}[ -]?[0-9]{{4}}{_END}",
     "SSN_US": f"{_START}[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}{_END}",
@@ -36,13 +36,14 @@ PATTERNS = {
 _FRAGMENTS = {
     "PRIVATE_KEY": ["PRIVATE KEY"],
     "ACCESS_KEY": ["AKIA", "ASIA"],
-    "SECRET_KEY": ["_key"],
     "EMAIL": ["@"],
 }
 _DIGITS = "[0-9]{3}|[0-9][.][0-9]"
 
 
 def _may_match(text: Column, name: str) -> Column:
+    if name == "SECRET_KEY":
+        return text.rlike("(?i)_key")
     if name not in _FRAGMENTS:
         return text.rlike(_DIGITS)
     return reduce(Column.__or__, [text.contains(f) for f in _FRAGMENTS[name]])
@@ -61,7 +62,7 @@ def mask(text: Column, names: Sequence[str] | None = None) -> Column:
         return replace
 
     # Neighbours that need the same thing are guarded together.
-    for _, group in groupby(PATTERNS if names is None else names, lambda n: tuple(_FRAGMENTS.get(n, ()))):
+    for _, group in groupby(PATTERNS if names is None else names, lambda n: ("_key",) if n == "SECRET_KEY" else tuple(_FRAGMENTS.get(n, ()))):
         text = let(text, guarded(list(group)))
     return text
 

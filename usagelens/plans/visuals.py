@@ -165,11 +165,8 @@ VISUALS = {
 }
 # --- end of fixed values --------------------------------------------------------
 
-TOP_N = 15
-
-
-def build(df: DataFrame, key: str, n: int | None = TOP_N) -> DataFrame:
-    """Run one visual over its dataset. ``n`` bounds a top list; None keeps all."""
+def build(df: DataFrame, key: str, n: int | None = None) -> DataFrame:
+    """Run one visual over its dataset. All rows of a top list, largest first; ``n`` keeps the first ones."""
     spec = VISUALS[key]
     for column, values in spec.only.items():
         df = interact.category(df, column, values)
@@ -178,7 +175,9 @@ def build(df: DataFrame, key: str, n: int | None = TOP_N) -> DataFrame:
         return aggregate.sort_desc(detail, spec.rows[0], spec.rows[1:]) if spec.latest_first else detail
     column, agg, name = spec.measure
     result = aggregate.metric(df, [catalog.measure(spec.dataset, column, agg, name)], spec.by)
-    return aggregate.top_n(result, name, spec.by, n) if spec.top and n else result
+    if not spec.top:
+        return result
+    return aggregate.top_n(result, name, spec.by, n) if n else aggregate.sort_desc(result, name, spec.by)
 
 
 def drill(df: DataFrame, key: str) -> DataFrame:

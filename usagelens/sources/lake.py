@@ -95,7 +95,7 @@ def day_range(start: dt.date, end: dt.date) -> Column:
     def to(e: dt.date) -> Column:
         return (y < e.year) | ((y == e.year) & ((m < e.month) | ((m == e.month) & (d <= e.day))))
 
-    return y.between(schemas.FIRST_YEAR, schemas.LAST_YEAR) & from_(start) & to(end)
+    return from_(start) & to(end)
 
 
 def any_day(days: Iterable[dt.date]) -> Column:
@@ -107,11 +107,8 @@ def any_day(days: Iterable[dt.date]) -> Column:
 def range_folders(start: dt.date, end: dt.date) -> list[str]:
     """The fewest folders that hold the days from ``start`` to ``end``.
 
-    Whole years and months are named by one folder; years outside the supported
-    span by none.
+    Whole years and months are named by one folder.
     """
-    start = max(start, dt.date(schemas.FIRST_YEAR, 1, 1))
-    end = min(end, dt.date(schemas.LAST_YEAR, 12, 31))
     folders, day = [], start
     while day <= end:
         next_year = dt.date(day.year + 1, 1, 1)
@@ -154,13 +151,18 @@ def _read_folders(
 
 
 def read_range(
-    spark: SparkSession, root: str, table: str, start: dt.date, end: dt.date, include_content: bool = False
+    spark: SparkSession, root: str, table: str, start: dt.date, end: dt.date, include_content: bool = False, years: tuple[int, int] = (schemas.FIRST_YEAR, schemas.LAST_YEAR)
 ) -> DataFrame:
     """Landed rows of a day range; folders outside it are neither listed nor opened.
 
+    ``years`` are the first and last year that the feed may hold; a range that
+    leaves them is an error.
+
     The folders follow from the range, so the cost of finding files grows with
     the range and not with the history of the feed.
     """
+    if start.year < years[0] or end.year > years[1]:
+        raise ValueError(f"the range {start} to {end} leaves the years {years[0]} to {years[1]}; pass years to widen them")
     rows = _read_folders(spark, root, table, range_folders(start, end), include_content)
     return rows.filter(day_range(start, end))
 

@@ -158,6 +158,7 @@ def refresh_curated(
     # Listed, not read: only the folder names of new files are used.
     listing = T.StructType(FILE_LISTING + schemas.PARTITION_SCHEMA.fields)
     landed = spark.readStream.format("binaryFile").schema(listing).load(f"{raw_root}/{feed.prefix}")
+    landed = landed.select(*schemas.PARTITION_COLUMNS)  # else the files' content is read, too
 
     def replace_days(batch: DataFrame, _batch_id: int) -> None:
         # Calendar days: a short list, which prunes the folders read below.

@@ -246,16 +246,17 @@ def _mask_sql(column: str, patterns: dict[str, str]) -> str:
 
 # The masking patterns in RE2 spelling, whose word boundary is an ASCII one.
 _RE2 = {
-    "PRIVATE_KEY": r"-----BEGIN [A-Z ]*PRIVATE KEY( BLOCK)?-----[^-]*(-----END [A-Z ]*PRIVATE KEY( BLOCK)?-----)?",
+    "PRIVATE_KEY": r"-----BEGIN [A-Z ]*PRIVATE KEY( BLOCK)?-----(?s:.*?)(-----END [A-Z ]*PRIVATE KEY( BLOCK)?-----|\z)",
     "ACCESS_KEY": r"\b(AKIA|ASIA)[0-9A-Z]{16}\b",
-    "SECRET_KEY": r"\b(aws_secret_access_key|secret_key|api_key) *[=:] *[A-Za-z0-9/+=_-]{16,}",
+    "SECRET_KEY": r"""\b(?i:aws_secret_access_key|secret_key|api_key)["']? *[=:] *["']?[A-Za-z0-9/+=_-]{16,}""",
     "EMAIL": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+){0,126}\.[A-Za-z]{2,}\b",
     "CARD": r"\b\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{4}\b",
     "SSN_US": r"\b\d{3}-\d{2}-\d{4}\b",
     "PHONE_US": r"(\+1[ .-]?)?(\(\d{3}\) ?|\b\d{3}[ .-])\d{3}[ .-]\d{4}\b",
     "IPV4": r"\b\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}\b",
 }
-_MASKED = {k: _RE2[k] for k in ("EMAIL", "CARD", "SSN_US", "PHONE_US", "IPV4")}
+_RE2 = {name: pattern.replace("'", "''") for name, pattern in _RE2.items()}
+_MASKED = _RE2
 _HITS = ", ".join(
     f"CAST(sum(len(regexp_extract_all(text, '{p}'))) AS BIGINT) AS {n.lower()}" for n, p in _MASKED.items()
 )
@@ -417,13 +418,13 @@ FROM chat_activity GROUP BY surface_type"""
     o["m02_total_chat_sessions"] = f"SELECT {sessions} FROM d_chat"
     o["m03_user_adoption_trend"] = by("d_chat", users, day)
     o["m04_chat_sessions_by_feature"] = by("d_chat", sessions, "feature")
-    o["m05_top_users_by_chat_sessions"] = _top(by("d_chat", sessions, "user_name"), "chat_sessions", "user_name", 15)
+    o["m05_top_users_by_chat_sessions"] = by("d_chat", sessions, "user_name")
     o["m06_feature_adoption_over_time"] = by("d_chat", sessions, day, "feature")
     o["m07_sessions_by_status"] = by("d_chat", sessions, "status")
     o["m08_chat_session_details"] = "SELECT event_time, user_name, feature, status, conversation_id, latency_ms, surface_type FROM d_chat"
     o["m09_total_agent_hours"] = f"SELECT {hours} FROM d_hours"
     o["m10_agent_hours_by_service"] = by("d_hours", hours, "service")
-    o["m11_top_users_by_agent_hours"] = _top(by("d_hours", hours, "user_name"), "agent_hours", "user_name", 15)
+    o["m11_top_users_by_agent_hours"] = by("d_hours", hours, "user_name")
     o["m12_included_vs_extra_hours"] = by("d_hours", hours, "usage_group")
     o["m13_agent_hours_trend_by_service"] = by("d_hours", hours, day, "service")
     o["m14_agent_hours_details"] = "SELECT event_time, user_name, service, hours, usage_group, resource_type, resource_id FROM d_hours"
@@ -436,9 +437,9 @@ FROM chat_activity GROUP BY surface_type"""
     o["m21_total_index_size_gb"] = f"SELECT {index_gb} FROM d_index"
     o["m22_storage_by_source_type"] = by("d_index", source_gb, "source_type")
     o["m23_index_storage_trend"] = by("d_index", index_gb, day)
-    o["m24_top_knowledge_bases_by_size"] = _top(by("d_index", source_gb, "source_name", where="source_type = 'KB'"), "source_size_gb", "source_name", 15)
-    o["m25_top_spaces_by_size"] = _top(by("d_index", source_gb, "source_name", where="source_type = 'SPACE'"), "source_size_gb", "source_name", 15)
-    o["m26_top_users_by_storage"] = _top(by("d_index", source_gb, "user_name"), "source_size_gb", "user_name", 15)
+    o["m24_top_knowledge_bases_by_size"] = by("d_index", source_gb, "source_name", where="source_type = 'KB'")
+    o["m25_top_spaces_by_size"] = by("d_index", source_gb, "source_name", where="source_type = 'SPACE'")
+    o["m26_top_users_by_storage"] = by("d_index", source_gb, "user_name")
     o["m27_all_sources_detail"] = "SELECT event_time, source_name, source_type, source_arn, consumed_source_size_gb, consumed_source_doc_count, consumed_index_size_gb, user_name FROM d_index"
     # R
     o["r1_daily_adoption"] = f"SELECT {day}, count(DISTINCT user_name) AS active_users, count(DISTINCT conversation_id) AS sessions FROM chat_activity GROUP BY 1"

@@ -22,7 +22,7 @@ AS_OF = dt.datetime(2024, 1, 20, 12, 0, 0)
 RANGE = dt.date(2024, 1, 5), dt.date(2024, 1, 12)
 INGEST_DATE = dt.date(2024, 2, 1)
 LIMIT_GB = 0.05
-MASKED = ["EMAIL", "CARD", "SSN_US", "PHONE_US", "IPV4"]
+MASKED = list(masking.PATTERNS)
 
 
 class Inputs:
