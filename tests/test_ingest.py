@@ -221,3 +221,33 @@ def test_a_second_zone_does_not_move_times(spark):
         assert transformed(spark, {"event_timestamp": 1700000000}).timestamp == "2023-11-14T22:13:20"
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_measures_take_their_columns_types(spark):
+    row = transformed(spark, {"usage_hours": "1.5"}, table="agent_hours_logs")
+    assert (row.usage_hours, row.reason) == (1.5, None)
+    row = transformed(spark, {"consumed_index_size": 12.0, "consumed_source_size": None}, table="index_usage_logs")
+    assert (row.consumed_index_size, row.consumed_source_size, row.reason) == (12, None, None)
+
+
+@pytest.mark.parametrize("bad", ["many", "", 1.5, [1], 2**63])
+def test_a_value_that_does_not_fit_is_rejected_with_its_text(spark, bad):
+    row = transformed(spark, {"consumed_index_size": bad, "source_name": "s"}, table="index_usage_logs")
+    assert (row.reason, json.loads(row.rejected_message)["source_name"]) == ("bad_value", "s")
+
+
+@pytest.mark.parametrize(
+    "message, extra",
+    [
+        ({"user_arn": "u", "accountId": "1", "log_type": "t", "timestamp": "spoof"}, None),
+        ({"new": 5, "user_arn": "u", "user_message": "secret"}, {"new": 5}),
+        ({"a": {"z": [1, None]}, "b": None, "c": "x"}, {"a": {"z": [1, None]}, "b": None, "c": "x"}),
+    ],
+)
+def test_fields_without_a_column_are_kept(spark, message, extra):
+    kept = transformed(spark, message).extra_fields
+    assert (kept and json.loads(kept)) == extra
+
+
+def test_text_and_other_json_have_no_extra_fields(spark):
+    assert [r.extra_fields for r in transformed(spark, "plain", "[1]", '{"x": 1} y')] == [None] * 3

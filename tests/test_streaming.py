@@ -42,6 +42,9 @@ def test_log_stream_equals_batch(spark, sf_dir, folder):
     assert keyed(lost) == keyed(envelopes.rejected(events).select("record_id", "reason", "rejected_message"))
     failed = envelopes.route_records(records).filter(F.col("result") == envelopes.FAILED)
     assert keyed(spark.read.json(f"{errors}/records").select("record_id", "data")) == keyed(failed.select("record_id", "data"))
+    aside = spark.read.json(f"{folder}/lake/{schemas.PASSTHROUGH_PREFIX}/chat_logs").select("record_id", "payload")
+    assert aside.count() > 0
+    assert keyed(aside) == keyed(envelopes.passthrough(records).select("record_id", "payload"))
 
 
 def ingest(spark, folder, checkpoint):

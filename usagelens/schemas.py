@@ -87,6 +87,7 @@ PREFIXES = {
     "index_usage_logs": "cloudwatch-logs/index-usage",
 }
 ERROR_PREFIX = "errors"
+PASSTHROUGH_PREFIX = "passthrough"
 
 # Range the projected scan accepts.
 FIRST_YEAR, LAST_YEAR = 2024, 2030

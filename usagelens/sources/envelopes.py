@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import gzip
 import zlib
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -208,12 +209,38 @@ def second_text(seconds: Column) -> Column:
     return F.replace(at.cast("string"), F.lit(" "), F.lit("T"))
 
 
+def _fitted(text: Column, kind: T.DataType) -> Column:
+    """Text as a column's type, NULL where it does not fit; a whole number may end in ``.0``."""
+    if kind != T.LongType():
+        return text.try_cast(kind)
+    exact = text.try_cast("decimal(38,18)")
+    return F.coalesce(text.try_cast(kind), F.when(exact == F.floor(exact), exact.try_cast(kind)))
+
+
+def extra_fields(message: Column, table: str, include_content: bool = True) -> Column:
+    """The fields of an object that the table has no column for, as JSON; NULL if there are none.
+
+    Fields named like envelope columns are left out, and so is message content
+    unless it was opted in. Only messages with such fields are parsed for them;
+    where their values cannot be kept as they are, their text is.
+    """
+    known = {*_payload_fields(table, include_content), *schemas.ENVELOPE_COLUMNS}
+    known |= {"logType", "log_type", "accountId", "account_id"}
+    known |= set() if include_content else set(schemas.SENSITIVE)
+    unknown = F.array_except(F.json_object_keys(message), F.array(*[F.lit(n) for n in sorted(known)]))
+
+    def rest(names: Column, kind: str) -> Column:
+        return F.to_json(F.map_filter(F.from_json(message, f"map<string,{kind}>"), lambda k, _: F.array_contains(names, k)))
+
+    return let(unknown, lambda n: F.when(F.size(n) > 0, F.coalesce(rest(n, "variant"), rest(n, "string"))))
+
+
 def conform_keys(df: DataFrame, table: str = "chat_logs", include_content: bool = True) -> DataFrame:
-    """Parsed events to the table's columns, plus ``raw_message`` and ``reason``.
+    """Parsed events to the table's columns and types, plus ``raw_message``, ``extra_fields`` and ``reason``.
 
     Envelope columns never come from the message. Both spellings of the type and
     the account are read; an explicit null type stays null. ``reason`` is NULL
-    for a usable event.
+    for a usable event; a value that does not fit its column is a reason, too.
     """
     f = F.col("fields")
     used = ("log_group", "log_stream", "envelope_time", "message", "fields", "raw_message")
@@ -226,9 +253,15 @@ def conform_keys(df: DataFrame, table: str = "chat_logs", include_content: bool
         "account_id": F.coalesce(f["accountId"], f["account_id"]),
         "event_timestamp": F.coalesce(f["event_timestamp"], given),
     }
-    columns = [special.get(n, f[n]).alias(n) for n in _payload_fields(table, include_content)]
-    reason = F.when(f.isNull() & F.col("raw_message").isNull(), "not_an_object").when(
-        F.col("_seconds").isNull(), "bad_event_time"
+    kinds = {c.name: c.dataType for c in schemas.feed(table, include_content).data}
+    names = _payload_fields(table, include_content)
+    columns = [special[n].alias(n) if n in special else _fitted(f[n], kinds[n]).alias(n) for n in names]
+    measures = [n for n in names if n not in special and kinds[n] != T.StringType()]
+    misfits = [f[n].isNotNull() & _fitted(f[n], kinds[n]).isNull() for n in measures]
+    reason = (
+        F.when(f.isNull() & F.col("raw_message").isNull(), "not_an_object")
+        .when(F.col("_seconds").isNull(), "bad_event_time")
+        .when(reduce(Column.__or__, misfits, F.lit(False)), "bad_value")
     )
     timed = bind(
         df, _seconds=event_seconds(f["event_timestamp"], F.col("message"), F.col("envelope_time"))
@@ -241,6 +274,7 @@ def conform_keys(df: DataFrame, table: str = "chat_logs", include_content: bool
         message_type.alias("message_type"),
         *columns,
         "raw_message",
+        F.when(f.isNotNull(), extra_fields(F.col("message"), table, include_content)).alias("extra_fields"),
         reason.alias("reason"),
         F.when(reason.isNotNull(), F.col("message")).alias("rejected_message"),
     )
@@ -256,8 +290,12 @@ def transform_log_records(df: DataFrame, table: str, include_content: bool = Fal
 
     Works alike on a batch and a streaming DataFrame; no shuffle.
     """
-    envelopes = read_envelopes(decode_envelopes(df)).filter("kind = 'events'")
-    events = parse_message(explode_events(envelopes), table, include_content)
+    return transform_envelopes(read_envelopes(decode_envelopes(df)), table, include_content)
+
+
+def transform_envelopes(read: DataFrame, table: str, include_content: bool = False) -> DataFrame:
+    """As :func:`transform_log_records`, of records whose envelopes are read already."""
+    events = parse_message(explode_events(read.filter("kind = 'events'")), table, include_content)
     return strip_sensitive(conform_keys(events, table, include_content), include_content)
 
 
@@ -286,7 +324,7 @@ def route_records(df: DataFrame) -> DataFrame:
     """Add ``result``: the fate of each delivered record, its ``data`` untouched.
 
     A record is ``Ok`` when at least one of its events survives or when it holds
-    no log events at all.
+    no log events at all. Whether values fit a table is not looked at here.
     """
     survives = F.exists("envelope.logEvents", _event_survives)
     result = (

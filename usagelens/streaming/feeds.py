@@ -83,22 +83,26 @@ def ingest_logs(
 ) -> StreamingQuery:
     """Stream a log feed into its landing folders, failures into the error prefix.
 
+    Payloads without log events are kept as they came, under their own prefix.
     Every write of a batch goes to folders named after the batch and replaces
-    them, so a batch that is retried leaves nothing twice. Messages are parsed
-    once: good and rejected events are written from the same kept rows.
+    them, so a batch that is retried leaves nothing twice. Records are decoded
+    and messages parsed once: all writes share the same kept rows.
     """
     prefix = schemas.feed(table).prefix
 
     def write(batch: DataFrame, name: str) -> None:
-        events = envelopes.transform_log_records(batch, table, include_content).persist()
+        read = envelopes.read_envelopes(envelopes.decode_envelopes(batch)).persist()
+        events = envelopes.transform_envelopes(read, table, include_content).persist()
         try:
             _write_batch(envelopes.usable(events).drop("record_id"), f"{root}/{prefix}", name)
             lost = envelopes.rejected(events).select("record_id", "reason", "rejected_message")
             _write_errors(lost, root, table, "events", name)
+            _write_errors(read.filter("kind = 'unreadable'").select("record_id", "data"), root, table, "records", name)
+            kept = read.filter("kind = 'passthrough'").select("record_id", "payload")
+            _write_aside(kept, f"{root}/{schemas.PASSTHROUGH_PREFIX}/{table}", name)
         finally:
             events.unpersist()
-        failed = envelopes.unreadable(batch).select("record_id", "data")
-        _write_errors(failed, root, table, "records", name)
+            read.unpersist()
 
     return _deliver(with_arrival(records, ingest_date), write, checkpoint, continuous)
 
@@ -135,8 +139,11 @@ def _write_batch(df: DataFrame, path: str, name: str) -> None:
 
 
 def _write_errors(df: DataFrame, root: str, table: str, kind: str, name: str) -> None:
-    path = f"{root}/{schemas.ERROR_PREFIX}/{table}/{kind}/batch={name}"
-    df.write.mode("overwrite").option("compression", "gzip").json(path)
+    _write_aside(df, f"{root}/{schemas.ERROR_PREFIX}/{table}/{kind}", name)
+
+
+def _write_aside(df: DataFrame, path: str, name: str) -> None:
+    df.write.mode("overwrite").option("compression", "gzip").json(f"{path}/batch={name}")
 
 
 def refresh_curated(

@@ -34,7 +34,7 @@ _ARN = (
 )
 _CONVERSATION = "'conv-' || user_id || '-' || (event_id % 20)"
 
-# event_id spreads values over columns; no row is left out by it.
+# event_id spreads values over columns; each table holds every event or document.
 TABLES = {
     "chat_logs": f"""
 SELECT CASE WHEN event_id % 101 = 0 THEN NULL ELSE {{iso}} END AS timestamp,
@@ -55,7 +55,7 @@ SELECT CASE WHEN event_id % 101 = 0 THEN NULL ELSE {{iso}} END AS timestamp,
   CASE WHEN event_id % 17 = 0 THEN '' ELSE CAST(CAST(floor(value * 10) AS BIGINT) AS VARCHAR(20)) END AS time_to_first_token,
   CASE event_id % 3 WHEN 0 THEN 'console' WHEN 1 THEN 'ide' ELSE 'mobile' END AS surface_type,
   CASE WHEN event_id % 4 = 0 THEN 'true' ELSE 'false' END AS web_search, {_DAY}
-FROM {{events}} WHERE event_type IN ('view', 'click')""",
+FROM {{events}}""",
     "feedback_logs": f"""
 SELECT {{iso}} AS timestamp, 'assistant/feedback' AS log_group, 'stream-0' AS log_stream, 'FEEDBACK_LOGS' AS message_type,
   {_ARN} AS user_arn, CASE WHEN user_id % 10 = 0 THEN 'SERVICE' ELSE 'USER' END AS user_type,
@@ -67,7 +67,7 @@ SELECT {{iso}} AS timestamp, 'assistant/feedback' AS log_group, 'stream-0' AS lo
   regexp_extract(props, '([0-9]+)', 1) AS rating, 'success' AS status_code,
   'arn:aws:assistant:us-east-1:111122223333:account' AS resource_arn, '111122223333' AS account_id,
   {{epoch}} * 1000 AS event_timestamp, 'default' AS namespace, {_DAY}
-FROM {{events}} WHERE event_type = 'purchase'""",
+FROM {{events}}""",
     "agent_hours_logs": f"""
 SELECT {{iso}} AS timestamp, 'assistant/agent-hours' AS log_group, 'stream-0' AS log_stream, 'AGENT_HOURS_LOGS' AS message_type,
   {_ARN} AS user_arn, CASE WHEN user_id % 4 = 0 THEN 'Reader' ELSE 'Pro' END AS subscription_type,
@@ -77,7 +77,7 @@ SELECT {{iso}} AS timestamp, 'assistant/agent-hours' AS log_group, 'stream-0' AS
   CASE WHEN event_id % 7 = 0 THEN 'res-plain' ELSE 'arn:aws:assistant:us-east-1:111122223333:flow/f' || (event_id % 12) END AS service_resource_arn,
   'arn:aws:assistant:us-east-1:111122223333:account' AS resource_arn, '111122223333' AS account_id,
   {{epoch}} AS event_timestamp, {_DAY}
-FROM {{events}} WHERE event_type = 'signup'""",
+FROM {{events}}""",
     "cloudtrail_events": f"""
 SELECT CASE WHEN event_id % 103 = 0 THEN NULL WHEN event_id % 97 = 0 THEN '' ELSE {{iso}} || 'Z' END AS timestamp,
   'evt-' || event_id AS event_id,
@@ -106,7 +106,7 @@ SELECT CASE WHEN event_id % 103 = 0 THEN NULL WHEN event_id % 97 = 0 THEN '' ELS
     || ',"dataSetMode":' || CASE WHEN event_id % 4 = 0 THEN '"{{{{odd"' ELSE '"DIRECT"' END || '}}}}}}}}' END AS service_event_details,
   '[]' AS resources, 'Source' AS resource_type,
   CASE WHEN event_id % 9 = 0 THEN '' ELSE 'arn:aws:assistant:us-east-1:111122223333:source/src' || (event_id % 23) END AS resource_arn, {_DAY}
-FROM {{events}} WHERE event_type IN ('error', 'view')""",
+FROM {{events}}""",
     # Totals per source grow day by day; every document repeats those of its day.
     "index_usage_logs": """
 WITH per_day AS (
@@ -172,6 +172,7 @@ SELECT event_id, CAST(floor(event_id / 8) AS BIGINT) AS batch, {epoch} * 1000 AS
     WHEN event_id % 31 = 0 THEN '{{"broken": ' || event_id
     ELSE '{{"timestamp":"spoofed","user_arn":"u/' || user_id || '","conversation_id":"conv-' || event_id % 50 || '"'
       || CASE event_id % 4 WHEN 0 THEN ',"logType":"CHAT_LOGS"' WHEN 1 THEN ',"log_type":"CHAT_SNAKE"' WHEN 2 THEN ',"logType":null' ELSE '' END
+      || CASE event_id % 6 WHEN 1 THEN ',"trace":{{"at":"edge","hop":' || event_id % 5 || '}}' WHEN 2 THEN ',"retry":' || event_id % 3 ELSE '' END
       || CASE WHEN event_id % 2 = 0 THEN ',"accountId":"a' ELSE ',"account_id":"a' END || event_id % 9 || '"'
       || CASE WHEN event_id % 10 IN (0, 1, 2, 3) THEN ',"event_timestamp":' || ({epoch} * 1000 + 5250)
            WHEN event_id % 10 IN (4, 5) THEN ',"event_timestamp":' || ({epoch} + 7)
@@ -182,7 +183,7 @@ SELECT event_id, CAST(floor(event_id / 8) AS BIGINT) AS batch, {epoch} * 1000 AS
       || ',"latency":' || event_id % 77 || ',"user_selected_resources": [{{"z": ' || event_id || ', "a": [1, 2]}}]'
       || ',"user_message":"hello ' || event_id || '"}}'
   END AS message
-FROM {events} WHERE event_type IN ('view', 'click')"""
+FROM {events}"""
 
 # One audit event per record.
 RAW_AUDIT = """
@@ -202,7 +203,7 @@ SELECT event_id, 'r' || event_id AS record_id,
          WHEN 2 THEN ',"resources":[{{"type":"AWS::Assistant::Dashboard","ARN":"arn:d/' || event_id || '"}},{{"type":"X","ARN":"y"}}]'
          ELSE ',"resources":[{{"type":"Plain"}}]' END
     || '}}}}' END AS payload
-FROM {events} WHERE event_type IN ('error', 'view')"""
+FROM {events}"""
 
 
 def _gzip(text: Column) -> Column:
@@ -261,6 +262,21 @@ def log_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def feed_records(spark: SparkSession, sf_dir: str, name: str, log_type: str) -> DataFrame:
+    """Delivered records of a log table's rows, one event each, under the feed's own keys."""
+    columns = {"logType": "message_type", "log_type": "message_type", "accountId": "account_id"}
+    fields = [F.col(columns.get(f, f)).alias(f) for f in schemas.RECORD_FIELDS[log_type]]
+    event = F.struct(F.lit(0).alias("timestamp"), F.to_json(F.struct(*fields)).alias("message"))
+    envelope = F.struct(
+        F.lit("DATA_MESSAGE").alias("messageType"),
+        F.col("log_group").alias("logGroup"),
+        F.col("log_stream").alias("logStream"),
+        F.array(event).alias("logEvents"),
+    )
+    data = F.base64(F.encode(F.to_json(envelope), "UTF-8"))
+    return table(spark, sf_dir, name).select(F.lit(log_type).alias("record_id"), data.alias("data"))
+
+
 def audit_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = _raw(spark, sf_dir, RAW_AUDIT)
     return raw.select("record_id", F.base64(F.encode("payload", "UTF-8")).alias("data"))

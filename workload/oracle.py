@@ -152,7 +152,7 @@ _FLAT_AUDIT = f"""SELECT coalesce(eventTime, '') AS timestamp, 'evt-' || event_i
   CAST(year(d) AS INT) AS year, CAST(month(d) AS INT) AS month, CAST(day(d) AS INT) AS day
 FROM (SELECT *, CASE WHEN event_id % 103 = 0 THEN NULL WHEN event_id % 97 = 0 THEN 'soon' ELSE {derive.DUCKDB['iso']} || 'Z' END AS eventTime,
   if(event_id % 103 = 0 OR event_id % 97 = 0, DATE '2024-02-01', CAST(ts AS DATE)) AS d
-  FROM events WHERE event_type IN ('error', 'view') AND {_AUDIT_OK})"""
+  FROM events WHERE {_AUDIT_OK})"""
 
 _CTES = {name: derive.duckdb_sql(name) for name in derive.TABLES} | {
     "raw_chat": derive.raw_sql(derive.RAW_CHAT, derive.DUCKDB),
@@ -314,9 +314,11 @@ def _oracle() -> dict[str, str]:
     kept = (
         "record_id timestamp log_group log_stream message_type user_arn user_type agent_id flow_id conversation_id system_message_id"
         " user_message_id user_selected_resources status_code message_scope action_connectors cited_resource file_attachment resource_arn"
-        " account_id event_timestamp namespace latency time_to_first_token surface_type web_search raw_message"
+        " account_id event_timestamp namespace latency time_to_first_token surface_type web_search raw_message extra_fields"
     ).replace(" ", ",")
     o["i07_strip_sensitive"] = f"SELECT 'b' || batch AS record_id, '{kept}' AS columns_kept, {_member('conversation_id')} AS conversation_id FROM delivered WHERE reason IS NULL"
+    o["i06_extra_fields"] = """SELECT event_id, CASE WHEN object IS NULL THEN NULL WHEN event_id % 6 = 1 THEN '{"trace":{"at":"edge","hop":' || event_id % 5 || '}}'
+  WHEN event_id % 6 = 2 THEN '{"retry":' || event_id % 3 || '}' END AS extra_fields FROM raw_events"""
     o["i08_nested_json_text"] = f"SELECT event_id, {_NO_SPACES} AS user_selected_resources FROM raw_events"
     result = "CASE kind WHEN 'unreadable' THEN 'ProcessingFailed' WHEN 'passthrough' THEN 'Ok' WHEN 'control' THEN 'Dropped' ELSE if(empty OR NOT survived, 'Dropped', 'Ok') END"
     routed = f"SELECT batch, kind, {result} AS result FROM batches JOIN (SELECT batch, bool_or(reason IS NULL) AS survived FROM raw_events GROUP BY batch) USING (batch)"
@@ -327,7 +329,7 @@ def _oracle() -> dict[str, str]:
     o["i12_partition_keys"] = "SELECT year, month, day, count(*) AS row_count FROM flat_audit GROUP BY ALL"
     o["i13_resource_type"] = "SELECT event_id, resources, resource_type FROM flat_audit"
     o["i14_resource_arn"] = "SELECT event_id, resource_arn FROM flat_audit"
-    o["i15_filter_audit_feed"] = f"SELECT 'r' || event_id AS record_id, '{derive.DUCKDB['audit_source']}' AS source FROM events WHERE event_type IN ('error', 'view') AND event_id % 43 <> 0 AND event_id % 13 <> 0 AND event_id % 17 <> 0"
+    o["i15_filter_audit_feed"] = f"SELECT 'r' || event_id AS record_id, '{derive.DUCKDB['audit_source']}' AS source FROM events WHERE event_id % 43 <> 0 AND event_id % 13 <> 0 AND event_id % 17 <> 0"
     for key, (table, fields) in _FIELDS.items():
         o[key] = f"SELECT {fields} FROM {table}"
     o["i17_read_raw"] = "SELECT * FROM chat_logs"
@@ -377,6 +379,7 @@ FROM cloudtrail_events WHERE event_name = 'QueryDatabase' AND event_source = '{_
     o["f15_percent"] = """SELECT user_name, count(*) FILTER (web_search = 'true') AS web, count(*) AS messages,
   round(100.0::DOUBLE * count(*) FILTER (web_search = 'true') / count(*), 1) AS percentage FROM chat_activity GROUP BY user_name"""
     # A, N
+    o["a01_approx_distinct_count"] = "SELECT surface_type, count(DISTINCT conversation_id) AS sessions, true AS close FROM chat_activity GROUP BY surface_type"
     o["a01_distinct_count"] = "SELECT surface_type, count(DISTINCT user_name) AS users FROM chat_activity GROUP BY surface_type"
     o["a02_count"] = "SELECT satisfaction, count(reason) AS with_reason, count(*) AS row_count FROM feedback_analysis GROUP BY satisfaction"
     o["a03_sum"] = "SELECT resource_id, sum(hours) AS hours FROM agent_hours_usage GROUP BY resource_id"
@@ -490,6 +493,7 @@ FROM p LEFT JOIN p b ON b.{period} = p.{period} - INTERVAL {step}"""
     month = "SELECT CAST(date_trunc('month', event_time) AS DATE) AS month, sum(hours) AS hours FROM d_hours WHERE event_time IS NOT NULL GROUP BY 1"
     o["x03_week_over_week"] = change(week, "week", "sessions", "7 DAY")
     o["x04_month_over_month"] = change(month, "month", "hours", "1 MONTH")
+    o["x05_latency_percentiles"] = "SELECT feature, quantile_disc(latency_ms, 0.5) AS p50_latency_ms, quantile_disc(latency_ms, 0.95) AS p95_latency_ms FROM d_chat GROUP BY feature"
     o["x05_latency"] = """SELECT feature, avg(latency_ms) AS avg_latency_ms, avg(time_to_first_token_ms) AS avg_time_to_first_token_ms,
   count(latency_ms) AS measured FROM d_chat GROUP BY feature"""
     o["x06_overage"] = """SELECT service, sum(hours) AS total_hours, sum(if(usage_group = 'Extra', hours, 0.0::DOUBLE)) AS extra_hours,
@@ -550,6 +554,9 @@ FROM d_chat GROUP BY 1"""
 FROM delivered WHERE reason IS NULL"""
     o["p1_stream_audit_feed"] = """SELECT event_id, timestamp, user_name, resource_type, 2024 AS year, 2 AS month, 1 AS day FROM flat_audit
 WHERE CAST(event_id[5:] AS BIGINT) % 13 <> 0 AND CAST(event_id[5:] AS BIGINT) % 17 <> 0"""
+    for key, table in (("feedback", "feedback_logs"), ("hours", "agent_hours_logs"), ("index", "index_usage_logs")):
+        o[f"p1_stream_{key}_feed"] = f"SELECT * EXCLUDE (year, month, day) FROM {table}"
+    o["p1_passthrough"] = o["i10_passthrough"]
     o["p2_arrival_days"] = "SELECT 2024 AS year, 2 AS month, 1 AS day, count(*) AS row_count FROM delivered WHERE reason IS NULL"
     o["p3_failure_stream"] = "SELECT 'b' || batch AS record_id, kind AS reason FROM batches WHERE kind = 'unreadable' UNION ALL SELECT 'b' || batch, reason FROM delivered WHERE reason IS NOT NULL"
     o["p4_scheduled_refresh"] = "SELECT * FROM feedback_logs"

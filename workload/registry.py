@@ -142,6 +142,11 @@ def _(x):
     return events.select(*columns.split(), "raw_message")
 
 
+@query("i06_extra_fields")
+def _(x):
+    return envelopes.conform_keys(envelopes.parse_message(_raw_events(x))).select("event_id", "extra_fields")
+
+
 @query("i07_strip_sensitive")
 def _(x):
     usable = envelopes.usable(x.events(include_content=False))
@@ -394,8 +399,12 @@ def _(x):
 
 @query("a01_approx_distinct_count")
 def _(x):
-    measure = aggregate.measure("conversation_id", "APPROX_DISTINCT_COUNT", "sessions")
-    return aggregate.metric(x.view("chat_activity"), [measure], ["surface_type"])
+    """The sketch beside the exact count, which it must meet within a tenth."""
+    names = {"DISTINCT_COUNT": "sessions", "APPROX_DISTINCT_COUNT": "about"}
+    measures = [aggregate.measure("conversation_id", a, n) for a, n in names.items()]
+    counts = aggregate.metric(x.view("chat_activity"), measures, ["surface_type"])
+    close = F.abs(F.col("about") - F.col("sessions")) <= 0.1 * F.col("sessions")
+    return counts.select("surface_type", "sessions", close.alias("close"))
 
 
 @query("a02_count")
@@ -709,12 +718,12 @@ def _delivered_files(x: Inputs, records: DataFrame, name: str) -> str:
     return path
 
 
-def _streamed(x: Inputs) -> str:
-    """Run the chat feed to the end of its files; returns the landing root."""
+def _streamed(x: Inputs, table: str = "chat_logs", records: DataFrame | None = None) -> str:
+    """Run a log feed to the end of its files; returns the landing root."""
     root = x.scratch("stream")
-    stream = feeds.read_records(x.spark, _delivered_files(x, x.records, "records"))
+    stream = feeds.read_records(x.spark, _delivered_files(x, x.records if records is None else records, "records"))
     feeds.ingest_logs(
-        stream, "chat_logs", root, f"{root}-progress", ingest_date=INGEST_DATE, continuous=False
+        stream, table, root, f"{root}-progress", ingest_date=INGEST_DATE, continuous=False
     ).awaitTermination()
     return root
 
@@ -725,6 +734,23 @@ def _(x):
     return rows.select("timestamp", "message_type", "user_arn", "conversation_id", "account_id", "event_timestamp")
 
 
+def _stream_feed(x: Inputs, table: str, log_type: str) -> DataFrame:
+    """A table's rows as delivered records, through the stream, as landed: every column must come back."""
+    root = _streamed(x, table, derive.feed_records(x.spark, x.sf_dir, table, log_type))
+    return lake.read_raw(x.spark, root, table).drop(*schemas.PARTITION_COLUMNS)
+
+
+query("p1_stream_feedback_feed")(lambda x: _stream_feed(x, "feedback_logs", "FEEDBACK_LOGS"))
+query("p1_stream_hours_feed")(lambda x: _stream_feed(x, "agent_hours_logs", "AGENT_HOURS_LOGS"))
+query("p1_stream_index_feed")(lambda x: _stream_feed(x, "index_usage_logs", "INDEX_USAGE_LOGS"))
+
+
+@query("p1_passthrough")
+def _(x):
+    kept = f"{_streamed(x)}/{schemas.PASSTHROUGH_PREFIX}/chat_logs"
+    return x.spark.read.schema("record_id string, payload string").json(kept).select("record_id", "payload")
+
+
 @query("p1_stream_audit_feed")
 def _(x):
     root = x.scratch("stream")
