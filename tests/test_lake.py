@@ -185,3 +185,18 @@ def test_schema_widths():
         "cloudtrail_events": 25,
         "index_usage_logs": 14,
     }
+
+
+def test_quoted_numbers_survive_and_broken_lines_are_set_apart(spark, folder):
+    day = f"{folder}/raw/{schemas.PREFIXES['agent_hours_logs']}/year=2024/month=01/day=02"
+    os.makedirs(day)
+    lines = ['{"user_arn":"a","usage_hours":"1.5","event_timestamp":"7.0"}', '{"user_arn":"b","usa', "", '{"user_arn":"c"}', '{"user_arn":"d"} x']
+    with open(f"{day}/part.json", "w") as out:
+        out.write("\n".join(lines))
+    for _run in range(2):
+        assert lake.curate(spark, f"{folder}/raw", f"{folder}/cur", "agent_hours_logs")
+        rows = lake.read_curated(spark, f"{folder}/cur", "agent_hours_logs").collect()
+        assert sorted((r.user_arn, r.usage_hours, r.event_timestamp, r.day) for r in rows) == [("a", 1.5, 7, 2), ("c", None, None, 2)]
+        broken = lake.read_quarantine(spark, f"{folder}/cur", "agent_hours_logs").collect()
+        assert sorted((r.line, r.day) for r in broken) == [(lines[1], 2), (lines[4], 2)]
+    assert lake.read_quarantine(spark, f"{folder}/cur", "chat_logs").count() == 0

@@ -56,14 +56,19 @@ def _gunzip(data: Column) -> Column:
 
 
 def one_object(text: Column, schema: str) -> Column:
-    """The struct in ``text`` when it holds exactly one JSON object, else NULL.
+    """The struct in ``text`` when it holds exactly one JSON object, else NULL."""
+    return objects(text, schema)[0]
+
+
+def objects(text: Column, schema: str) -> Column:
+    """As :func:`one_object`, in an array, which ``inline`` turns into a row or none.
 
     Reading the text as a one-element array makes trailing garbage an error,
     which a plain struct read would overlook.
     """
     kept = F.when(F.ltrim(text).startswith("{") & F.rtrim(text).endswith("}"), text)
     values = F.from_json(F.concat(F.lit("["), kept, F.lit("]")), schema)
-    return let(values, lambda v: F.when(F.size(v) == 1, v[0]))
+    return let(values, lambda v: F.when(F.size(v) == 1, v))
 
 
 def _is_other_json(text: Column) -> Column:
@@ -209,7 +214,7 @@ def second_text(seconds: Column) -> Column:
     return F.replace(at.cast("string"), F.lit(" "), F.lit("T"))
 
 
-def _fitted(text: Column, kind: T.DataType) -> Column:
+def fitted(text: Column, kind: T.DataType) -> Column:
     """Text as a column's type, NULL where it does not fit; a whole number may end in ``.0``."""
     if kind != T.LongType():
         return text.try_cast(kind)
@@ -255,9 +260,9 @@ def conform_keys(df: DataFrame, table: str = "chat_logs", include_content: bool
     }
     kinds = {c.name: c.dataType for c in schemas.feed(table, include_content).data}
     names = _payload_fields(table, include_content)
-    columns = [special[n].alias(n) if n in special else _fitted(f[n], kinds[n]).alias(n) for n in names]
+    columns = [special[n].alias(n) if n in special else fitted(f[n], kinds[n]).alias(n) for n in names]
     measures = [n for n in names if n not in special and kinds[n] != T.StringType()]
-    misfits = [f[n].isNotNull() & _fitted(f[n], kinds[n]).isNull() for n in measures]
+    misfits = [f[n].isNotNull() & fitted(f[n], kinds[n]).isNull() for n in measures]
     reason = (
         F.when(f.isNull() & F.col("raw_message").isNull(), "not_an_object")
         .when(F.col("_seconds").isNull(), "bad_event_time")

@@ -2,6 +2,8 @@
 
 Layout: ``<root>/<feed prefix>/year=YYYY/month=MM/day=DD/``. Reads take the
 fixed schema and let Spark discover the partitions; there is no inference pass.
+Landed values are read as text and cast, so a quoted number counts as a number;
+lines that hold no JSON object are left out of the rows and set apart by ``curate``.
 """
 
 from __future__ import annotations
@@ -11,11 +13,15 @@ from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from usagelens import schemas
+from usagelens.functions.binding import bind
+from usagelens.sources import envelopes
+
+LINES = T.StructType([T.StructField("value", T.StringType()), *schemas.PARTITION_SCHEMA.fields])
 
 
 def _path(root: str, prefix: str) -> str:
@@ -62,10 +68,38 @@ def compact(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in schemas.PARTITION_COLUMNS])
 
 
+def _object(feed: schemas.Feed) -> Column:
+    """A landed line's fields as text, in an array; NULL where it is no JSON object."""
+    fields = ", ".join(f"`{name}`: string" for name in feed.data.fieldNames())
+    return envelopes.objects(F.col("value"), f"array<struct<{fields}>>")
+
+
+def _rows(lines: DataFrame, objects: Column, feed: schemas.Feed) -> DataFrame:
+    return ensure_columns(lines.select(F.inline(objects), *schemas.PARTITION_COLUMNS), feed.schema)
+
+
+def _lines(spark: SparkSession, base: str, path: str) -> DataFrame:
+    """Landed lines with their days, which Spark reads off the folders; none below a folder without days."""
+    df = spark.read.option("basePath", base).text(path)
+    return df.select(*LINES.fieldNames()) if {*LINES.fieldNames()} <= {*df.columns} else spark.createDataFrame([], LINES)
+
+
+def _raw_lines(spark: SparkSession, root: str, table: str) -> DataFrame | None:
+    """Landed lines of a feed; None for a feed that has no files."""
+    base = _path(root, schemas.PREFIXES[table])
+    try:
+        return _lines(spark, base, base)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def read_raw(spark: SparkSession, root: str, table: str, include_content: bool = False) -> DataFrame:
     """Landed JSON of a feed with its fixed schema; the folder's day wins."""
     feed = schemas.feed(table, include_content)
-    return spark.read.schema(feed.schema).json(_path(root, feed.prefix)).select(*feed.schema.fieldNames())
+    base = _path(root, feed.prefix)
+    return _rows(_lines(spark, base, base), _object(feed), feed)
 
 
 def read_raw_or_none(
@@ -129,25 +163,20 @@ def _day_folder(day: dt.date) -> str:
     return f"year={day.year}/month={day.month:02d}/day={day.day:02d}"
 
 
-def _read_folders(
-    spark: SparkSession, root: str, table: str, folders: list[str], include_content: bool
-) -> DataFrame:
-    """Landed rows below some day folders; the rest of the feed is not even listed."""
-    feed = schemas.feed(table, include_content)
-    base = _path(root, feed.prefix)
+def _read_folders(spark: SparkSession, root: str, table: str, folders: list[str]) -> DataFrame:
+    """Landed lines below some day folders; the rest of the feed is not even listed."""
+    base = _path(root, schemas.PREFIXES[table])
     try:
         if not folders:
             raise FileNotFoundError
-        reader = spark.read.schema(feed.schema).option("basePath", base)
         # One pattern, so that days without data do not count as missing paths.
-        df = reader.json(f"{base}/{{{','.join(folders)}}}" if len(folders) > 1 else f"{base}/{folders[0]}")
+        return _lines(spark, base, f"{base}/{{{','.join(folders)}}}" if len(folders) > 1 else f"{base}/{folders[0]}")
     except FileNotFoundError:
-        df = spark.createDataFrame([], feed.schema)
+        return spark.createDataFrame([], LINES)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        df = spark.createDataFrame([], feed.schema)
-    return df.select(*feed.schema.fieldNames())
+        return spark.createDataFrame([], LINES)
 
 
 def read_range(
@@ -163,17 +192,22 @@ def read_range(
     """
     if start.year < years[0] or end.year > years[1]:
         raise ValueError(f"the range {start} to {end} leaves the years {years[0]} to {years[1]}; pass years to widen them")
-    rows = _read_folders(spark, root, table, range_folders(start, end), include_content)
-    return rows.filter(day_range(start, end))
+    feed = schemas.feed(table, include_content)
+    lines = _read_folders(spark, root, table, range_folders(start, end))
+    return _rows(lines.filter(day_range(start, end)), _object(feed), feed)
 
 
 def read_days(
     spark: SparkSession, root: str, table: str, days: Iterable[dt.date], include_content: bool = False
 ) -> DataFrame:
     """Landed rows of some days, found as in :func:`read_range`."""
+    feed = schemas.feed(table, include_content)
+    return _rows(_lines_of_days(spark, root, table, days), _object(feed), feed)
+
+
+def _lines_of_days(spark: SparkSession, root: str, table: str, days: Iterable[dt.date]) -> DataFrame:
     days = sorted(days)
-    folders = [_day_folder(d) for d in days]
-    return _read_folders(spark, root, table, folders, include_content).filter(any_day(days))
+    return _read_folders(spark, root, table, [_day_folder(d) for d in days]).filter(any_day(days))
 
 
 def ensure_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -181,11 +215,13 @@ def ensure_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
 
     A value that does not fit its column becomes NULL.
     """
-    have = set(df.columns)
+    have = dict(df.dtypes)
 
     def conform(field: T.StructField) -> Column:
         if field.name not in have:
             return F.lit(None).cast(field.dataType).alias(field.name)
+        if have[field.name] == "string":
+            return envelopes.fitted(F.col(field.name), field.dataType).alias(field.name)
         return F.col(field.name).try_cast(field.dataType).alias(field.name)
 
     return df.select(*[conform(field) for field in schema.fields])
@@ -235,16 +271,49 @@ def curate(
     include_content: bool = False,
     compacted: bool = True,
 ) -> bool:
-    """Conform one feed's landed rows into its table; False when it has none."""
-    path = create_table(spark, curated_root, table, include_content)
-    raw = read_raw_or_none(spark, raw_root, table, include_content)
-    if raw is None:
+    """Conform one feed's landed lines into its table; False when it has none."""
+    create_table(spark, curated_root, table, include_content)
+    lines = _raw_lines(spark, raw_root, table)
+    if lines is None or lines.isEmpty():
         return False
-    conformed = ensure_columns(raw, schemas.feed(table, include_content).schema)
-    overwrite_partitions(conformed, path, compacted)
+    _store(lines, curated_root, schemas.feed(table, include_content), compacted)
     return True
 
 
+def curate_days(
+    spark: SparkSession, raw_root: str, curated_root: str, table: str, days: Iterable[dt.date], include_content: bool = False
+) -> None:
+    """Conform some days of a feed into its table."""
+    _store(_lines_of_days(spark, raw_root, table, days), curated_root, schemas.feed(table, include_content))
+
+
+def _store(lines: DataFrame, curated_root: str, feed: schemas.Feed, compacted: bool = True) -> None:
+    """Replace the days of the lines in a table, and keep broken lines apart.
+
+    Broken lines are counted by the write of the rows; only where there are any
+    is the input read again for them. Landed files are never changed, so a day
+    that has had broken lines still has them.
+    """
+    seen, parsed = Observation(), bind(lines, found=_object(feed))
+    broken = F.col("found").isNull() & (F.trim("value") != "")
+    watched = parsed.observe(seen, F.count_if(broken).alias("broken"))
+    overwrite_partitions(_rows(watched, F.col("found"), feed), _path(curated_root, feed.table), compacted)
+    if seen.get["broken"]:
+        apart = parsed.filter(broken).select(F.col("value").alias("line"), *schemas.PARTITION_COLUMNS)
+        overwrite_partitions(apart, _path(curated_root, f"{schemas.QUARANTINE_PREFIX}/{feed.table}"))
+
+
+def read_quarantine(spark: SparkSession, curated_root: str, table: str) -> DataFrame:
+    """Landed lines that held no JSON object, by day; :func:`landed_days` counts them."""
+    schema = T.StructType([T.StructField("line", T.StringType()), *schemas.PARTITION_SCHEMA.fields])
+    try:
+        return spark.read.schema(schema).parquet(_path(curated_root, f"{schemas.QUARANTINE_PREFIX}/{table}"))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def curate_all(
     spark: SparkSession, raw_root: str, curated_root: str, include_content: bool = False
 ) -> dict[str, bool]:

@@ -161,7 +161,7 @@ def refresh_curated(
     schedules the runs, one at a time.
     """
     feed = schemas.feed(table, include_content)
-    path = lake.create_table(spark, curated_root, table, include_content)
+    lake.create_table(spark, curated_root, table, include_content)
     # Listed, not read: only the folder names of new files are used.
     listing = T.StructType(FILE_LISTING + schemas.PARTITION_SCHEMA.fields)
     landed = spark.readStream.format("binaryFile").schema(listing).load(f"{raw_root}/{feed.prefix}")
@@ -171,8 +171,7 @@ def refresh_curated(
         # Calendar days: a short list, which prunes the folders read below.
         touched = [dt.date(*row) for row in batch.select(*schemas.PARTITION_COLUMNS).distinct().collect()]
         if touched:
-            raw = lake.read_days(spark, raw_root, table, touched, include_content)
-            lake.overwrite_partitions(lake.ensure_columns(raw, feed.schema), path)
+            lake.curate_days(spark, raw_root, curated_root, table, touched, include_content)
 
     return (
         landed.writeStream.foreachBatch(replace_days)

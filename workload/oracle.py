@@ -344,6 +344,8 @@ def _oracle() -> dict[str, str]:
     o["i23_overwrite_partitions"] = "SELECT * FROM feedback_logs"
     o["i24_land"] = "SELECT user_arn, usage_hours, 2024 AS year, 2 AS month, 1 AS day FROM agent_hours_logs"
     o["i25_curate_all"] = _table_counts(_TABLES)
+    o["i25_quarantine"] = """SELECT if(cut, NULL, user_arn) AS user_arn, if(cut, NULL, usage_hours) AS usage_hours, if(cut, NULL, event_timestamp) AS event_timestamp,
+  year, month, day, if(cut, left('{"timestamp":"' || timestamp, 25), NULL) AS line FROM (SELECT *, event_timestamp % 10 = 3 AS cut FROM agent_hours_logs)"""
     o["i26_refresh_dataset"] = "SELECT * FROM d_chat"
     o["i27_datasets_ready"] = " UNION ALL ".join(
         f"SELECT '{name}' AS dataset, count(*) AS row_count, count(*) > 0 AS ready FROM {frame}" for name, frame in _FRAMES.items()
