@@ -225,13 +225,12 @@ def fitted(text: Column, kind: T.DataType) -> Column:
 def extra_fields(message: Column, table: str, include_content: bool = True) -> Column:
     """The fields of an object that the table has no column for, as JSON; NULL if there are none.
 
-    Fields named like envelope columns are left out, and so is message content
-    unless it was opted in. Only messages with such fields are parsed for them;
+    Fields named like envelope columns are left out, and so is message content,
+    which has columns of its own where it was opted in. Only messages with such fields are parsed for them;
     where their values cannot be kept as they are, their text is.
     """
     known = {*_payload_fields(table, include_content), *schemas.ENVELOPE_COLUMNS}
-    known |= {"logType", "log_type", "accountId", "account_id"}
-    known |= set() if include_content else set(schemas.SENSITIVE)
+    known |= {"logType", "log_type", "accountId", "account_id", *schemas.SENSITIVE}
     unknown = F.array_except(F.json_object_keys(message), F.array(*[F.lit(n) for n in sorted(known)]))
 
     def rest(names: Column, kind: str) -> Column:

@@ -538,7 +538,7 @@ FROM d_chat GROUP BY 1"""
     o["x18_regional_calls"] = errors("aws_region")
     # G, Q
     turn = "CAST(conv_id AS VARCHAR) AS conversation_id, CAST(turn AS VARCHAR) AS system_message_id"
-    o["g1_restricted_view"] = f"SELECT {turn}, 27 AS n_columns FROM conversations"
+    o["g1_restricted_view"] = f"SELECT {turn}, 28 AS n_columns FROM conversations"
     o["g2_mask_documents"] = f"SELECT doc_id, {_mask_sql('text', _MASKED)} AS text FROM documents"
     o["g2_mask_all_patterns"] = f"SELECT conv_id, turn, {_mask_sql('text', _RE2)} AS text FROM conversations"
     o["g2_pattern_hits"] = f"SELECT source, {_HITS} FROM documents GROUP BY source"
