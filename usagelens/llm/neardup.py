@@ -167,13 +167,17 @@ def postings(nodes: DataFrame) -> DataFrame:
     return pages.join(frequency, "page").select("nodes", "signatures", "answers").mapInArrow(lists, StructType.fromDDL("key long, node long"))
 
 
-def candidates(lists: DataFrame, labels: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
+def candidates(lists: DataFrame, labels: DataFrame | None, turn: int) -> tuple[DataFrame, DataFrame]:
     """Pairs (a, b) to look at in this turn, and the postings of lists that hold several components.
 
     The first pivot of a list is its smallest node; later ones are drawn. Lists of one
     group share most of their members and so their pivots, which keeps the pairs few.
     """
-    named = lists.join(labels.withColumnRenamed("label", "known"), "node", "left").select("key", "node", F.coalesce("known", "node").alias("label"))
+    if labels is None:
+        named = lists.select("key", "node", F.col("node").alias("label"))
+    else:  # read twice below, so joined once and written
+        known = lists.join(labels.withColumnRenamed("label", "known"), "node", "left")
+        named = base.saved(known.select("key", "node", F.coalesce("known", "node").alias("label")), "labelled-lists")
     drawn = F.struct("node") if turn == 0 else F.struct(F.xxhash64(F.lit(turn), "node"), "node")
     stats = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size"), F.min_by(F.struct("node", "label"), drawn).alias("pivot"))
     stats = base.saved(stats.filter("low != high"), "lists")
@@ -293,7 +297,7 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     nodes = classes.filter("node is not null")
     lists = base.saved(postings(nodes), "postings")
     codes = base.saved(base.map_batches(nodes.select("node", "n_shingles", "signature"), lambda: _codes, "node long, n_shingles long, code binary"), "codes")
-    labels, tested, sets = docs.sparkSession.createDataFrame([], "node long, label long"), None, None
+    labels, tested, sets = None, None, None
     for turn in range(TURNS):
         pairs, lists = candidates(lists, labels, turn)
         pairs = base.saved(colliding(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), codes), "colliding")
