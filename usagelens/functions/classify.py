@@ -15,63 +15,59 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # --- fixed values: rule tables, in order --------------------------------------
-VIEW_RULES = """
-Automation: Automation, Deployment
-Connector: ActionConnector, PassAction
-Workflow: Workflow
-Research: Research
-Chat: Assistant, Chat, Conversation
-Integration: Integration
-Dashboard: Dashboard
-Analysis: Analysis, Analys
-Dataset: DataSet, Dataset
-Data Source: DataSource
-Ingestion: Ingestion, Refresh
-Q Topic: Topic
-Space: Space, Namespace
-Knowledge Base: KnowledgeBase, Knowledge
-Flow: Flow
-Folder: Folder
-Template: Template
-Theme: Theme
-User & Access: User, Group, Membership
-Embedding: Embed
-Account Settings: Account, Setting
-Authorization: Authorization
-Search: Search
-"""
+VIEW_RULES = [
+    ("Automation", ["Automation", "Deployment"]),
+    ("Connector", ["ActionConnector", "PassAction"]),
+    ("Workflow", ["Workflow"]),
+    ("Research", ["Research"]),
+    ("Chat", ["Assistant", "Chat", "Conversation"]),
+    ("Integration", ["Integration"]),
+    ("Dashboard", ["Dashboard"]),
+    ("Analysis", ["Analysis", "Analys"]),
+    ("Dataset", ["DataSet", "Dataset"]),
+    ("Data Source", ["DataSource"]),
+    ("Ingestion", ["Ingestion", "Refresh"]),
+    ("Q Topic", ["Topic"]),
+    ("Space", ["Space", "Namespace"]),
+    ("Knowledge Base", ["KnowledgeBase", "Knowledge"]),
+    ("Flow", ["Flow"]),
+    ("Folder", ["Folder"]),
+    ("Template", ["Template"]),
+    ("Theme", ["Theme"]),
+    ("User & Access", ["User", "Group", "Membership"]),
+    ("Embedding", ["Embed"]),
+    ("Account Settings", ["Account", "Setting"]),
+    ("Authorization", ["Authorization"]),
+    ("Search", ["Search"]),
+]
 VIEW_FALLBACK = "Other"
 
-DATASET_RULES = """
-Automation: Automation, Deployment
-Connector: PassAction
-Workflow: Workflow
-Research: Research
-Dashboard: Dashboard
-Analysis: Analysis, Analys
-Dataset: DataSet, Dataset
-Data Source: DataSource
-Ingestion: Ingestion, Refresh
-Topic: Topic
-Space: *Space
-Knowledgebase: KnowledgeBase, Knowledge
-Folder: Folder
-Template: Template
-Theme: Theme
-Embedding: Embed
-Authorization: Authorization
-Search: Search*
-Database: Database
-"""
+DATASET_RULES = [
+    ("Automation", ["Automation", "Deployment"]),
+    ("Connector", ["PassAction"]),
+    ("Workflow", ["Workflow"]),
+    ("Research", ["Research"]),
+    ("Dashboard", ["Dashboard"]),
+    ("Analysis", ["Analysis", "Analys"]),
+    ("Dataset", ["DataSet", "Dataset"]),
+    ("Data Source", ["DataSource"]),
+    ("Ingestion", ["Ingestion", "Refresh"]),
+    ("Topic", ["Topic"]),
+    ("Space", ["*Space"]),
+    ("Knowledgebase", ["KnowledgeBase", "Knowledge"]),
+    ("Folder", ["Folder"]),
+    ("Template", ["Template"]),
+    ("Theme", ["Theme"]),
+    ("Embedding", ["Embed"]),
+    ("Authorization", ["Authorization"]),
+    ("Search", ["Search*"]),
+    ("Database", ["Database"]),
+]
 # In the dataset's table this rule does not apply to names with this prefix.
 DATASET_EXCEPT = {"Automation": "Search*"}
 # --- end of fixed values ------------------------------------------------------
 
-
-def rules(table: str) -> list[tuple[str, list[str]]]:
-    """Rule table text -> ordered (label, fragments)."""
-    pairs = (line.split(": ") for line in table.strip().splitlines())
-    return [(label, fragments.split(", ")) for label, fragments in pairs]
+Rules = list[tuple[str, list[str]]]
 
 
 def _matches(name: Column, fragment: str) -> Column:
@@ -82,9 +78,9 @@ def _matches(name: Column, fragment: str) -> Column:
     return name.contains(fragment)
 
 
-def _first_match(name: Column, table: str, excepted: dict[str, str]) -> Column:
+def _first_match(name: Column, rules: Rules, excepted: dict[str, str]) -> Column:
     arms = []
-    for label, fragments in rules(table):
+    for label, fragments in rules:
         hit = reduce(Column.__or__, [_matches(name, f) for f in fragments])
         if label in excepted:
             hit = hit & ~_matches(name, excepted[label])

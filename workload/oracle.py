@@ -22,7 +22,7 @@ def _last_part(column: str) -> str:
     return f"string_split({column}, '/')[-1]"
 
 
-def _feature_sql(table: str, fallback: str, excepted: dict[str, str]) -> str:
+def _feature_sql(rules: classify.Rules, fallback: str, excepted: dict[str, str]) -> str:
     """A rule table as a list of (hit, label) pairs, first hit taken."""
 
     def test(fragment: str) -> str:
@@ -33,7 +33,7 @@ def _feature_sql(table: str, fallback: str, excepted: dict[str, str]) -> str:
         return f"contains(event_name, '{fragment}')"
 
     arms = []
-    for label, fragments in classify.rules(table):
+    for label, fragments in rules:
         hit = "(" + " OR ".join(map(test, fragments)) + ")"
         if label in excepted:
             hit += f" AND NOT {test(excepted[label])}"
