@@ -139,6 +139,20 @@ def test_surrogates_stay_distinct(spark, monkeypatch):
     assert len(set(new)) == 6 and not set(new) & {str(i) for i in range(1, 7)}
 
 
+def test_surrogates_end_when_a_format_is_full(spark):
+    full = [("ip", f"192.168.{i}.{j}") for i in range(10) for j in range(10)] + [("ip", f"10.{i}.{j}.{k}") for i in range(10) for j in range(10) for k in range(10)]
+    full += [("email", f"{a}@{b}.com") for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"] + [("email", "_@-.com")]
+    odd = {(x.kind, x.entity): x.attempt for x in surrogates.exceptions(spark.createDataFrame(full, "kind string, entity string")).collect()}
+    new = {(k, surrogates.surrogate(k, e, odd.get((k, e), 0), surrogates.KEY)) for k, e in full}
+    assert len(new) == len(full) and not new & set(full)
+    for kind, entity in (("phone", "4912345"), ("card", "4532015112830366"), ("ssn", "123456789"), ("iban", "DE89370400440532013000"), ("email", "a@b.com")):
+        assert len(surrogates.surrogate(kind, entity, 9, surrogates.KEY)) > len(entity)
+    far = surrogates.surrogate("ip", "192.168.1.1", 9, surrogates.KEY)
+    assert not surrogates.detect(f"at {far} now")
+    assert surrogates.laid_out("email", "ME@x.com", "abcd@y.com") == "ABcd@y.com" and surrogates.laid_out("ssn", "123-45-6789", "9876543210") == "987-65-43210"
+    assert surrogates.normal("card", "\u0661" * 13) == "1" * 13
+
+
 def test_mixing(docs, rows):
     got = mixing.judge(docs).collect()
     assert len(got) == len(rows) and sorted(map(tuple, got)) == as_set(mixing.judge(docs))

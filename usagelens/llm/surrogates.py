@@ -13,6 +13,11 @@ security numbers, IBANs, and persons named after a title. Digits stay digits and
 letters stay letters of their case and script; card numbers and IBANs that check
 still check; an address keeps its last label, a phone number its country code, an
 octet its number of digits; a person's title gives the gender of the new name.
+Exception: where a format has no free surrogate left, later attempts widen it, so
+that drawing always ends. After ``SAME`` attempts an IP address may have octets of
+any length in its range, then comes from 10.0.0.0/8 (private ones) or anywhere, then
+from 240.0.0.0/4, then has octets of 256 to 999, which no address of a corpus has;
+the other kinds get a letter or digit more with each attempt.
 
 Defined cases: null stays null, a text without entities stays as it is; repeated
 rows get the same result; an empty table gives no rows; extra columns are kept by
@@ -22,7 +27,9 @@ rows get the same result; an empty table gives no rows; extra columns are kept b
 from __future__ import annotations
 
 import hmac
+import itertools
 import re
+import unicodedata
 from hashlib import sha256
 
 import pyarrow as pa
@@ -32,6 +39,7 @@ from pyspark.sql import functions as F
 from usagelens.llm import base
 
 KEY = b"not a secret: pass your own"
+SAME = 3  # attempts that keep the format
 
 # Titles with their gender, and given names to draw from by script and gender.
 TITLES = {"Mr": "m", "Herr": "m", "Monsieur": "m", "Señor": "m", "Mrs": "f", "Ms": "f", "Frau": "f", "Madame": "f", "Señora": "f", "Господин": "m", "Госпожа": "f"}
@@ -65,8 +73,14 @@ def iban_rest(text: str) -> int:
     return int("".join(str(int(c, 36)) for c in text[4:] + text[:4])) % 97
 
 
+def plain_digits(text: str) -> str:
+    """Digits of any script as 0 to 9."""
+    return text if text.isascii() else "".join(str(unicodedata.decimal(c)) if c.isdecimal() else c for c in text)
+
+
 def normal(kind: str, text: str) -> str:
     """What an entity is known by, however it is written."""
+    text = text if kind == "person" else plain_digits(text)
     if kind in ("phone", "card", "ssn"):
         return re.sub(r"\D", "", text)
     return text.lower() if kind == "email" else text.replace(" ", "") if kind == "iban" else text
@@ -119,14 +133,16 @@ class Draw:
 def surrogate(kind: str, entity: str, attempt: int, key: bytes) -> str:
     """The normal form of an entity's replacement."""
     draw = Draw(key, f"{kind}\0{entity}\0{attempt}")
+    wider = max(0, attempt - SAME + 1)
     if kind == "email":
         local, _, domain = entity.partition("@")
         labels = domain.split(".")
-        return f"{draw.like(local)}@{'.'.join([*map(draw.like, labels[:-1]), labels[-1]])}"
+        return f"{draw.like(local + 'a' * wider)}@{'.'.join([*map(draw.like, labels[:-1]), labels[-1]])}"
     if kind == "phone":
-        return f"{entity[:-10]}{2 + draw(8)}{draw.like('00')}{2 + draw(8)}{draw.like('000000')}" if len(entity) > 10 else entity[:2] + draw.like(entity[2:])
+        more = draw.like("0" * wider)
+        return f"{entity[:-10]}{2 + draw(8)}{draw.like('00')}{2 + draw(8)}{draw.like('000000')}{more}" if len(entity) > 10 else entity[:2] + draw.like(entity[2:]) + more
     if kind == "card":
-        new = entity[0] + draw.like(entity[1:])
+        new = entity[0] + draw.like(entity[1:] + "0" * wider)
         if luhn(entity) % 10 == 0:
             new = new[:-1] + str(-luhn(new[:-1] + "0") % 10)
         return new
@@ -134,11 +150,19 @@ def surrogate(kind: str, entity: str, attempt: int, key: bytes) -> str:
         low = {1: (0, 10), 2: (10, 90), 3: (100, 156)}
         keep = 1 if entity.startswith("10.") else 2 if entity.startswith("192.168.") else 0
         octets = entity.split(".")
+        if wider == 1 or wider == 2 and keep == 0:
+            return ".".join([*octets[:keep], *(str(draw(256)) for _ in octets[keep:])])
+        if wider == 2:
+            return ".".join(["10", *(str(draw(256)) for _ in range(3))])
+        if wider == 3:
+            return ".".join([str(240 + draw(16)), *(str(draw(256)) for _ in range(3))])
+        if wider:
+            return ".".join(str(256 + draw(744)) for _ in octets)
         return ".".join([*octets[:keep], *(str(low[len(x)][0] + draw(low[len(x)][1])).rjust(len(x), "0") for x in octets[keep:])])
     if kind == "ssn":
-        return f"{100 + draw(566):03d}{1 + draw(99):02d}{1 + draw(9999):04d}"
+        return f"{100 + draw(566):03d}{1 + draw(99):02d}{1 + draw(9999):04d}{draw.like('0' * wider)}"
     if kind == "iban":
-        rest = draw.like(entity[4:])
+        rest = draw.like(entity[4:] + "0" * wider)
         return f"{entity[:2]}{98 - iban_rest(entity[:2] + '00' + rest):02d}{rest}"
     gender, _, name = entity.partition(" ")
     script = "cyrillic" if re.search("[А-я]", name) else "latin"
@@ -154,9 +178,10 @@ def laid_out(kind: str, written: str, new: str) -> str:
         return new.partition(" ")[2]
     if kind in ("phone", "card", "ssn", "iban"):
         follow = iter(new)
-        return "".join(next(follow) if c.isalnum() else c for c in written)
+        return "".join(next(follow) if c.isalnum() else c for c in written) + "".join(follow)
     if kind == "email":
-        return "".join(n.upper() if w.isupper() else n for w, n in zip(written, new, strict=True))
+        both = zip(written.partition("@"), new.partition("@"), strict=True)
+        return "".join(n.upper() if w.isupper() else n for old, own in both for w, n in itertools.zip_longest(old, own, fillvalue=""))
     return new
 
 
