@@ -14,6 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from usagelens.functions import masking
 from usagelens.llm import base, decontaminate, huffman, lines, mixing, neardup, repeats, repetition, secrets, surrogates, urls
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size string, kept int, label string"
@@ -153,6 +154,21 @@ def test_surrogates_end_when_a_format_is_full(spark):
     assert surrogates.normal("card", "\u0661" * 13) == "1" * 13
 
 
+def test_national_phones(spark):
+    written = ["+1 (213) 555-1234", "(213) 555-1234", "213-555-1234", "213.555.1234", "1 213 555 1234", "(213)555-1234", "0171 555 1234", "(0171) 555 1234", "0171/5551234", "01715551234", "06 12 34 56 78", "+49 (0)171 555 1234", "+49 171 5551234", "+49 30/123456"]
+    text = {i: f"call {x}, now" for i, x in enumerate(written)} | {90: "on 01.02.2024 12:30 and 05/06/1999 10, 2024-01-15 09:30, 0.0123456789"}
+    got = {x.doc_id: x for x in surrogates.replace(spark.createDataFrame(list(text.items()), "doc_id long, text string")).collect()}
+    digits = lambda i: re.sub(r"\D", "", got[i].text)
+    for i, x in enumerate(written):
+        assert (got[i].n_phone, got[i].n_entities) == (1, 1) and re.sub(r"\d", "0", got[i].text) == re.sub(r"\d", "0", text[i]) and digits(i) != re.sub(r"\D", "", x), x
+    assert len({digits(i)[-10:] for i in range(6)}) == len({digits(i) for i in range(6, 10)}) == len({digits(i)[-10:] for i in (11, 12)}) == 1
+    assert got[90].text == text[90]
+    masked = masking.PATTERNS["PHONE_US"]
+    assert all(re.search(masked, x) and surrogates.detect(x) for x in written[:6])
+    ssn = surrogates.detect("012-34-5678 and 0123 4567 8901 2345 and 10.1.2.30")
+    assert [x[2] for x in ssn] == ["ssn", "card", "ip"]
+
+
 def test_mixing(docs, rows):
     got = mixing.judge(docs).collect()
     assert len(got) == len(rows) and sorted(map(tuple, got)) == as_set(mixing.judge(docs))

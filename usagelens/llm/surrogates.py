@@ -13,6 +13,11 @@ security numbers, IBANs, and persons named after a title. Digits stay digits and
 letters stay letters of their case and script; card numbers and IBANs that check
 still check; an address keeps its last label, a phone number its country code, an
 octet its number of digits; a person's title gives the gender of the new name.
+Phone numbers are found with a plus sign, as North American ones (known by the
+same normal form with and without the 1 in front), and with a trunk 0 and 9 to 11
+digits, however grouped; other national ones without a 0 in front are not told from
+plain numbers. Without a country code that of a trunk form stays open, so it is
+another entity than the same number with a plus sign.
 Exception: where a format has no free surrogate left, later attempts widen it, so
 that drawing always ends. After ``SAME`` attempts an IP address may have octets of
 any length in its range, then comes from 10.0.0.0/8 (private ones) or anywhere, then
@@ -30,6 +35,7 @@ import hmac
 import itertools
 import re
 import unicodedata
+from collections.abc import Iterator
 from hashlib import sha256
 
 import pyarrow as pa
@@ -53,13 +59,19 @@ ENDS = {("latin", "m"): ("o", "us", "in", "ert"), ("latin", "f"): ("a", "ia", "i
 
 KINDS = ("email", "phone", "card", "ip", "ssn", "iban", "person")
 _NAME = r"[A-ZÀ-ÖØ-ÞА-Я][a-zß-öø-ÿа-я]+"
+_W = "[0-9A-Za-z_]"
 NUMBERS = re.compile(
     r"(?P<iban>\b[A-Z]{2}\d{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?\b)"
-    r"|(?P<phone>\+\d{1,3}[\x20.-]?\(?\d{2,4}\)?(?:[\x20.-]?\d{2,4}){2,4}(?!\d))"
+    r"|(?P<phone>\+\d{1,3}[\x20.-]?(?:\(0\)[\x20.-]?)?\(?\d{2,4}\)?(?:\x20?/\x20?)?(?:[\x20.-]?\d{2,4}){2,4}(?!\d))"
+    rf"|(?P<us>(?:(?<!{_W})1[\x20.-]?)?(?:\(\d{{3}}\)\x20?|(?<!{_W})\d{{3}}[\x20.-])\d{{3}}[\x20.-]\d{{4}}(?!{_W}))"
     r"|(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))"
+    # Neither a date nor an address.
+    rf"|(?P<trunk>(?:\(|(?<!{_W})(?<!\d[.,/-]))(?=0[1-9])(?!\d\d(?P<sep>[\x20./-])\d\d(?P=sep)(?:19|20)\d\d(?!\d))(?!(?:\d{{1,3}}\.){{3}}\d{{1,3}}(?!\.?\d))"
+    rf"\d\d(?:(?:\)?[\x20./-]|\)|\x20/\x20)?\d){{7,9}}(?!{_W}))"
     r"|(?P<card>(?<![\d.-])\d(?:[\x20-]?\d){12,18}(?![\d-]))"
     r"|(?P<ip>(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d))"
 )
+DIGIT = re.compile(r"\d")
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
 PERSON = re.compile(rf"\b(?:{'|'.join(TITLES)})\b\.?\x20(?P<name>{_NAME}(?:\x20{_NAME})?)")
 
@@ -82,17 +94,34 @@ def normal(kind: str, text: str) -> str:
     """What an entity is known by, however it is written."""
     text = text if kind == "person" else plain_digits(text)
     if kind in ("phone", "card", "ssn"):
-        return re.sub(r"\D", "", text)
+        digits = re.sub(r"\D", "", text.replace("(0)", "") if kind == "phone" else text)
+        return f"1{digits}" if kind == "phone" and len(digits) == 10 and digits[0] != "0" and "+" not in text else digits
     return text.lower() if kind == "email" else text.replace(" ", "") if kind == "iban" else text
 
 
+def numbers(text: str) -> Iterator[re.Match]:
+    """What NUMBERS.finditer gives: every form begins with its first digit, or with a sign or two letters before it."""
+    end = 0
+    for d in DIGIT.finditer(text):
+        at = d.start()
+        if at < end:
+            continue
+        before = text[max(0, at - 2) : at]
+        starts = (at - 1, at) if before[-1:] in ("+", "(") else (at - 2, at) if len(before) == 2 and before.isascii() and before.isalpha() and before.isupper() else (at,)
+        for start in starts:
+            if start >= end and (m := NUMBERS.match(text, start)):
+                yield m
+                end = m.end()
+                break
+
+
 def detect(text: str) -> list[tuple[int, int, str, str]]:
     """Start, end, kind and normal form of each entity, leftmost first, none inside another."""
     found = []
     if "@" in text:
         found += [(m.start(), m.end(), "email", m.group()) for m in EMAIL.finditer(text)]
-    for m in NUMBERS.finditer(text):
-        kind, own = m.lastgroup, m.group()
+    for m in numbers(text):
+        kind, own = {"us": "phone", "trunk": "phone"}.get(m.lastgroup, m.lastgroup), m.group()
         if kind == "ip" and any(int(x) > 255 for x in own.split(".")) or kind == "iban" and iban_rest(own.replace(" ", "")) != 1:
             continue
         found.append((m.start(), m.end(), kind, own))
@@ -177,8 +206,12 @@ def laid_out(kind: str, written: str, new: str) -> str:
     if kind == "person":
         return new.partition(" ")[2]
     if kind in ("phone", "card", "ssn", "iban"):
-        follow = iter(new)
-        return "".join(next(follow) if c.isalnum() else c for c in written) + "".join(follow)
+        # A phone number may be written without its country code, or with a trunk 0 that its normal form lacks.
+        head, zero, tail = written.partition("(0)") if kind == "phone" else ("", "", written)
+        head, zero, tail = (head, zero, tail) if zero else ("", "", written)
+        follow = iter(new[len(normal(kind, written)) - sum(c.isalnum() for c in head + tail) :])
+        put = lambda text: "".join(next(follow) if c.isalnum() else c for c in text)
+        return put(head) + zero + put(tail) + "".join(follow)
     if kind == "email":
         both = zip(written.partition("@"), new.partition("@"), strict=True)
         return "".join(n.upper() if w.isupper() else n for old, own in both for w, n in itertools.zip_longest(old, own, fillvalue=""))
