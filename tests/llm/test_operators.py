@@ -154,6 +154,25 @@ def test_surrogates_end_when_a_format_is_full(spark):
     assert surrogates.normal("card", "\u0661" * 13) == "1" * 13
 
 
+def test_persons_part_by_part(spark):
+    text = {
+        1: "Mr John Smith met Smith. John Smith left, and so did JOHN. Smith's dog barked at smith.",
+        2: "Mr Smith and Mr McDonald, Mr Jean-Paul Sartre, Mrs O'Brien, Dr Anna Jones; Mrs Anna Jones. Jean-Paul and McDonald left.",
+        3: "Κύριος Νίκος Παπαδόπουλος, Νίκος. Господин Иван Петров. Петров. 王小明先生来了,王小明走了,王先生 السيد محمد",
+        4: "Smith without a title",
+    }
+    got = {x.doc_id: x for x in surrogates.replace(spark.createDataFrame(list(text.items()), "doc_id long, text string")).collect()}
+    m = re.fullmatch(r"Mr (\w+) (\w+) met (\w+)\. (\w+) (\w+) left, and so did (\w+)\. (\w+)'s dog barked at smith\.", got[1].text)
+    john, smith = m[1], m[2]
+    assert m.groups() == (john, smith, smith, john, smith, john.upper(), smith) and (got[1].n_person, got[1].n_entities) == (5, 5)
+    assert john.endswith(surrogates.ENDS["LATIN", "m"])
+    m = re.fullmatch(r"Mr (\w+) and Mr (\w+), Mr (\w+-\w+) (\w+), Mrs O'(\w+), Dr (\w+) (\w+); Mrs (\w+) (\w+)\. (\S+) and (\w+) left\.", got[2].text)
+    assert (m[1], m[6], m[7], m[3], m[2]) == (smith, m[8], m[9], m[10], m[11]) and m[6].endswith(surrogates.ENDS["LATIN", "f"])
+    for gone in ("John", "Smith", "Donald", "Jean", "Paul ", "Sartre", "Brien", "Anna", "Jones", "Νίκος", "Παπαδ", "Петров", "王小明", "محمد"):
+        assert not any(gone in got[i].text for i in (1, 2, 3)), gone
+    assert got[3].n_person == 8 and got[4].text == text[4]
+
+
 def test_national_phones(spark):
     written = ["+1 (213) 555-1234", "(213) 555-1234", "213-555-1234", "213.555.1234", "1 213 555 1234", "(213)555-1234", "0171 555 1234", "(0171) 555 1234", "0171/5551234", "01715551234", "06 12 34 56 78", "+49 (0)171 555 1234", "+49 171 5551234", "+49 30/123456"]
     text = {i: f"call {x}, now" for i, x in enumerate(written)} | {90: "on 01.02.2024 12:30 and 05/06/1999 10, 2024-01-15 09:30, 0.0123456789"}
