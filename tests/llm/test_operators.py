@@ -5,6 +5,7 @@ from __future__ import annotations
 import collections
 import hashlib
 import itertools
+import math
 import random
 import re
 import zlib
@@ -119,6 +120,60 @@ def test_urls(spark):
     assert all(v[0][3] in ("allow", "block") for v in got.values())
 
 
+def plain_model(urls_):
+    """Counts of the last characters by order, of a list of URL remainders."""
+    own, of = [collections.Counter() for _ in range(urls.ORDER + 1)], [collections.Counter() for _ in range(urls.ORDER + 1)]
+    for x in urls_:
+        x = urls.START * urls.ORDER + x + urls.END
+        for i in range(urls.ORDER, len(x)):
+            for k in range(urls.ORDER + 1):
+                own[k][x[i - k : i + 1]] += 1
+                of[k][x[i - k : i]] += 1
+
+    def probability(string):
+        p = 1 / urls.ALPHABET
+        for k in range(urls.ORDER + 1):
+            part = string[urls.ORDER - k :]
+            p = (own[k][part] + urls.SMOOTH * p) / (of[k][part[:-1]] + urls.SMOOTH)
+        return p
+
+    return probability
+
+
+def test_urls_against_plain_models(spark):
+    r = random.Random(2)
+    rows = [f"https://h{i % 5}.{'com/' if i % 2 else 'net/es/'}{word(r)}?{'id=' if i % 2 else 'casino='}{r.randint(1, 99)}" for i in range(200)]
+    rows += [f"http://Site.org/Click?{q}" for q in ("casino=7", "id=7", "id=7#casino=", "")] + ["file:///id=1", "http://", "x://?casino=1", "http://two.org\nline/A?id=B\n", "none"]
+    pages = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    training = {x.page_id for x in pages.filter(F.pmod(F.xxhash64("url"), F.lit(urls.FOLDS)) != 0).collect()}
+    got = {x.page_id: x for x in urls.judge(pages).collect()}
+    rest = {}
+    for i, url in enumerate(rows):
+        if "://" in url:
+            after = url.split("://", 1)[1]
+            host = re.match(r"[^/?#]*", after).group()
+            rest[i] = re.sub("[A-Z]", lambda m: m.group().lower(), host) + after[len(host) :]
+    ruled = {i: "allow" if i % 2 else "block" for i in range(200)}
+    a, b = (plain_model([rest[i] for i in training if ruled.get(i) == v]) for v in ("allow", "block"))
+    score = {}
+    for i, x in rest.items():
+        if i not in ruled or i not in training:
+            x = urls.START * urls.ORDER + x + urls.END
+            each = [math.log(a(x[k - urls.ORDER : k + 1]) / b(x[k - urls.ORDER : k + 1])) for k in range(urls.ORDER, len(x))]
+            score[i] = sum(each) / len(each)
+    held = [(math.floor(score[i] / urls.BIN), ruled[i]) for i in score if i in ruled]
+    cost = lambda t: (sum(v == "allow" and s < t for s, v in held) / sum(v == "allow" for _, v in held) + sum(v == "block" and s >= t for s, v in held) / sum(v == "block" for _, v in held), t)
+    threshold = min((s for s, _ in held), key=cost) * urls.BIN
+    assert held and len({ruled[i] for i in score if i in ruled}) == 2
+    for i in range(len(rows)):
+        if i in ruled:
+            assert (got[i].verdict, got[i].score) == (ruled[i], None)
+        else:
+            assert got[i].score == (pytest.approx(score[i], abs=1e-9) if i in score else None), rows[i]
+            assert got[i].verdict == ("allow" if i in score and score[i] >= threshold else "block"), rows[i]
+    assert got[200].score < got[201].score and got[len(rows) - 1].score is None
+
+
 def test_surrogates(docs, rows):
     got = {x.doc_id: x for x in surrogates.replace(docs).collect()}
     i, text = next((r[0], r[1]) for r in rows if r[1] and r[1].startswith("mail Me"))

@@ -4,7 +4,8 @@ Rules decide what they can. The URLs that they allow and block train two smoothe
 variable-order Markov models of characters: the probability of a character after
 the last k ones is ``(n(context, c) + SMOOTH * p(c, one shorter)) / (n(context) + SMOOTH)``,
 so a context that was never seen leaves it to the next shorter one, down to all
-characters being alike. Any other URL gets the mean over its characters of
+characters being alike. The characters are all of the URL after ``://``, the host in
+lower case, then path, query and fragment as they are. Any other URL gets the mean over its characters of
 log p(allowed) - log p(blocked), and is allowed at or above a threshold.
 
 The threshold is calibrated: a fifth of the URLs that rules decide, drawn by their
@@ -15,8 +16,8 @@ Counts are aggregated over all URLs before anything is joined. URLs meet the mod
 by their 5-character strings; both sides are plain shuffles, which the runtime can
 split where a string is in every URL.
 
-Defined cases: null and a URL without ``://`` have an empty host and path, no rule,
-and are blocked; repeated rows are judged alike, and each counts in training; with
+Defined cases: null and a URL without ``://`` have an empty host and path, no rule
+and no score, and are blocked; a URL with ``://`` and an empty host is scored; repeated rows are judged alike, and each counts in training; with
 no allowed or no blocked URL the threshold is 0 and scores compare what there is;
 an empty table gives no rows; extra columns are not read.
 """
@@ -53,10 +54,15 @@ def parts(url: Column) -> tuple[Column, Column]:
     return F.translate(F.regexp_extract(text, pattern, 1), UPPER, LOWER), F.regexp_extract(text, pattern, 2)
 
 
+def modelled(url: Column, host: Column) -> Column:
+    """What the models read: all after ``://``, the host in lower case; null without ``://``."""
+    return F.when(F.contains(url, F.lit("://")), F.concat(host, F.regexp_extract(url, r"^(?s:.*?)://[^/?#]*((?s:.*))$", 1)))
+
+
 def with_rules(pages: DataFrame, rules=RULES) -> DataFrame:
-    """page_id, url, host, path, and the longest rule that fits with its verdict."""
+    """page_id, url, host, path, characters for the models, and the longest rule that fits with its verdict."""
     host, path = parts(F.col("url"))
-    table = pages.select("page_id", "url", host.alias("host"), path.alias("path"))
+    table = pages.select("page_id", "url", host.alias("host"), path.alias("path"), modelled(F.col("url"), host).alias("rest"))
     longest = sorted(rules, key=lambda r: -len(r[1] + r[2]))
 
     def first(value):
@@ -68,15 +74,15 @@ def with_rules(pages: DataFrame, rules=RULES) -> DataFrame:
 
 def strings(table: DataFrame, *keep: str) -> DataFrame:
     """A row for each character of a URL: it, after the ORDER characters before it."""
-    padded = F.concat(F.lit(START * ORDER), "host", "path", F.lit(END))
-    at = F.sequence(F.lit(1), F.length("host") + F.length("path") + 1)
-    return table.filter("host != ''").select(*keep, F.explode(F.transform(at, lambda i: F.substring(padded, i, F.lit(ORDER + 1)))).alias("string"))
+    padded = F.concat(F.lit(START * ORDER), "rest", F.lit(END))
+    at = F.sequence(F.lit(1), F.length("rest") + 1)
+    return table.filter("rest is not null").select(*keep, F.explode(F.transform(at, lambda i: F.substring(padded, i, F.lit(ORDER + 1)))).alias("string"))
 
 
 def ratios(table: DataFrame) -> DataFrame:
     """For each string of any URL, the difference of its log probabilities under both models."""
     for_training = lambda verdict: (F.col("training") & (F.col("ruled") == verdict)).cast("long")
-    marked = table.select("host", "path", F.coalesce(for_training("allow"), F.lit(0)).alias("a"), F.coalesce(for_training("block"), F.lit(0)).alias("b"))
+    marked = table.select("rest", F.coalesce(for_training("allow"), F.lit(0)).alias("a"), F.coalesce(for_training("block"), F.lit(0)).alias("b"))
     counts = base.saved(strings(marked, "a", "b").groupBy("string").agg(F.sum("a").alias("a"), F.sum("b").alias("b")), "strings")
     before = None
     for k in range(ORDER + 1):
