@@ -120,6 +120,49 @@ def test_urls(spark):
     assert all(v[0][3] in ("allow", "block") for v in got.values())
 
 
+def plain_quality(text):
+    """All figures of a text by their definitions; the longest repeat at each word by longer and longer windows."""
+    text = text or ""
+    words = re.findall(r"[^ \t-\r]+", text)
+    n, reach, active, k = len(words), [0] * len(words), range(len(words)), 1
+    while active:
+        at = collections.defaultdict(list)
+        for i in active:
+            if i + k <= n:
+                at[tuple(words[i : i + k])].append(i)
+        active = [i for v in at.values() if len(v) > 1 for i in v]
+        for i in active:
+            reach[i] = k
+        k += 1
+    window = {i + j for i in range(n) if reach[i] >= 3 for j in range(3)}
+    under = {i + j for i in range(n) if reach[i] >= 10 for j in range(reach[i])}
+    lines_ = [x for x in text.split("\n") if x.strip(" \t\n\r\x0b\x0c")]
+    failed = n < 50 or 100 * len(window) > 50 * n
+    longest = max(reach, default=0)
+    good = not failed and len(under) <= 0.3 * n and longest <= 200
+    symbols = sum(c in "#*$%&|<>" for c in text)
+    return n, sum(map(len, words)), symbols, len(lines_) - len(set(lines_)), len(window), failed, good, len(under), longest
+
+
+def test_repetition_against_plain_version(spark, docs, rows):
+    r = random.Random(11)
+    more = []
+    for i in range(30):
+        words = [word(r) for _ in range(r.randint(40, 300))]
+        for _ in range(r.randint(0, 3)):
+            a, n, b = r.randrange(len(words)), r.randint(5, 60), r.randrange(len(words))
+            words[b:b] = words[a : a + n]
+        more.append((1000 + i, " ".join(words) + "\n# $x\nsame line\n\nsame line\n &"))
+    long = [word(r) for _ in range(230)]
+    more.append((2000, " ".join([*long, *(word(r) for _ in range(1500)), *long])))  # only its longest repeat is too long
+    own = spark.createDataFrame(more, "doc_id long, text string")
+    got = as_set(repetition.judge(own).unionByName(repetition.judge(docs)))
+    want = sorted((i, *plain_quality(text)) for i, text in [*more, *(r[:2] for r in rows)])
+    assert got == want
+    assert {x[7] for x in want} == {True, False} and any(x[8] for x in want if x[7]) and any(x[3] and x[4] for x in want)
+    assert [x[6:8] for x in want if x[0] == 2000] == [(False, False)]
+
+
 def plain_model(urls_):
     """Counts of the last characters by order, of a list of URL remainders."""
     own, of = [collections.Counter() for _ in range(urls.ORDER + 1)], [collections.Counter() for _ in range(urls.ORDER + 1)]
@@ -397,3 +440,85 @@ def test_pipeline(spark, docs, tmp_path):
     assert counts[0] == repetition.judge(docs).filter("kept").count() and counts[1] < counts[0]
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert len(got) == counts[-1] and max(x.start + x.n_tokens for x in got) == sum(x.n_tokens for x in got)
+
+
+def plain_clean(row):
+    """A row without the hit spans of ITEMS; None if most of it is hit."""
+    lower = lambda t: re.sub("[A-Z]", lambda m: m.group().lower(), t or "")
+    split = lambda t: list(re.finditer(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(t)))
+    text, found, hit = row[1], split(row[1]), set()
+    words = [m.group() for m in found]
+    for _, item in ITEMS:
+        w = [m.group() for m in split(item)]
+        for k in range(max(1, len(w) - 9) if w else 0):
+            window = w[k : k + 10]
+            hit |= {i + j for i in range(len(words) - len(window) + 1) if words[i : i + len(window)] == window for j in range(len(window))}
+    if len(hit) > 0.5 * len(words):
+        return None
+    if not hit:
+        return row
+    out, at = "", 0
+    for i in range(len(words)):
+        if i in hit and i - 1 not in hit:
+            out += text[at : found[i].start()]
+        if i in hit:
+            at = found[i].end()
+    out += text[at:]
+    return (*row[:1], out, *row[2:4], len(out), *row[5:])
+
+
+def plain_mix(spark, rows):
+    """Sainte-Laguë seat by seat, then each source's line of documents (one shard here) cut into blocks."""
+    counted = [(r, len(re.findall(r"[^ \t-\r]+", r[1] or ""))) for r in rows]
+    sources = sorted({r[3] for r in rows if r[3] is not None}) + [None] * any(r[3] is None for r in rows)
+    size = {s: sum(n for r, n in counted if r[3] == s) for s in sources}
+    weight = {s: mixing.WEIGHTS[k % 3] for k, s in enumerate(sources)}
+    target, free, left = {}, set(sources), mixing.SHARE * sum(size.values())
+    while over := {s for s in free if left / sum(weight[x] for x in free) * weight[s] > 2 * size[s]}:
+        target |= {s: 2 * size[s] for s in over}
+        free, left = free - over, left - sum(2 * size[s] for s in over)
+    target |= {s: left / sum(weight[x] for x in free) * weight[s] for s in free}
+    seats = collections.Counter()
+    for _ in range(math.floor(sum(target.values()) / mixing.BLOCK_WORDS + 0.5)):
+        seats[max(sources, key=lambda s: (target[s] / (2 * seats[s] + 1), -sources.index(s)))] += 1
+    ids = spark.createDataFrame(sorted({(r[0],) for r in rows}), "doc_id long")
+    order = {x.doc_id: x.o for x in ids.select("doc_id", F.xxhash64(F.lit(mixing.SEED), "doc_id").alias("o")).collect()}
+    out = []
+    for s in sources:
+        blocks = max(1, math.floor(size[s] / mixing.BLOCK_WORDS + 0.5)) if size[s] else 0
+        whole, more = divmod(min(seats[s], 2 * blocks), blocks) if blocks else (0, 0)
+        room = more * size[s] // blocks if blocks else 0
+        for r, n in sorted((x for x in counted if x[0][3] == s), key=lambda x: (order[x[0][0]], x[0][0], x[1])):
+            out += [r] * whole * (n > 0)
+            if 0 < (part := min(n, room)) < n:
+                cut = list(re.finditer(r"[^ \t-\r]+", r[1]))[part - 1].end()
+                out.append((r[0], r[1][:cut], *r[2:4], cut, *r[5:]))
+            elif part:
+                out.append(r)
+            room -= part
+    return out
+
+
+def test_pipeline_against_plain_version(spark, docs, rows, tmp_path):
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(ITEMS, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    key = lambda r: tuple((x is not None, x) for x in r)
+    good = [r for r in rows if plain_quality(r[1])[6]]
+    _, label = components_of(good)
+    alone = list({r[0]: r for r in good if label[r[0]] == r[0]}.values())
+    clean = [x for x in map(plain_clean, alone) if x]
+    want = [good, alone, clean, plain_mix(spark, clean)]
+    assert len(good) > len(alone) and clean != alone and len({r[0] for r in want[3]}) < len(want[3])
+    table = docs
+    for (name, stage), plain in zip(corpus_pipeline.STAGES[:-1], want, strict=True):
+        table = base.saved(stage(spark, table, str(tmp_path)), name)
+        assert sorted(map(tuple, table.collect()), key=key) == sorted(plain, key=key), name
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(huffman.TOKENIZER))
+    ids = [(r[0], np.array([*tokenizer.encode(r[1], add_special_tokens=False).ids, 2], "<u4")) for r in want[3]]
+    got = sorted(corpus_pipeline.run(spark, str(tmp_path)).collect(), key=lambda x: x.start)
+    assert sorted(tuple(x)[:1] + tuple(x)[2:] for x in got) == sorted((i, len(x), zlib.crc32(x.tobytes())) for i, x in ids)
+    assert [x.doc_id for x in got] == sorted(i for i, _ in ids) and [x.start for x in got] == [0, *itertools.accumulate(x.n_tokens for x in got)][:-1]
