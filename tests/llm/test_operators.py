@@ -417,6 +417,12 @@ def test_near_duplicates(docs, rows):
     assert left.columns == docs.columns and sorted(x.doc_id for x in left.collect()) == sorted(i for i, v in label.items() if i == v)
 
 
+def test_stated_miss_rate():
+    n, p = neardup.COORDINATES, neardup.PERCENT / 100
+    missed = sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(neardup.COLLISIONS))
+    assert f"a chance of {missed:.1e} ".replace("e-0", "e-") in neardup.__doc__
+
+
 def test_dense_group(spark, monkeypatch):
     """Copies with many changes: most pairs are nearly similar, so long lists stay open."""
     monkeypatch.setattr(neardup, "SHORT_LIST", 4)

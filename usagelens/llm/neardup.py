@@ -4,7 +4,7 @@ A document's set holds its distinct 5-word shingles. Equal sets form a class,
 which one document represents. A representative is posted under each coordinate
 and value of its MinHash signature of ``COORDINATES`` values; two that are similar
 by ``PERCENT`` / 100 collide in three quarters of them on average, and in fewer
-than ``COLLISIONS`` with a chance of about 5e-7.
+than ``COLLISIONS`` with a chance of 1.2e-6 at exactly that similarity, less above.
 
 Prefix and skip: two signatures with at least ``COLLISIONS`` common postings share
 one among the rarest ``COORDINATES - COLLISIONS + 1`` postings of each. So only
