@@ -1,4 +1,9 @@
-"""Suffix-array deduplication of repeated bytes by prefix-free parsing.
+"""Deduplication of repeated bytes by prefix-free parsing and hashed windows.
+
+The parse is that of prefix-free suffix sorting; the suffix arrays of dictionary and
+parse, and their merge into corpus order, are not built. Which strings repeat, and in
+which smallest document, needs equal strings side by side, not their order, so keys of
+8 bytes are shuffled where sorted suffixes would carry SIZE bytes each.
 
 A byte goes if a ``SIZE``-byte string that covers it also starts in a document with
 a smaller id. Three rounds find these strings in the whole corpus; in each, pages
@@ -13,9 +18,9 @@ a byte back for each key (see base.answers).
    on the dictionary, however often the corpus repeats it.
 2. *Filter.* Suffixes of dictionary phrases that share SIZE bytes share the
    smallest hash of their first ``SIZE - ANCHOR + 1`` ANCHOR-byte strings. Strings
-   whose smallest hash only one document's phrases have are alone in corpus order.
-3. *Order.* The strings that are left are brought into one order by their key, and
-   those whose first document in it is smaller than their own go.
+   whose smallest hash only one document's phrases have are in that document only.
+3. *Compare.* The strings that are left are sorted by their key, which is a hash, and
+   those with a key that a smaller document has go.
 
 Keys are 64-bit hashes of the bytes; two different strings have the same key with
 a chance of 2^-64 (the 32 bits of round 2 only filter).
