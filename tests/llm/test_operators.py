@@ -12,6 +12,7 @@ import zlib
 
 import duckdb
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -385,6 +386,29 @@ def test_decontamination(spark, docs, rows):
     assert not any(x.contaminated for x in decontaminate.judge(left, benchmark).collect())
 
 
+def test_large_benchmark_stays_off_the_driver(spark, docs, rows, monkeypatch):
+    """Many chunks give what one automaton gives; the driver builds none, and one chunk's documents go to several tasks."""
+    r = random.Random(4)
+    texts = [x[1].split() for x in rows if x[1] and len(x[1].split()) > 40]
+    items = [(i, " ".join(w[k : k + r.choice((1, 2, 5, 9, 10, 11, 30))])) for i in range(60) for w in [r.choice(texts)] for k in [r.randrange(len(w) - 30)]]
+    items += [(i, " ".join(word(r) for _ in range(20))) for i in range(60, 90)] + [*ITEMS, items[0], (None, " ".join(texts[3][5:18]))]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    want = as_set(decontaminate.judge(docs, benchmark, max_words=10**6))
+    cleaned = sorted(map(repr, decontaminate.clean(docs, benchmark, max_words=10**6).collect()))
+    assert sum(w[5] for w in want) > 20 and max(w[3] for w in want) > 3
+
+    built = decontaminate.Automaton
+
+    def in_tasks(items):
+        assert TaskContext.get(), "the driver built an automaton"
+        return built(items)
+
+    monkeypatch.setattr(decontaminate, "Automaton", in_tasks)
+    monkeypatch.setattr(decontaminate, "CHUNK_DOCS", 3)
+    assert as_set(decontaminate.judge(docs, benchmark, max_words=100)) == want
+    assert sorted(map(repr, decontaminate.clean(docs, benchmark, max_words=100).collect())) == cleaned
+
+
 def test_lines(docs, rows):
     db = duckdb.connect()
     db.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")

@@ -10,9 +10,13 @@ Before the automaton, word pairs are looked up in the sorted pairs of the items:
 a run of document words whose pairs do not all occur in items can't hold a
 window. Only runs that pass are streamed.
 
-The automaton goes to the tasks with their code. Its size is checked: ``MAX_ITEM_WORDS`` bounds
-the words of one automaton, and a larger benchmark is cut into several, which the
-documents pass one after the other, so no item is left out.
+Tasks build the automata. A benchmark of up to ``MAX_ITEM_WORDS`` words goes to them
+with their code; that bounds what passes through the driver. The items of a larger one
+are dealt by their hash to chunks of about half as many words. Hashes of item windows,
+and of short items whole, are joined with those of the documents' windows by shuffle;
+a chunk's automaton then sees only documents that share a hash with it, and confirms
+them on their words. Documents are written once, whatever the number of chunks, and a
+chunk that many of them meet is dealt to several tasks.
 
 Defined cases: null and empty texts have no words and no hits; items without words
 are ignored; repeated rows are judged each on its own; repeated items count once
@@ -22,13 +26,15 @@ by their id; an empty benchmark hits nothing; extra columns are kept by ``clean`
 from __future__ import annotations
 
 import itertools
+import math
 from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql.types import ArrayType, BinaryType, IntegralType, StringType, StructField, StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from usagelens.llm import base
 
@@ -36,8 +42,10 @@ WINDOW = 10
 MAX_ITEM_WORDS = 100_000
 # Documents with more than this fraction of their words hit are dropped by clean.
 MAX_FRACTION = 0.5
-# Columns that carry hits from pass to pass, where there are several.
-CARRIED = ("__hit_mask", "__hit_items")
+# Documents that one task holds against a chunk, on average at most.
+CHUNK_DOCS = 20_000
+# Columns that carry the row's number, and the hits of all chunks where there are several.
+ROW, CARRIED = "__row", ("__hit_masks", "__hit_items")
 SCHEMA = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
 
 # A-Z become a-z; a-z, 0-9 and all bytes of other characters stay; the rest is space.
@@ -150,70 +158,125 @@ class Automaton:
         return mask, found
 
 
-def automata(benchmark: DataFrame, max_words: int = MAX_ITEM_WORDS) -> list[Automaton]:
-    """Automata that together hold every item, each of at most max_words words (or of one item).
-
-    Test sets are small beside a corpus and are read item by item, never at once.
-    """
-    out, batch, size = [], [], 0
-    for row in benchmark.select("item_id", "text").orderBy("item_id", "text").toLocalIterator():
-        words = words_of((row.text or "").encode())
-        if batch and size + len(words) > max_words:
-            out.append(Automaton(batch))
-            batch, size = [], 0
-        batch.append((row.item_id, words))
-        size += len(words)
-    return [*out, Automaton(batch)]
-
-
-def _judged(batch: pa.RecordBatch, machine: Automaton) -> list[tuple[bytes, int, np.ndarray, set]]:
-    """Text, number of words, hit mask and item ids of each row, with what earlier passes found."""
+def items_of(benchmark: DataFrame) -> DataFrame:
+    """Distinct items that have words: id, normalised words, and their size in words of 64 bytes at most."""
+
+    def act(batch: pa.RecordBatch) -> list:
+        words = [words_of(t) for t in base.text_bytes(batch)]
+        joined = [b" ".join(w) for w in words]
+        return [batch.column("item"), joined, list(map(len, words)), [max(len(w), -(-len(t) // 64)) for w, t in zip(words, joined, strict=True)]]
+
+    items = base.map_batches(benchmark.select(F.col("item_id").cast("string").alias("item"), "text"), lambda: act, "item string, words binary, n_words long, size long")
+    return base.saved(items.filter("n_words > 0").distinct(), "items")
+
+
+def machine_of(items: list[tuple[str, bytes]] | None) -> Automaton | None:
+    """The automaton of items; a Python worker keeps the last one."""
+    if items is None:
+        return None
+    state, key = base.worker_state("automaton"), tuple(items)
+    if state.get("key") != key:
+        state.update(key=key, machine=Automaton([(item, words.split()) for item, words in items]))
+    return state["machine"]
+
+
+def window_hashes(words: list[bytes], lengths: list[int]) -> np.ndarray:
+    """Distinct hashes of all windows of so many words."""
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    ends = np.cumsum(sizes + 1) - 1
+    rolling, starts = base.Rolling(np.frombuffer(b" ".join(words), np.uint8)), ends - sizes
+    found = [rolling(starts[: len(words) - n + 1], ends[n - 1 :]) for n in lengths if n <= len(words)]
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *found])).view(np.int64)
+
+
+def _hashed(batch: pa.RecordBatch, number: str, lengths: list[int] | None) -> list:
+    """Numbers of rows with the hashes of their windows; without lengths those of an item."""
+    numbers, out = [], []
+    for n, text in zip(batch.column(number).to_pylist(), base.text_bytes(batch), strict=True):
+        if words := words_of(text):
+            out.append(window_hashes(words, lengths or [min(WINDOW, len(words))]))
+            numbers.append(np.full(len(out[-1]), n, np.int64))
+    return [pa.array(np.concatenate(x)) for x in (numbers, out)] if out else [[], []]
+
+
+def _by_chunk(batches):
+    """Row, hit mask and items of documents that come after the items of their chunk."""
+    key, items, machine = None, [], None
+    for batch in batches:
+        out = []
+        for chunk, part, item, row, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if (chunk, part) != key:
+                key, items, machine = (chunk, part), [], None
+            if row is None:
+                items.append((item, data.split()))
+                continue
+            machine = machine or Automaton(items)
+            mask, found = machine.hits(words_of(data))
+            if mask.any():
+                out.append((row, np.packbits(mask).tobytes(), sorted(x for x in found if x is not None)))
+        if out:
+            rows, masks, found = map(list, zip(*out, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(masks, pa.binary()), pa.array(found, pa.list_(pa.string()))], ["row", "mask", "items"])
+
+
+def _chunked(docs: DataFrame, items: DataFrame, chunks: int) -> DataFrame:
+    """docs with what all chunks of the items hit in them."""
+    items = base.saved(items.withColumn("chunk", F.pmod(F.xxhash64("item", "words"), F.lit(chunks)).cast("int")), "chunks")
+    lengths = sorted(x[0] for x in items.select(F.least("n_words", F.lit(WINDOW))).distinct().collect())
+    numbered = base.saved(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+    asked = base.map_batches(items.select("chunk", F.col("words").alias("text")), lambda: lambda x: _hashed(x, "chunk", None), "chunk int, hash long").distinct()
+    there = base.map_batches(numbered.select(ROW, "text"), lambda: lambda x: _hashed(x, ROW, lengths), f"{ROW} long, hash long")
+    pairs = base.saved(there.join(asked, "hash").select(ROW, "chunk").distinct(), "candidates")
+    parts = pairs.groupBy("chunk").agg(F.ceil(F.count(F.lit(1)) / CHUNK_DOCS).cast("int").alias("parts"))
+    texts = numbered.select(ROW, F.col("text").cast("binary").alias("data")).join(pairs.join(parts, "chunk"), ROW)
+    met = texts.select("chunk", F.pmod(F.xxhash64(ROW), F.col("parts")).cast("int").alias("part"), F.lit(None).cast("string").alias("item"), F.col(ROW).alias("row"), "data")
+    own = items.join(parts, "chunk").select("chunk", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "item", F.lit(None).cast("long").alias("row"), F.col("words").alias("data"))
+    dealt = own.unionByName(met).repartition(base.parts(docs.sparkSession), "chunk", "part").sortWithinPartitions("chunk", "part", F.col("row").asc_nulls_first())
+    hits = base.saved(dealt.mapInArrow(_by_chunk, "row long, mask binary, items array<string>"), "hits")
+    by_row = hits.groupBy(F.col("row").alias(ROW)).agg(F.collect_list("mask").alias(CARRIED[0]), F.array_distinct(F.flatten(F.collect_list("items"))).alias(CARRIED[1]))
+    return numbered.join(by_row, ROW, "left").drop(ROW)
+
+
+def _prepared(docs: DataFrame, benchmark: DataFrame, max_words: int) -> tuple[DataFrame, list[tuple[str, bytes]] | None]:
+    """docs and the items of one automaton, or docs with all hits."""
+    items = items_of(benchmark)
+    size = items.agg(F.sum("size")).first()[0] or 0
+    if size > max_words:
+        return _chunked(docs, items, math.ceil(2 * size / max_words)), None
+    return docs, [(x.item, bytes(x.words)) for x in items.select("item", "words").collect()]
+
+
+def _judged(batch: pa.RecordBatch, machine: Automaton | None) -> list[tuple[bytes, int, np.ndarray, set]]:
+    """Text, number of words, hit mask and item ids of each row; without an automaton, as the row carries them."""
     out = []
-    before = [batch.column(c).to_pylist() for c in CARRIED] if CARRIED[0] in batch.schema.names else None
-    for i, text in enumerate(base.text_bytes(batch)):
+    masks, ids = ([None] * batch.num_rows,) * 2 if machine else [batch.column(c).to_pylist() for c in CARRIED]
+    for text, own, found in zip(base.text_bytes(batch), masks, ids, strict=True):
         words = words_of(text)
-        mask, items = machine.hits(words)
-        found = {str(x) for x in items if x is not None}
-        if before:
-            mask |= np.unpackbits(np.frombuffer(before[0][i], np.uint8), count=len(words)).astype(bool)
-            found |= set(before[1][i])
-        out.append((text, len(words), mask, found))
+        if machine:
+            mask, found = machine.hits(words)
+        else:
+            mask = np.zeros(len(words), bool)
+            for x in own or ():
+                mask |= np.unpackbits(np.frombuffer(x, np.uint8), count=len(words)).astype(bool)
+        out.append((text, len(words), mask, {x for x in found or () if x is not None}))
     return out
 
 
-def _earlier(docs: DataFrame, machines: list[Automaton]) -> DataFrame:
-    """All passes but the last: each adds its hits to two carried columns and is written, so one automaton is in memory at a time."""
-    plain = StructType(docs.schema.fields)
-    schema = StructType([*plain.fields, StructField(CARRIED[0], BinaryType()), StructField(CARRIED[1], ArrayType(StringType()))])
-    for machine in machines[:-1]:
-
-        def run(batches, machine=machine):
-            for batch in batches:
-                rows = _judged(batch, machine)
-                own = [batch.column(i) for i in range(len(plain))]
-                masks, items = [np.packbits(mask).tobytes() for _, _, mask, _ in rows], [sorted(x) for _, _, _, x in rows]
-                yield base.record_batch([*own, masks, items], base.arrow_schema(schema))
-
-        docs = base.saved(docs.mapInArrow(run, schema), "hits")
-    return docs
-
-
 def items_digest(items: set[str]) -> str:
     return sha256(",".join(sorted(items)).encode()).hexdigest()
 
 
 def judge(docs: DataFrame, benchmark: DataFrame, max_words: int = MAX_ITEM_WORDS) -> DataFrame:
     """One row per document: its words, those hit, and the items that hit them."""
-    machines = automata(benchmark, max_words)
-    last = machines[-1]
+    docs, items_ = _prepared(docs.select("doc_id", "text"), benchmark, max_words)
 
     def act(batch):
-        rows = _judged(batch, last)
+        rows = _judged(batch, machine_of(items_))
         hit = [int(mask.sum()) for _, _, mask, _ in rows]
         items = [x for _, _, _, x in rows]
         return [batch.column("doc_id"), [n for _, n, _, _ in rows], hit, list(map(len, items)), list(map(items_digest, items)), [h > 0 for h in hit]]
 
-    return base.map_batches(_earlier(docs.select("doc_id", "text"), machines), lambda: act, SCHEMA)
+    return base.map_batches(docs, lambda: act, SCHEMA)
 
 
 def without(text: bytes, mask: np.ndarray) -> bytes:
@@ -233,12 +296,14 @@ def clean(docs: DataFrame, benchmark: DataFrame, max_fraction: float = MAX_FRACT
     All columns are kept; only ``text`` changes, and only where a span is hit. A
     whole-number column ``n_chars``, if there, is set to the new length in such rows.
     """
-    names, schema, machines = docs.columns, docs.schema, automata(benchmark, max_words)
-    last, counted = machines[-1], "n_chars" in names and isinstance(docs.schema["n_chars"].dataType, IntegralType)
+    names, schema = docs.columns, docs.schema
+    counted = "n_chars" in names and isinstance(schema["n_chars"].dataType, IntegralType)
+
+    docs, items = _prepared(docs, benchmark, max_words)
 
     def run(batches):
         for batch in batches:
-            rows = _judged(batch, last)
+            rows = _judged(batch, machine_of(items))
             columns = {name: batch.column(i) for i, name in enumerate(names)}
             hit = [mask.any() for _, _, mask, _ in rows]
             if any(hit):
@@ -250,4 +315,4 @@ def clean(docs: DataFrame, benchmark: DataFrame, max_fraction: float = MAX_FRACT
             keep = pa.array([n == 0 or mask.sum() <= max_fraction * n for _, n, mask, _ in rows])
             yield base.record_batch(list(columns.values()), base.arrow_schema(schema)).filter(keep)
 
-    return _earlier(docs, machines).mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)
