@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from usagelens.llm import base, decontaminate, huffman, lines, mixing, neardup, repeats, repetition, secrets, surrogates, urls
+from usagelens.llm import base, decontaminate, huffman, lines, mixing, neardup, phrases, repeats, repetition, secrets, surrogates, urls
 
 
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,6 +49,10 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.judge(base.table(spark, sf_dir, "documents"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.judge(base.table(spark, sf_dir, "documents"))
+
+
 QUERIES = [
     op1_secrets,
     op2_quality,
@@ -60,6 +64,7 @@ QUERIES = [
     op8_decontamination,
     op9_line_spread,
     op10_near_duplicates,
+    op11_phrases,
 ]
 
 
@@ -68,4 +73,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_line_spread": lines.SQL}
+    return {"op9_line_spread": lines.SQL, "op11_phrases": phrases.SQL}
