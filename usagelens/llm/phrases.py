@@ -1,7 +1,7 @@
 """Phrase collocations by Rabin-Karp fingerprints.
 
 Texts are dealt into pages of one language (``pages``). In a page, prefix
-polynomials over its bytes give each word's fingerprint, and polynomials over
+polynomials over its words' bytes give each word's fingerprint, and polynomials over
 these the fingerprint of every n-gram. A page posts each fingerprint once, with its
 number of occurrences; an occurrence pointer is the page and the fingerprint's place
 in it. A shuffle by ranges of fingerprints sums them and tells each page which of its
@@ -113,10 +113,12 @@ class Grams:
         offsets = np.concatenate(([0], np.cumsum(ends - starts))).astype(np.int64)
         words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(raw[inside].tobytes())])
         coded = words.dictionary_encode()
-        self.words = np.array(coded.indices, np.int64)
+        self.words = np.array(coded.indices)
         self.texts = coded.dictionary.to_pylist()
-        self.prints = base.Rolling(raw)(starts, ends)
-        self.piece = np.cumsum(raw == 10)[starts]
+        lengths = np.array([len(x) for x in self.texts], np.int64)
+        ends = np.cumsum(lengths)
+        self.prints = base.Rolling(np.frombuffer(b"".join(self.texts), np.uint8))(ends - lengths, ends)[self.words]
+        self.piece = np.cumsum(raw == 10, dtype=np.int32)[starts]
 
     def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """First words of the n-grams that lie in a piece, and their fingerprints."""
@@ -131,7 +133,7 @@ class Grams:
     def all(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Number of words, first word and fingerprint of every n-gram."""
         found = [self.of(n) for n in range(1, self.max_words + 1)]
-        n = np.repeat(np.arange(1, self.max_words + 1), [len(at) for at, _ in found])
+        n = np.repeat(np.arange(1, self.max_words + 1, dtype=np.int32), [len(at) for at, _ in found])
         return n, *(np.concatenate(x) for x in zip(*found, strict=True))
 
 
