@@ -37,7 +37,7 @@ EXPLAINED = 50  # percent of a phrase's occurrences that a longer one must hold
 TOP = 2000
 SCALE = 1_000_000
 
-PAGE_BYTES = 8 << 20  # of text in a page
+PAGE_BYTES = 4 << 20  # of text in a page
 HELD_PAGES = 4  # pages a task may hold while it fills them
 BUCKET_BYTES = 32 << 20  # of fingerprints that meet in a task
 SALTS = 64  # parts a language's candidates are ranked in first
