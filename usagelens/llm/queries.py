@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from usagelens.llm import alignment, base, decontaminate, huffman, lines, mixing, neardup, phrases, repeats, repetition, secrets, surrogates, urls
+from usagelens.llm import alignment, base, decontaminate, huffman, lines, mixing, neardup, phrases, postings, repeats, repetition, secrets, surrogates, urls
 
 
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +53,10 @@ def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.judge(base.table(spark, sf_dir, "documents"))
 
 
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return postings.judge(base.table(spark, sf_dir, "embeddings"))
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.judge(base.table(spark, sf_dir, "documents"))
 
@@ -69,6 +73,7 @@ QUERIES = [
     op9_line_spread,
     op10_near_duplicates,
     op11_phrases,
+    op12_neighbours,
     op13_alignment,
 ]
 
