@@ -86,13 +86,13 @@ class Tokenizers:
         # Texts of an id followed by: a comma (A), a bar (A), a comma (B), a semicolon (B).
         self.shift = len(self.bytes_a)
         a, b = range(len(self.bytes_a)), range(len(self.bytes_b))
-        self.signs = [f"{i},".encode() for i in a] + [f"{i}|".encode() for i in a] + [f"{i},".encode() for i in b] + [f"{i};".encode() for i in b]
+        signs = [f"{i},".encode() for i in a] + [f"{i}|".encode() for i in a] + [f"{i},".encode() for i in b] + [f"{i};".encode() for i in b]
+        self.signs, self.spell_a, self.spell_b = (np.array(x, object) for x in (signs, self.bytes_a, self.bytes_b))
 
     def both(self, text: str) -> tuple[np.ndarray, np.ndarray, bool]:
         """A and B ids of a text that begins with a space, and whether they give it back."""
-        a, b, raw = self.encode_a(text), self.encode_b(text[1:]), text.encode()
-        same = b"".join(map(self.bytes_b.__getitem__, b)) == raw and b"".join(map(self.bytes_a.__getitem__, a)) == raw
-        return np.array(a, np.int64), np.array(b, np.int64), same
+        a, b, raw = np.array(self.encode_a(text), np.int64), np.array(self.encode_b(text[1:]), np.int64), text.encode()
+        return a, b, all(b"".join(spell[x].tolist()) == raw for spell, x in ((self.spell_b, b), (self.spell_a, a)))
 
 
 def tokenizers() -> Tokenizers:
@@ -214,7 +214,7 @@ def spelled(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, t: T
     last_b[np.cumsum(n_b) - 1] = 1
     out[np.arange(len(a)) + np.repeat(np.cumsum(n_b) - n_b, n_a)] = a + last_a * t.shift
     out[np.arange(len(b)) + np.repeat(np.cumsum(n_a), n_b)] = b + 2 * t.shift + last_b * len(t.bytes_b)
-    return list(map(t.signs.__getitem__, out.tolist()))
+    return t.signs[out].tolist()
 
 
 def closed(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, t: Tokenizers) -> Fragment:
@@ -223,15 +223,18 @@ def closed(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, t: To
     return Fragment(True, True, (NO_IDS, NO_IDS), (NO_IDS, NO_IDS), len(a), len(b), len(n_a), int(times.sum()), b"".join(spelled(a, b, n_a, n_b, t)), keys, times)
 
 
-def fragment(a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray, t: Tokenizers) -> Fragment:
-    """The fragment of neighbouring tokens that end at these bytes."""
-    common = np.intersect1d(ends_a, ends_b, assume_unique=True)
-    if not len(common):
+def fragment(a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray, t: Tokenizers, begins: bool = False) -> Fragment:
+    """The fragment of neighbouring tokens that end at these bytes. Where a text begins both streams do, so that its first fragment has no head."""
+    place = np.searchsorted(ends_b, ends_a)
+    common = np.flatnonzero(ends_b[np.minimum(place, len(ends_b) - 1)] == ends_a) if len(ends_b) else NO_IDS
+    cut_a, cut_b = common + 1, place[common] + 1
+    if begins:
+        cut_a, cut_b = np.append(0, cut_a), np.append(0, cut_b)
+    if not len(cut_a):
         return Fragment(True, False, (a, b), (NO_IDS, NO_IDS), len(a), len(b), 0, 0, b"", NO_IDS, NO_IDS)
-    cut_a, cut_b = np.searchsorted(ends_a, common) + 1, np.searchsorted(ends_b, common) + 1
     first_a, last_a, first_b, last_b = cut_a[0], cut_a[-1], cut_b[0], cut_b[-1]
     own = EMPTY
-    if len(common) > 1:
+    if len(cut_a) > 1:
         own = closed(a[first_a:last_a], b[first_b:last_b], np.diff(cut_a), np.diff(cut_b), t)
     return Fragment(True, True, (a[:first_a], b[:first_b]), (a[last_a:], b[last_b:]), len(a), len(b), own.n_groups, own.n_links, own.groups, own.keys, own.times)
 
@@ -263,14 +266,11 @@ def compose(parts: list[Fragment], t: Tokenizers) -> Fragment:
     return Fragment(True, closes, joined(head), joined(tail), sum(x.n_a for x in parts), sum(x.n_b for x in parts), groups, links_, b"".join(x.groups for x in inner), keys, times)
 
 
-def whole(x: Fragment, t: Tokenizers) -> tuple:
-    """A document's row from the fragment of its whole text: its head begins the text, so it is a group."""
+def whole(x: Fragment) -> tuple:
+    """A document's row from the fragment of its whole text."""
     if not x.valid or not x.closes:
         return 0, 0, 0, 0, "", b"", b""
-    first = one_group(*x.head, t)
-    keys, times = merged([first.keys, x.keys], [first.times, x.times])
-    digest = hashlib.sha256((first.groups + x.groups)[:-1]).hexdigest()
-    return x.n_a, x.n_b, x.n_groups + 1, x.n_links + first.n_links, digest, keys.tobytes(), times.tobytes()
+    return x.n_a, x.n_b, x.n_groups, x.n_links, hashlib.sha256(x.groups[:-1]).hexdigest(), x.keys.tobytes(), x.times.tobytes()
 
 
 def packed(x: Fragment) -> list:
@@ -296,7 +296,7 @@ def fragments(chunks: DataFrame) -> DataFrame:
                 if same:
                     ends_a, ends_b = r["low"] + np.cumsum(t.size_a[a]), r["low"] + np.cumsum(t.size_b[b])
                     own_a, own_b = ((e > r["start"]) & (e <= r["end"]) for e in (ends_a, ends_b))
-                    found = fragment(a[own_a], b[own_b], ends_a[own_a], ends_b[own_b], t)
+                    found = fragment(a[own_a], b[own_b], ends_a[own_a], ends_b[own_b], t, r["start"] == 0)
                 else:
                     found = INVALID
                 rows.append([r["row"], r["doc_id"], r["chunk"], *packed(found)])
@@ -340,15 +340,14 @@ def aligned(docs: DataFrame, size: int = CHUNK_BYTES, fan: int = FAN) -> DataFra
                 if text:
                     a, b, same = t.both(f" {text}")
                     if same:
-                        found = fragment(a, b, np.cumsum(t.size_a[a]), np.cumsum(t.size_b[b]), t)
-                rows.append([doc, *whole(found, t)])
+                        found = fragment(a, b, np.cumsum(t.size_a[a]), np.cumsum(t.size_b[b]), t, True)
+                rows.append([doc, *whole(found)])
             return list(zip(*rows, strict=True))
 
         return act
 
     def finish():
-        t = tokenizers()
-        return lambda batch: list(zip(*([r["doc_id"], *whole(unpacked(r), t)] for r in batch.to_pylist()), strict=True))
+        return lambda batch: list(zip(*([r["doc_id"], *whole(unpacked(r))] for r in batch.to_pylist()), strict=True))
 
     docs = docs.select("doc_id", "text")
     is_long = F.octet_length("text") >= size

@@ -36,7 +36,7 @@ from usagelens.llm import base
 NEAREST = 10
 EVERY = 100  # a row is a query if its id is divisible by this
 
-LIST_ROWS = 128  # entries of a list, as long as the centroids stay within CENTROID_BYTES
+LIST_ROWS = 512  # entries of a list, as long as the centroids stay within CENTROID_BYTES
 CENTROID_BYTES = 32 << 20
 SAMPLE_BYTES = 64 << 20
 SAMPLE_PER_LIST = 64
