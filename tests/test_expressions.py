@@ -176,6 +176,45 @@ def test_masking(spark):
     assert values(spark, cases, masking.mask) == list(cases.values())
 
 
+# For each identifier: right ones, and the same with a wrong check digit or rule.
+IDENTIFIERS = {
+    "IBAN": (["DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"], ["DE88 3704 0044 0532 0130 00", "GB82WEST12345698765433"]),
+    "VEHICLE": (["1HGCM82633A004352", "1M8GDM9AXKP042788"], ["1HGCM82643A004352", "1M8GDM9A1KP042788"]),
+    "CNPJ_BR": (["11.222.333/0001-81", "11222333000181"], ["11.222.333/0001-82"]),
+    "INSEE_FR": (["1 85 05 78 006 084 91", "185057800608491"], ["1 85 05 78 006 084 92"]),
+    "CARD": (["4111 1111 1111 1111", "378282246310005", "4222222222222", "3782 822463 10005"], ["4111 1111 1111 1112", "378282246310006", "0000000000000000"]),
+    "CPF_BR": (["529.982.247-25", "52998224725"], ["529.982.247-26", "111.111.111-11"]),
+    "TAXID_DE": (["86 095 742 719", "86095742719"], ["86095742718"]),
+    "NHS_GB": (["943 476 5919", "9434765919"], ["9434765918"]),
+    "PROVIDER_US": (["1234567893"], ["1234567894"]),
+    "ROUTING_US": (["021000021", "111000025"], ["021000022", "500000000"]),
+    "DEA_US": (["AB1234563"], ["AB1234564"]),
+    "NIF_ES": (["12345678Z", "12345678-Z"], ["12345678A"]),
+    "NIE_ES": (["X1234567L", "Y-1234567-X"], ["X1234567M"]),
+}
+
+
+def test_identifiers_count_with_right_check_digits_only(spark):
+    assert set(IDENTIFIERS) == set(masking.CHECKS)
+    for name, (right, wrong) in IDENTIFIERS.items():
+        cases = {f"({t}) ends {t}": f"([{name}]) ends [{name}]" for t in right} | {f"no {t}": f"no {t}" for t in wrong}
+        assert values(spark, cases, masking.mask) == list(cases.values())
+        assert values(spark, cases, lambda c, name=name: masking.hits(c, name)) == [2] * len(right) + [0] * len(wrong)
+    assert values(spark, ["4111 1111 1111 1111"], lambda c: masking.mask(c, ["IPV4", "EMAIL"])) == ["4111 1111 1111 1111"]
+
+
+def test_masking_runs_without_python(spark):
+    df = spark.range(1).select(masking.mask(F.col("id").cast("string")))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_addresses_of_any_number_of_labels(spark):
+    long = "bob@" + "a." * 100_000 + "com"
+    cases = {long: "[EMAIL]", f"{long}.": "[EMAIL].", "x@b..c.com": "x@b..c.com", "x@b.com..d": "[EMAIL]..d", "x@b.com_y": "x@b.com_y", "x@b.com.": "[EMAIL].", "x@-b.com": "[EMAIL]", "x@.com": "x@.com"}
+    assert values(spark, cases, masking.mask) == list(cases.values())
+
+
 @settings(max_examples=25, deadline=None)
 @given(st.lists(st.text(alphabet="ab/-é ", max_size=12), min_size=1, max_size=30))
 def test_short_name_agrees_with_python(spark, texts):

@@ -170,10 +170,30 @@ def test_counts_and_readiness(spark):
     assert {r.dataset: r.ready for r in lake.datasets_ready(frames).collect()} == {"full": True, "none": False}
 
 
-def test_snapshot_is_replaced(spark, folder):
-    for n in (5, 2):
-        lake.refresh_dataset(spark.range(n), f"{folder}/s")
-    assert spark.read.parquet(f"{folder}/s").count() == 2
+def test_a_named_load_replaces_itself_and_shares_its_root(spark, folder):
+    prefix = f"{folder}/{schemas.PREFIXES['feedback_logs']}"
+    lake.land_batch(feedback(spark, ("s", 2024, 1, 5)), prefix, "stream-0")
+    for _run in range(2):
+        lake.land(feedback(spark, *ROWS), prefix, load="january")
+    lake.land(feedback(spark, ("e", 2024, 1, 5)), prefix, load="more")
+    both = sorted([*ROWS, ("s", 2024, 1, 5), ("e", 2024, 1, 5)])
+    assert users(lake.read_raw(spark, folder, "feedback_logs")) == both
+    day = dt.date(2024, 1, 5)
+    assert users(lake.read_range(spark, folder, "feedback_logs", day, day)) == [u for u in both if u[1:] == (2024, 1, 5)]
+
+
+def test_a_broken_feed_stops_no_other(spark, landed):
+    for name in ("chat_logs", "agent_hours_logs"):
+        lake.land(lake.ensure_columns(feedback(spark, *ROWS), schemas.feed(name).schema), f"{landed}/{schemas.PREFIXES[name]}")
+    with open(f"{landed}/{schemas.PREFIXES['chat_logs']}/year=2024/month=01/day=05/x.json.gz", "w") as out:
+        out.write("no gzip")
+    found = {o.table: o for o in lake.curate_feeds(spark, landed, f"{landed}/cur")}
+    assert {t for t, o in found.items() if o.error} == {"chat_logs"}
+    assert {t for t, o in found.items() if o.curated} == {"feedback_logs", "agent_hours_logs"}
+    assert lake.read_curated(spark, f"{landed}/cur", "agent_hours_logs").count() == len(ROWS)
+    with pytest.raises(ExceptionGroup, match="chat_logs"):
+        lake.curate_all(spark, landed, f"{landed}/cur2")
+    assert users(lake.read_curated(spark, f"{landed}/cur2", "feedback_logs")) == ROWS
 
 
 def test_schema_widths():

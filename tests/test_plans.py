@@ -192,6 +192,18 @@ def test_click_through_matches_null_points(spark):
     assert sorted(r.n for r in interact.click_through_many(df, picked).collect()) == [2, 3]
 
 
+@pytest.mark.parametrize("agg", sorted(aggregate.AGGREGATIONS))
+def test_every_aggregation_drills_down(spark, agg):
+    data = [("x", "p", 1), ("x", "p", 1), ("x", "q", 4), ("y", None, None), (None, "p", 7), ("z", "p", None)]
+    df = spark.createDataFrame(data, "f string, u string, v int")
+    got = {(r.level, r.f, r.u): r.m for r in interact.drill_down(df, ["f", "u"], "v", agg, "m").collect()}
+    for level in range(3):
+        keys = ["f", "u"][:level]
+        direct = df.groupBy(*keys).agg(aggregate.measure("v", agg, "m")).collect()
+        assert {k: v for k, v in got.items() if k[0] == level} == {(level, *(r[k] for k in keys), *[None] * (2 - level)): r.m for r in direct}
+    assert len(got) == 1 + 4 + 5
+
+
 def test_drill_down_levels(spark):
     df = spark.createDataFrame(
         [("x", "u", "c1"), ("x", "u", "c1"), ("x", None, "c2"), ("y", "u", "c1")], "f string, u string, c string"

@@ -19,6 +19,8 @@ AGGREGATIONS = {
     "MAX": F.max,
     "MIN": F.min,
 }
+# Aggregations of a column's distinct values alone.
+DISTINCT = ("DISTINCT_COUNT", "APPROX_DISTINCT_COUNT")
 DATE_COLUMN = "event_time"
 GRAINS = ("DAY", "WEEK", "MONTH", "YEAR")
 

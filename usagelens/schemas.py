@@ -89,6 +89,7 @@ PREFIXES = {
 ERROR_PREFIX = "errors"
 PASSTHROUGH_PREFIX = "passthrough"
 QUARANTINE_PREFIX = "quarantine"
+REPORT_PREFIX = "reports"
 
 # Range the projected scan accepts.
 FIRST_YEAR, LAST_YEAR = 2024, 2030

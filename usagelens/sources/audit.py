@@ -61,10 +61,14 @@ def read_audit_records(df: DataFrame, col: str = "data") -> DataFrame:
     return bind(decoded, event=envelopes.one_object(F.col("payload"), _EVENT))
 
 
+def _is_watched() -> Column:
+    event = F.col("event")
+    return event["source"].isin(AUDIT_SOURCES) & event["detail-type"].isin(AUDIT_DETAIL_TYPES)
+
+
 def filter_audit_feed(df: DataFrame) -> DataFrame:
     """Events of the watched source and detail types."""
-    event = F.col("event")
-    return df.filter(event["source"].isin(AUDIT_SOURCES) & event["detail-type"].isin(AUDIT_DETAIL_TYPES))
+    return df.filter(_is_watched())
 
 
 def resource_type(resources: Column) -> Column:
@@ -112,6 +116,11 @@ def route_audit_records(df: DataFrame) -> DataFrame:
     )
 
 
+def fate() -> Column:
+    """What becomes of a decoded record in the feed: failed, dropped by the selection, or landed."""
+    return F.when(~_is_valid(), envelopes.FAILED).when(F.coalesce(_is_watched(), F.lit(False)), envelopes.OK).otherwise(envelopes.DROPPED)
+
+
 def invalid(read: DataFrame) -> DataFrame:
     """Records that are no audit event."""
     return read.filter(~_is_valid())

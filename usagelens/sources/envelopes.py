@@ -324,11 +324,12 @@ def _event_survives(event: Column) -> Column:
     return let(one_object(message, _TIME_ONLY), outcome)
 
 
-def route_records(df: DataFrame) -> DataFrame:
-    """Add ``result``: the fate of each delivered record, its ``data`` untouched.
+def with_result(read: DataFrame) -> DataFrame:
+    """Add ``result``, the fate of each record, to records whose envelopes are read.
 
     A record is ``Ok`` when at least one of its events survives or when it holds
-    no log events at all. Whether values fit a table is not looked at here.
+    no log events at all. Whether values fit a table is not looked at here. Events
+    are looked at up to the first that survives.
     """
     survives = F.exists("envelope.logEvents", _event_survives)
     result = (
@@ -337,8 +338,12 @@ def route_records(df: DataFrame) -> DataFrame:
         .when((F.col("kind") == "events") & survives, OK)
         .otherwise(DROPPED)
     )
-    routed = read_envelopes(decode_envelopes(df)).withColumn("result", result)
-    return routed.select(*df.columns, "kind", "result")
+    return read.withColumn("result", result)
+
+
+def route_records(df: DataFrame) -> DataFrame:
+    """Add ``kind`` and ``result``: the fate of each delivered record, its ``data`` untouched."""
+    return with_result(read_envelopes(decode_envelopes(df))).select(*df.columns, "kind", "result")
 
 
 def passthrough(df: DataFrame) -> DataFrame:

@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable
+from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import InheritableThread
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -28,14 +30,30 @@ def _path(root: str, prefix: str) -> str:
     return f"{root.rstrip('/')}/{prefix}"
 
 
-def land(df: DataFrame, path: str, day: Column | None = None) -> None:
-    """Append gzip JSON lines under zero-padded day folders.
+def land(df: DataFrame, path: str, day: Column | None = None, load: str | None = None) -> None:
+    """Write gzip JSON lines under zero-padded day folders.
 
     The folder is the arrival day when ``day`` is given, and the row's own
     year/month/day columns otherwise. Rows are not shuffled: each task writes
     the days it holds. Use :func:`compact` where that leaves small files.
+
+    With the name of a load, rows go below the days to folders of that name, as a
+    stream's batches do, and replace what the same load has written to these days:
+    a load that is repeated adds nothing, and loads and a stream may share a root.
+    Without, rows are added to the day folders themselves, which a root with batches
+    does not allow.
     """
-    landing_writer(df if day is None else place(df, day)).mode("append").save(path)
+    placed = df if day is None else place(df, day)
+    if load is None:
+        landing_writer(placed).mode("append").save(path)
+    else:
+        land_batch(placed, path, f"load-{load}")
+
+
+def land_batch(placed: DataFrame, path: str, name: str) -> None:
+    """Rows with their days into folders of a batch's name, in place of those that the batch has written before."""
+    writer = landing_writer(placed.withColumn("batch", F.lit(name)), ["batch"])
+    writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(path)
 
 
 def place(df: DataFrame, day: Column) -> DataFrame:
@@ -314,10 +332,53 @@ def read_quarantine(spark: SparkSession, curated_root: str, table: str) -> DataF
         return spark.createDataFrame([], schema)
 
 
+@dataclass(frozen=True)
+class Outcome:
+    """What became of a feed: it had rows, or none, or its error."""
+
+    table: str
+    curated: bool
+    error: Exception | None = None
+
+
+def curate_feeds(
+    spark: SparkSession, raw_root: str, curated_root: str, include_content: bool = False, tables: Iterable[str] = schemas.TABLES
+) -> list[Outcome]:
+    """Curate feeds side by side, each in a scheduler pool of its own; a feed that fails doesn't stop the others.
+
+    The pools share the cluster evenly where its scheduler is fair
+    (``spark.scheduler.mode``); else the first feed's tasks go first.
+    """
+
+    def run(table: str) -> Outcome:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", table)
+        try:
+            return Outcome(table, curate(spark, raw_root, curated_root, table, include_content))
+        except Exception as error:  # whatever it is, it is this feed's alone
+            return Outcome(table, False, error)
+
+    tables, found = list(tables), {}
+
+    def keep(table: str) -> None:
+        found[table] = run(table)
+
+    threads = [InheritableThread(target=keep, args=(t,), session=spark) for t in tables]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    return [found[t] for t in tables]
+
+
 def curate_all(
     spark: SparkSession, raw_root: str, curated_root: str, include_content: bool = False
 ) -> dict[str, bool]:
-    return {t: curate(spark, raw_root, curated_root, t, include_content) for t in schemas.TABLES}
+    """Curate all feeds; whether each had rows. Errors are raised together once every feed has had its turn."""
+    outcomes = curate_feeds(spark, raw_root, curated_root, include_content)
+    errors = [o.error for o in outcomes if o.error]
+    if errors:
+        raise ExceptionGroup(f"feeds not curated: {', '.join(o.table for o in outcomes if o.error)}", errors)
+    return {o.table: o.curated for o in outcomes}
 
 
 def register_tables(spark: SparkSession, frames: dict[str, DataFrame]) -> None:
@@ -357,14 +418,6 @@ def publish(
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
 
-def refresh_dataset(df: DataFrame, path: str) -> None:
-    """Materialize a dataset, replacing its last snapshot.
-
-    ``df`` must not read from ``path``.
-    """
-    df.write.mode("overwrite").parquet(path)
-
-
 def table_counts(frames: dict[str, DataFrame]) -> DataFrame:
     """Rows per table, in one job; a count reads no column data from Parquet."""
     counts = [

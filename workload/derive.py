@@ -262,8 +262,8 @@ def log_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def feed_records(spark: SparkSession, sf_dir: str, name: str, log_type: str) -> DataFrame:
-    """Delivered records of a log table's rows, one event each, under the feed's own keys."""
+def feed_records(spark: SparkSession, sf_dir: str, name: str, log_type: str, only: Column | None = None) -> DataFrame:
+    """Delivered records of a log table's rows (those of ``only``), one event each, under the feed's own keys."""
     columns = {"logType": "message_type", "log_type": "message_type", "accountId": "account_id"}
     fields = [F.col(columns.get(f, f)).alias(f) for f in schemas.RECORD_FIELDS[log_type]]
     event = F.struct(F.lit(0).alias("timestamp"), F.to_json(F.struct(*fields)).alias("message"))
@@ -274,7 +274,9 @@ def feed_records(spark: SparkSession, sf_dir: str, name: str, log_type: str) ->
         F.array(event).alias("logEvents"),
     )
     data = F.base64(F.encode(F.to_json(envelope), "UTF-8"))
-    return table(spark, sf_dir, name).select(F.lit(log_type).alias("record_id"), data.alias("data"))
+    rows = table(spark, sf_dir, name)
+    rows = rows if only is None else rows.filter(only)
+    return rows.select(F.lit(log_type).alias("record_id"), data.alias("data"))
 
 
 def audit_records(spark: SparkSession, sf_dir: str) -> DataFrame:

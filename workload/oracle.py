@@ -238,10 +238,62 @@ _CATALOG_COUNTS = [
 ]
 
 
-def _mask_sql(column: str, patterns: dict[str, str]) -> str:
+def _digits(text: str) -> str:
+    return f"list_transform(string_split(regexp_replace({text}, '[^0-9]', '', 'g'), ''), lambda d: CAST(d AS INTEGER))"
+
+
+def _weighted(values: str, weights: list[int]) -> str:
+    return f"list_sum(list_transform(list_zip({values}[1:{len(weights)}], {weights}), lambda w: w[1] * w[2]))"
+
+
+def _luhn(digits: str) -> str:
+    odd = f"list_sum(list_transform(range(1, len({digits}) + 1), lambda i: CASE WHEN i % 2 = 1 THEN list_reverse({digits})[i] ELSE [0, 2, 4, 6, 8, 1, 3, 5, 7, 9][list_reverse({digits})[i] + 1] END))"
+    return f"list_sum({digits}) > 0 AND {odd} % 10 = 0"
+
+
+def _eleven(values: str, weights: list[int]) -> str:
+    rest = f"({_weighted(values, weights)} % 11)"
+    return f"(CASE WHEN {rest} < 2 THEN 0 ELSE 11 - {rest} END)"
+
+
+_V = _digits("m")
+_SPANISH = "regexp_replace(m, '[ -]', '', 'g')"
+_FRENCH = "replace(m, ' ', '')"
+_TURNED = "(replace(m, ' ', '')[5:] || replace(m, ' ', '')[1:4])"
+_VIN = "list_transform(string_split(translate(m, 'ABCDEFGHJKLMNPRSTUVWXYZ', '12345678123457923456789'), ''), lambda d: CAST(d AS INTEGER))"
+_VIN_REST = f"({_weighted(_VIN, [8, 7, 6, 5, 4, 3, 2, 10, 0, 9, 8, 7, 6, 5, 4, 3, 2])} % 11)"
+# What a match m must fulfil.
+_CHECKS = {
+    "IBAN": f"""length(replace(m, ' ', '')) BETWEEN 15 AND 34 AND list_reduce(list_transform(string_split({_TURNED}, ''),
+  lambda c: CASE WHEN c <= '9' THEN CAST(ascii(c) - 48 AS BIGINT) ELSE ascii(c) - 55 END), lambda a, x: (a * (CASE WHEN x > 9 THEN 100 ELSE 10 END) + x) % 97) = 1""",
+    "VEHICLE": f"len(list_distinct({_VIN})) > 1 AND (CASE WHEN {_VIN_REST} = 10 THEN 'X' ELSE CAST({_VIN_REST} AS VARCHAR) END) = m[9]",
+    "CNPJ_BR": f"list_sum({_V}) > 0 AND ({_V})[13] = {_eleven(_V, [5, 4, 3, 2, 9, 8, 7, 6, 5, 4, 3, 2])} AND ({_V})[14] = {_eleven(_V, [6, 5, 4, 3, 2, 9, 8, 7, 6, 5, 4, 3, 2])}",
+    "INSEE_FR": f"97 - CAST(replace(replace({_FRENCH}[1:13], '2A', '19'), '2B', '18') AS BIGINT) % 97 = CAST({_FRENCH}[14:15] AS BIGINT)",
+    "CARD": _luhn(_V),
+    "CPF_BR": f"len(list_distinct({_V})) > 1 AND ({_V})[10] = {_eleven(_V, [10, 9, 8, 7, 6, 5, 4, 3, 2])} AND ({_V})[11] = {_eleven(_V, [11, 10, 9, 8, 7, 6, 5, 4, 3, 2])}",
+    "TAXID_DE": f"""({_V})[1] > 0 AND (11 - list_reduce(list_prepend(10, ({_V})[1:10]),
+  lambda a, x: (2 * (CASE WHEN (a + x) % 10 = 0 THEN 10 ELSE (a + x) % 10 END)) % 11)) % 10 = ({_V})[11]""",
+    "NHS_GB": f"list_sum({_V}) > 0 AND (11 - {_weighted(_V, [10, 9, 8, 7, 6, 5, 4, 3, 2])} % 11) % 11 = ({_V})[10]",
+    "PROVIDER_US": _luhn(_digits("('80840' || m)")),
+    "ROUTING_US": f"""list_sum({_V}) > 0 AND {_weighted(_V, [3, 7, 1, 3, 7, 1, 3, 7, 1])} % 10 = 0
+  AND (CAST(m[1:2] AS INTEGER) BETWEEN 0 AND 12 OR CAST(m[1:2] AS INTEGER) BETWEEN 21 AND 32 OR CAST(m[1:2] AS INTEGER) BETWEEN 61 AND 72 OR m[1:2] = '80')""",
+    "DEA_US": f"{_weighted(_digits('m[3:9]'), [1, 2, 1, 2, 1, 2])} % 10 = CAST(m[9] AS INTEGER)",
+    "NIF_ES": f"'TRWAGMYFPDXBNJZSQVHLCKE'[CAST(translate({_SPANISH}[1:8], 'XYZ', '012') AS INTEGER) % 23 + 1] = {_SPANISH}[9]",
+}
+_CHECKS["NIE_ES"] = _CHECKS["NIF_ES"]
+
+
+def _mask_sql(source: str, keys: str, patterns: dict[str, str]) -> str:
+    """The texts of a table with every match replaced, one pattern after another."""
     for name, pattern in patterns.items():
-        column = f"regexp_replace({column}, '{pattern}', '[{name}]', 'g')"
-    return column
+        masked = f"regexp_replace(text, '{pattern}', '[{name}]', 'g')"
+        if name in _CHECKS:
+            check = re.sub(r"\bm\b", "z[2]", _CHECKS[name])
+            parts = f"list_zip(string_split_regex(text, '{pattern}'), regexp_extract_all(text, '{pattern}'))"
+            masked = f"array_to_string(list_transform({parts}, lambda z: z[1] || CASE WHEN z[2] IS NULL THEN '' WHEN {check} THEN '[{name}]' ELSE z[2] END), '')"
+            masked = f"CASE WHEN regexp_matches(text, '{pattern}') THEN {masked} ELSE text END"
+        source = f"(SELECT {keys}, {masked} AS text FROM {source})"
+    return f"SELECT {keys}, text FROM {source}"
 
 
 # The masking patterns in RE2 spelling, whose word boundary is an ASCII one.
@@ -249,17 +301,36 @@ _RE2 = {
     "PRIVATE_KEY": r"-----BEGIN [A-Z ]*PRIVATE KEY( BLOCK)?-----(?s:.*?)(-----END [A-Z ]*PRIVATE KEY( BLOCK)?-----|\z)",
     "ACCESS_KEY": r"\b(AKIA|ASIA)[0-9A-Z]{16}\b",
     "SECRET_KEY": r"""\b(?i:aws_secret_access_key|secret_key|api_key)["']? *[=:] *["']?[A-Za-z0-9/+=_-]{16,}""",
-    "EMAIL": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+){0,126}\.[A-Za-z]{2,}\b",
-    "CARD": r"\b\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{4}\b",
+    "EMAIL": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}\b",
+    "IBAN": r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
+    "VEHICLE": r"\b[A-HJ-NPR-Z0-9]{17}\b",
+    "CNPJ_BR": r"\b\d{2}\.?\d{3}\.?\d{3}/?\d{4}-?\d{2}\b",
+    "INSEE_FR": r"\b[12] ?\d{2} ?\d{2} ?(?:\d{2}|2[AB]) ?\d{3} ?\d{3} ?\d{2}\b",
+    "CARD": r"\b(?:\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{4}(?:[ -]?\d{1,3})?|\d{4}[ -]?\d{6}[ -]?\d{4,5}|\d{13,19})\b",
+    "CPF_BR": r"\b\d{3}\.?\d{3}\.?\d{3}-?\d{2}\b",
+    "TAXID_DE": r"\b\d{2} ?\d{3} ?\d{3} ?\d{3}\b",
+    "NHS_GB": r"\b\d{3} ?\d{3} ?\d{4}\b",
+    "PROVIDER_US": r"\b[12]\d{9}\b",
+    "ROUTING_US": r"\b\d{9}\b",
+    "DEA_US": r"\b[ABFGMPRX][A-Z9]\d{7}\b",
+    "NIF_ES": r"\b\d{8}[ -]?[A-Z]\b",
+    "NIE_ES": r"\b[XYZ][ -]?\d{7}[ -]?[A-Z]\b",
     "SSN_US": r"\b\d{3}-\d{2}-\d{4}\b",
     "PHONE_US": r"(\+1[ .-]?)?(\(\d{3}\) ?|\b\d{3}[ .-])\d{3}[ .-]\d{4}\b",
     "IPV4": r"\b\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}\b",
 }
 _RE2 = {name: pattern.replace("'", "''") for name, pattern in _RE2.items()}
 _MASKED = _RE2
-_HITS = ", ".join(
-    f"CAST(sum(len(regexp_extract_all(text, '{p}'))) AS BIGINT) AS {n.lower()}" for n, p in _MASKED.items()
-)
+
+
+def _hits(name: str, pattern: str) -> str:
+    found = f"regexp_extract_all(text, '{pattern}')"
+    if name in _CHECKS:
+        found = f"list_filter({found}, lambda z: {re.sub(r'\bm\b', 'z', _CHECKS[name])})"
+    return f"CAST(sum(len({found})) AS BIGINT) AS {name.lower()}"
+
+
+_HITS = ", ".join(_hits(n, p) for n, p in _MASKED.items())
 
 _NO_SPACES = "replace(replace(json_extract(object, '$.user_selected_resources')::VARCHAR, ' ', ''), chr(10), '')"
 _RANGE = "make_date(year, month, day) BETWEEN DATE '2024-01-05' AND DATE '2024-01-12'"
@@ -344,9 +415,12 @@ def _oracle() -> dict[str, str]:
     o["i23_overwrite_partitions"] = "SELECT * FROM feedback_logs"
     o["i24_land"] = "SELECT user_arn, usage_hours, 2024 AS year, 2 AS month, 1 AS day FROM agent_hours_logs"
     o["i25_curate_all"] = _table_counts(_TABLES)
+    o["i24_shared_root"] = "SELECT * EXCLUDE (year, month, day) FROM feedback_logs"
+    o["i25_broken_feed"] = f"SELECT table_name, if(table_name = 'feedback_logs', 0, row_count) AS row_count, table_name = 'feedback_logs' AS failed FROM ({_table_counts(_TABLES)})"
     o["i25_quarantine"] = """SELECT if(cut, NULL, user_arn) AS user_arn, if(cut, NULL, usage_hours) AS usage_hours, if(cut, NULL, event_timestamp) AS event_timestamp,
   year, month, day, if(cut, left('{"timestamp":"' || timestamp, 25), NULL) AS line FROM (SELECT *, event_timestamp % 10 = 3 AS cut FROM agent_hours_logs)"""
     o["i26_refresh_dataset"] = "SELECT * FROM d_chat"
+    o["i26_snapshot_days"] = f"SELECT {_DAY} AS event_day, count(*) AS row_count, CAST(1 AS BIGINT) AS times FROM d_chat GROUP BY 1"
     o["i27_datasets_ready"] = " UNION ALL ".join(
         f"SELECT '{name}' AS dataset, count(*) AS row_count, count(*) > 0 AS ready FROM {frame}" for name, frame in _FRAMES.items()
     )
@@ -403,12 +477,18 @@ FROM chat_activity GROUP BY surface_type"""
     o["v1_time_range"] = "SELECT event_time, event_id FROM d_audit WHERE event_time IS NULL OR event_time BETWEEN TIMESTAMP '2024-01-01' AND TIMESTAMP '2024-01-20 12:00:00'"
     o["v2_category_filter"] = "SELECT event_time, source_name, source_type FROM d_index WHERE source_type = 'KB'"
     o["v3_last_30_days"] = "SELECT event_time, conversation_id FROM d_chat WHERE event_time BETWEEN TIMESTAMP '2024-01-10 12:00:00' AND TIMESTAMP '2024-02-09 12:00:00'"
+    o["v1_snapshot_time_range"], o["v3_snapshot_last_30_days"] = o["v1_time_range"], o["v3_last_30_days"]
     o["v4_click_through"] = f"SELECT event_time, feature, conversation_id FROM d_chat WHERE {_DAY} = DATE '2024-01-09' AND feature = 'Flow'"
     busiest = _top("SELECT user_name, feature, count(*) AS n FROM d_chat GROUP BY ALL", "n", "user_name, feature", 20)
     o["v4_click_through_many"] = f"SELECT user_name, feature, conversation_id, event_time FROM d_chat SEMI JOIN ({busiest}) USING (user_name, feature)"
     for key, spec in visuals.VISUALS.items():
         if spec.drill:
             o[f"v5_drill_{key}"] = _drill(key)
+    levels = (("NULL", "NULL", "NULL", ""), (_DAY, "NULL", "NULL", "GROUP BY 1"), (_DAY, "feature", "NULL", "GROUP BY 1, 2"), (_DAY, "feature", "surface_type", "GROUP BY 1, 2, 3"))
+    o["v5_drill_average"] = " UNION ALL ".join(
+        f"SELECT CAST({a} AS DATE) AS day, CAST({b} AS VARCHAR) AS feature, CAST({c} AS VARCHAR) AS surface_type, {i} AS level, avg(latency_ms) AS latency_ms FROM d_chat {g}"
+        for i, (a, b, c, g) in enumerate(levels)
+    )
     # M
     users, sessions = "count(DISTINCT user_name) AS unique_users", "count(DISTINCT conversation_id) AS chat_sessions"
     hours, api = "sum(hours) AS agent_hours", "count(api_action) AS api_calls"
@@ -539,12 +619,18 @@ FROM d_chat GROUP BY 1"""
     # G, Q
     turn = "CAST(conv_id AS VARCHAR) AS conversation_id, CAST(turn AS VARCHAR) AS system_message_id"
     o["g1_restricted_view"] = f"SELECT {turn}, 28 AS n_columns FROM conversations"
-    o["g2_mask_documents"] = f"SELECT doc_id, {_mask_sql('text', _MASKED)} AS text FROM documents"
-    o["g2_mask_all_patterns"] = f"SELECT conv_id, turn, {_mask_sql('text', _RE2)} AS text FROM conversations"
+    o["g2_mask_documents"] = _mask_sql("documents", "doc_id", _MASKED)
+    o["g2_mask_all_patterns"] = _mask_sql("conversations", "conv_id, turn", _RE2)
     o["g2_pattern_hits"] = f"SELECT source, {_HITS} FROM documents GROUP BY source"
     o["g3_content_opt_in"] = f"SELECT {turn}, if(role = 'user', text, NULL) AS user_message, if(role = 'user', NULL, text) AS system_text_message FROM conversations"
     o["g4_use_curated"] = o["r3_hours_by_service"]
     o["q1_ingest_report"] = f"SELECT kind, result, count(*) AS records FROM ({routed}) GROUP BY ALL"
+    o["q1_ingest_days"] = f"""SELECT DATE '2024-02-01' AS day, count(*) FILTER (result = 'Ok') AS ok, count(*) FILTER (result = 'Dropped') AS dropped,
+  count(*) FILTER (result = 'ProcessingFailed') AS failed, (SELECT count(*) FROM delivered WHERE reason IS NOT NULL) AS unparseable,
+  (SELECT count(*) FROM events WHERE event_id % 50 = 0) AS quarantined FROM ({routed})"""
+    o["q1_audit_days"] = """SELECT DATE '2024-02-01' AS day, count(*) FILTER (valid AND watched) AS ok, count(*) FILTER (valid AND NOT watched) AS dropped,
+  count(*) FILTER (NOT valid) AS failed, CAST(0 AS BIGINT) AS unparseable, CAST(0 AS BIGINT) AS quarantined
+FROM (SELECT event_id % 43 <> 0 AND event_id % 41 <> 0 AS valid, event_id % 13 <> 0 AND event_id % 17 <> 0 AS watched FROM events)"""
     o["q1_unparseable"] = " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NOT NULL AND TRY_CAST({c} AS {t}) IS NULL) AS bad_rows FROM chat_logs"
         for c, t in (("timestamp", "TIMESTAMP"), ("latency", "DOUBLE"), ("time_to_first_token", "DOUBLE"))
@@ -564,6 +650,8 @@ WHERE CAST(event_id[5:] AS BIGINT) % 13 <> 0 AND CAST(event_id[5:] AS BIGINT) %
     o["p4_scheduled_refresh"] = "SELECT * FROM feedback_logs"
     o["p5_deduplicate"] = "SELECT event_id, event_type FROM events"
     o["p6_daily_calls"] = """SELECT CAST(ts AS DATE) AS day, count(*) AS calls FROM events GROUP BY 1
+HAVING CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM events)"""
+    o["p6_daily_active_users"] = """SELECT CAST(ts AS DATE) AS day, count(DISTINCT user_id) AS active_users FROM events GROUP BY 1
 HAVING CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM events)"""
     return o
 

@@ -14,7 +14,7 @@ from usagelens.functions import expressions as E
 from usagelens.functions import classify, masking
 from usagelens.operators import aggregate, governance, interact, quality
 from usagelens.plans import catalog, datasets, insights, reports, views, visuals
-from usagelens.sources import audit, envelopes, lake
+from usagelens.sources import audit, envelopes, lake, snapshots, store
 from usagelens.streaming import feeds
 from workload import derive
 
@@ -288,6 +288,18 @@ def _(x):
     return landed.select("user_arn", "usage_hours", "year", "month", "day")
 
 
+@query("i24_shared_root")
+def _(x):
+    """A stream and a load that is repeated, under one root, read by range."""
+    name, late = "feedback_logs", F.col("day") > 10
+    records = derive.feed_records(x.spark, x.sf_dir, name, "FEEDBACK_LOGS", late)
+    root = _streamed(x, name, records)
+    rest = x.table(name).filter(~late).drop(*schemas.PARTITION_COLUMNS)
+    for _run in range(2):
+        lake.land(rest, f"{root}/{schemas.PREFIXES[name]}", F.lit(INGEST_DATE), load="backfill")
+    return lake.read_range(x.spark, root, name, INGEST_DATE, INGEST_DATE).drop(*schemas.PARTITION_COLUMNS)
+
+
 def _curated(x: Inputs) -> dict[str, DataFrame]:
     raw, curated = x.landed(*schemas.TABLES), x.scratch("curated")
     lake.curate_all(x.spark, raw, curated)
@@ -299,6 +311,16 @@ def _(x):
     return lake.table_counts(_curated(x))
 
 
+@query("i25_broken_feed")
+def _(x):
+    """One feed has a file that can't be read: it is reported, the others are curated."""
+    raw, curated = x.landed(*schemas.TABLES), x.scratch("curated")
+    store.create(x.spark, f"{raw}/{schemas.PREFIXES['feedback_logs']}/year=2024/month=01/day=01/broken.json.gz", "no gzip")
+    outcomes = lake.curate_feeds(x.spark, raw, curated)
+    failed = x.spark.createDataFrame([(o.table, o.error is not None) for o in outcomes], "table_name string, failed boolean")
+    return lake.table_counts({t: lake.read_curated(x.spark, curated, t) for t in schemas.TABLES}).join(failed, "table_name")
+
+
 @query("i25_quarantine")
 def _(x):
     """Lines with quoted measures, some cut off: rows of the whole ones, and the broken ones apart."""
@@ -314,10 +336,22 @@ def _(x):
 
 @query("i26_refresh_dataset")
 def _(x):
-    path = x.scratch("snapshot")
-    for _run in range(2):
-        lake.refresh_dataset(x.dataset("chat-activity"), path)
-    return x.spark.read.parquet(path)
+    """A first refresh without the last days, then two with all."""
+    path, chat = x.scratch("snapshot"), x.dataset("chat-activity")
+    for rows in (chat.filter("event_time < '2024-01-12' OR event_time IS NULL"), chat, chat):
+        snapshots.refresh(rows, path)
+    return snapshots.read(x.spark, path, chat.schema)
+
+
+@query("i26_snapshot_days")
+def _(x):
+    """Days as the last version lists them, and how many refreshes have written them."""
+    path, chat = x.scratch("snapshot"), x.dataset("chat-activity")
+    written = [snapshots.refresh(rows, path) for rows in (chat.filter("event_time < '2024-01-12' OR event_time IS NULL"), chat, chat)]
+    times = x.spark.createDataFrame([(d, 1) for days in written for d in days], "event_day date, n int").groupBy("event_day").agg(F.sum("n").alias("times"))
+    days = snapshots.version(x.spark, path, snapshots.versions(x.spark, path)[-1]).alias("v")
+    joined = days.join(times.alias("t"), F.col("v.event_day").eqNullSafe(F.col("t.event_day")))
+    return joined.select("v.event_day", "row_count", "times")
 
 
 @query("i27_datasets_ready")
@@ -512,6 +546,24 @@ def _(x):
     return interact.last_days(x.dataset("chat-activity"), AS_OF + dt.timedelta(days=20)).select("event_time", "conversation_id")
 
 
+def _snapshot(x: Inputs, name: str) -> tuple[str, DataFrame]:
+    path, rows = x.scratch("snapshot"), x.dataset(name)
+    snapshots.refresh(rows, path)
+    return path, rows
+
+
+@query("v1_snapshot_time_range")
+def _(x):
+    path, rows = _snapshot(x, "api-audit-trail")
+    return interact.snapshot_time_range(x.spark, path, rows.schema, AS_OF).select("event_time", "event_id")
+
+
+@query("v3_snapshot_last_30_days")
+def _(x):
+    path, rows = _snapshot(x, "chat-activity")
+    return interact.snapshot_last_days(x.spark, path, rows.schema, AS_OF + dt.timedelta(days=20)).select("event_time", "conversation_id")
+
+
 @query("v4_click_through")
 def _(x):
     picked = {"event_time": dt.date(2024, 1, 9), "feature": "Flow"}
@@ -531,6 +583,11 @@ for _key, _spec in visuals.VISUALS.items():
         query(f"v5_drill_{_key}")(lambda x, key=_key, name=_spec.dataset: visuals.drill(x.dataset(name), key))
 
 
+@query("v5_drill_average")
+def _(x):
+    return interact.drill_down(x.dataset("chat-activity"), ["event_time", "feature", "surface_type"], "latency_ms", "AVERAGE", "latency_ms")
+
+
 # --- M, R: visuals and reports -----------------------------------------------------------------
 
 for _key, _spec in visuals.VISUALS.items():
@@ -710,6 +767,26 @@ def _(x):
     return quality.ingest_report(envelopes.route_records(x.records), ["kind"])
 
 
+@query("q1_ingest_days")
+def _(x):
+    """What the stream's batches have counted, and the broken lines that were then set apart."""
+    root, curated = _streamed(x), x.scratch("curated")
+    cut = x.source("events").filter("event_id % 50 = 0").select(F.format_string('{"broken": %d', "event_id").alias("value"))
+    days = lake.place(cut, F.lit(INGEST_DATE)).withColumn("batch", F.lit("by-hand"))
+    padded = days.withColumns({c: F.lpad(F.col(c).cast("string"), 2, "0") for c in ("month", "day")})
+    padded.write.mode("append").partitionBy(*schemas.PARTITION_COLUMNS, "batch").text(f"{root}/{schemas.PREFIXES['chat_logs']}")
+    lake.curate(x.spark, root, curated, "chat_logs")
+    return feeds.ingest_days(x.spark, root, "chat_logs", curated)
+
+
+@query("q1_audit_days")
+def _(x):
+    root = x.scratch("stream")
+    stream = feeds.read_records(x.spark, _delivered_files(x, x.audit_records, "records"))
+    feeds.ingest_audit(stream, root, f"{root}-progress", INGEST_DATE, continuous=False).awaitTermination()
+    return feeds.ingest_days(x.spark, root, "cloudtrail_events")
+
+
 @query("q1_unparseable")
 def _(x):
     types = {"timestamp": "timestamp_ntz", "latency": "double", "time_to_first_token": "double"}
@@ -798,7 +875,7 @@ def _(x):
     overlap = (F.col("day") == 10) & (F.col("feedback_type") == "Useful")
     for part in (rows.filter(early & ~overlap), rows.filter(~early | overlap)):
         lake.land(part, f"{raw}/{schemas.PREFIXES['feedback_logs']}")
-        feeds.refresh_curated(x.spark, raw, curated, "feedback_logs", f"{curated}-progress").awaitTermination()
+        feeds.refresh_once(x.spark, raw, curated, "feedback_logs", f"{curated}-progress")
     return lake.read_curated(x.spark, curated, "feedback_logs")
 
 
