@@ -133,3 +133,18 @@ def test_feed_filter(spark):
     bad = [event("other", audit.AUDIT_DETAIL_TYPES[0]), event(audit.AUDIT_SOURCES[0], "other"), {"detail": {}}]
     read = audit.read_audit_records(records(spark, *good, *bad))
     assert sorted(r.record_id for r in audit.filter_audit_feed(read).collect()) == ["0", "1"]
+
+
+def test_a_field_given_as_null_is_null_a_missing_one_has_its_default(spark):
+    row = flat(spark, {"eventTime": None, "eventID": "null", "errorCode": None, "readOnly": None, "userIdentity": {"type": None, "arn": "a"}, "resources": None})
+    assert (row.timestamp, row.event_id, row.event_name, row.error_code, row.error_message) == (None, "null", "", None, "")
+    assert (row.read_only, row.user_type, row.user_arn, row.user_name, row.resources) == (None, None, "a", "", "[]")
+    assert (row.year, row.month, row.day) == (INGEST.year, INGEST.month, INGEST.day)
+    row = flat(spark, {"userIdentity": {}, "errorMessage": "null"})
+    assert (row.read_only, row.user_type, row.request_parameters, row.error_message) == (False, "", "{}", "null")
+
+
+def test_fate_agrees_with_the_feed(spark):
+    watched = {"source": audit.AUDIT_SOURCES[0], "detail-type": audit.AUDIT_DETAIL_TYPES[0]}
+    read = audit.read_audit_records(records(spark, watched | {"detail": {}}, watched | {"detail": None}, {"detail": {}}, "junk"))
+    assert [r.f for r in read.orderBy("record_id").select(audit.fate().alias("f")).collect()] == [envelopes.OK, envelopes.FAILED, envelopes.DROPPED, envelopes.FAILED]

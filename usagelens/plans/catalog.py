@@ -10,92 +10,110 @@ from pyspark.sql import functions as F
 
 from usagelens.operators import aggregate
 
+@dataclass(frozen=True)
+class Entry:
+    """A dataset column as a reader knows it.
+
+    Its default aggregation, if it has one, and its kind of meaning: DATE makes the
+    default date column, at day grain. What isn't shown is hidden from readers.
+    """
+
+    column: str
+    label: str
+    description: str | None = None
+    aggregation: str | None = None
+    meaning: str | None = None
+    synonyms: Sequence[str] = ()
+    shown: bool = True
+
+
 # --- fixed values -------------------------------------------------------------
-# column | display name | default aggregation | meaning | other names.
-# A meaning of DATE makes the default date column, at day grain. A line that
-# starts with "-" is hidden from readers.
 CATALOG = {
-    "chat-activity": """
-event_time | Event Time | | DATE | date, time, when, timestamp, message date
-user_name | User | | PERSON | person, employee, who, sender
-feature | Feature | | CATEGORY | product, capability, feature type, what feature
-status | Status | | CATEGORY | result, outcome, status code
-conversation_id | Conversation | DISTINCT_COUNT | | chat, session, thread
-agent_id | Chat Agent | DISTINCT_COUNT | | bot, assistant, agent, q agent
-flow_id | Flow | DISTINCT_COUNT | | workflow, flow
-action_connectors | Action Connector | | | automation, connector, action
-latency_ms | Latency (ms) | AVERAGE | DURATION | response time, delay, speed, how long, duration
-time_to_first_token_ms | Time to First Token (ms) | AVERAGE | DURATION | ttft, first token, initial response time
-surface_type | Surface Type | | CATEGORY | channel, interface, source, origin
-web_search | Web Search Used | | CATEGORY | internet, web, search
-message_scope | Message Scope | | CATEGORY | scope, resource scope, context
-namespace | Namespace | | |
-- account_id | Account Id | | |
-""",
-    "feedback-analysis": """
-event_time | Event Time | | DATE | date, time, when, timestamp
-user_name | User | | PERSON | person, employee, who, reviewer
-feedback_source | Feedback Source | | CATEGORY | source, from research, from chat
-reason | Reason | | CATEGORY | why, cause, feedback reason
-details | Details | | | comment, note, text, written feedback
-rating | Rating | | | score, stars, numeric rating
-status | Status | | CATEGORY | result, outcome, status code
-conversation_id | Conversation | DISTINCT_COUNT | | chat, session, thread
-research_id | Research ID | DISTINCT_COUNT | | research, research session
-namespace | Namespace | | |
-- account_id | Account Id | | |
-feedback_type | Feedback Type | | |
-""",
-    "agent-hours-usage": """
-event_time | Event Time | | DATE | date, time, when, timestamp
-user_name | User | | PERSON | person, employee, who, consumer
-subscription_type | Subscription | | CATEGORY | plan, tier, license
-service | Service | | CATEGORY | product, feature, reporting service, research, chat, automation, flows
-usage_group | Usage Group | | CATEGORY | included, extra, overage, billing group
-hours | Hours | SUM | | usage, consumption, time used, agent hours, cost
-resource_type | Resource Type | | CATEGORY | resource, asset, service type
-resource_id | Resource ID | DISTINCT_COUNT | | resource name, resource id
-service_resource_arn | Service Resource Arn | | |
-- account_id | Account Id | | |
-""",
-    "api-audit-trail": """
-event_time | Event Time | | DATE | date, time, when, timestamp
-event_id | Event ID | | | event id, trail id, cloudtrail id
-api_action | API Action | | CATEGORY | operation, action, event, api call, method
-event_source | Event Source | | CATEGORY | source service, aws service
-user_name | Caller | | PERSON | who, user, caller, identity, principal
-source_ip | Source IP | | IP_ADDRESS | ip, ip address, origin, client ip
-aws_region | Region | | CATEGORY | region, location
-error_code | Error Code | | CATEGORY | error, failure, exception
-read_or_write | Read or Write | | CATEGORY | read, write, mutation
-resource_type | Resource Type | | CATEGORY | resource, asset type
-resource_arn | Resource ARN | | | arn, resource
-request_parameters | Request Parameters | | | parameters, payload, request, what changed
-recipient_account_id | Recipient Account | | | recipient, target account, cross account
-user_agent | User Agent | | | client, sdk, tool
-error_message | Error Message | | | error detail, failure message, what went wrong
-api_feature | API Feature | | CATEGORY | feature, category, what feature, space, knowledge base, dashboard
-user_type | User Type | | |
-event_type | Event Type | | |
-- account_id | Account Id | | |
-""",
-    "index-usage": """
-event_time | Event Time | | DATE | date, time, when, timestamp, measurement date
-consumed_index_size_gb | Index Size (GB) | SUM | | index size, total size, index gb, storage size, index storage
-consumed_source_size_gb | Source Size (GB) | SUM | | source size, source gb, kb size, space size, data size
-consumed_source_doc_count | Document Count | SUM | | docs, documents, doc count, number of documents, file count
-source_type | Source Type | | CATEGORY | type, kb or space, knowledge base, space, source category
-source_name | Source Name | | | name, kb name, space name, source, resource name
-source_arn | Source ARN | | | arn, resource arn, source resource
-user_name | User | | PERSON | person, employee, who, owner
-- account_id | Account Id | | |
-""",
+    "chat-activity": [
+        Entry("event_time", "Event Time", description="Timestamp of the chat message", meaning="DATE", synonyms=["date", "time", "when", "timestamp", "message date"]),
+        Entry("user_name", "User", description="Name of the user who sent the message", meaning="PERSON", synonyms=["person", "employee", "who", "sender"]),
+        Entry("feature", "Feature", description="Which feature was used: Chat Agent, Flow, Automation, or Direct Chat", meaning="CATEGORY", synonyms=["product", "capability", "feature type", "what feature"]),
+        Entry("status", "Status", description="Response status code (success, request_blocked, no_answer_found)", meaning="CATEGORY", synonyms=["result", "outcome", "status code"]),
+        Entry("conversation_id", "Conversation", description="Unique conversation identifier", aggregation="DISTINCT_COUNT", synonyms=["chat", "session", "thread"]),
+        Entry("agent_id", "Chat Agent", description="Chat agent that handled the message", aggregation="DISTINCT_COUNT", synonyms=["bot", "assistant", "agent", "q agent"]),
+        Entry("flow_id", "Flow", description="Flow identifier used in the conversation", aggregation="DISTINCT_COUNT", synonyms=["workflow", "flow"]),
+        Entry("action_connectors", "Action Connector", description="Automation action connector invoked during the conversation", synonyms=["automation", "connector", "action"]),
+        Entry("latency_ms", "Latency (ms)", description="End-to-end response latency in milliseconds", aggregation="AVERAGE", meaning="DURATION", synonyms=["response time", "delay", "speed", "how long", "duration"]),
+        Entry("time_to_first_token_ms", "Time to First Token (ms)", description="Time until the first response token in milliseconds", aggregation="AVERAGE", meaning="DURATION", synonyms=["ttft", "first token", "initial response time"]),
+        Entry("surface_type", "Surface Type", description="Where the chat originated (console, IDE, etc.)", meaning="CATEGORY", synonyms=["channel", "interface", "source", "origin"]),
+        Entry("web_search", "Web Search Used", description="Whether web search was used for the response", meaning="CATEGORY", synonyms=["internet", "web", "search"]),
+        Entry("message_scope", "Message Scope", description="Resource scope of the message: no_resources, all_resources, or specific_resource", meaning="CATEGORY", synonyms=["scope", "resource scope", "context"]),
+        Entry("namespace", "Namespace"),
+        Entry("account_id", "Account Id", shown=False),
+    ],
+    "feedback-analysis": [
+        Entry("event_time", "Event Time", description="When the feedback was submitted", meaning="DATE", synonyms=["date", "time", "when", "timestamp"]),
+        Entry("user_name", "User", description="User who submitted feedback", meaning="PERSON", synonyms=["person", "employee", "who", "reviewer"]),
+        Entry("feedback_source", "Feedback Source", description="Whether feedback is for Research or Chat", meaning="CATEGORY", synonyms=["source", "from research", "from chat"]),
+        Entry("reason", "Reason", description="Reason selected for the feedback", meaning="CATEGORY", synonyms=["why", "cause", "feedback reason"]),
+        Entry("details", "Details", description="Free-text feedback details written by the user", synonyms=["comment", "note", "text", "written feedback"]),
+        Entry("rating", "Rating", description="Numeric rating if provided", synonyms=["score", "stars", "numeric rating"]),
+        Entry("status", "Status", description="Response status code for the feedback event", meaning="CATEGORY", synonyms=["result", "outcome", "status code"]),
+        Entry("conversation_id", "Conversation", description="Conversation the feedback relates to", aggregation="DISTINCT_COUNT", synonyms=["chat", "session", "thread"]),
+        Entry("research_id", "Research ID", description="Research session the feedback relates to", aggregation="DISTINCT_COUNT", synonyms=["research", "research session"]),
+        Entry("namespace", "Namespace"),
+        Entry("account_id", "Account Id", shown=False),
+        Entry("feedback_type", "Feedback Type"),
+    ],
+    "agent-hours-usage": [
+        Entry("event_time", "Event Time", description="When the usage was recorded", meaning="DATE", synonyms=["date", "time", "when", "timestamp"]),
+        Entry("user_name", "User", description="User consuming agent hours", meaning="PERSON", synonyms=["person", "employee", "who", "consumer"]),
+        Entry("subscription_type", "Subscription", description="Subscription tier (Pro, Reader, etc.)", meaning="CATEGORY", synonyms=["plan", "tier", "license"]),
+        Entry("service", "Service", description="Service consuming hours: Research, Chat, Automation, Flows, etc.", meaning="CATEGORY", synonyms=["product", "feature", "reporting service", "research", "chat", "automation", "flows"]),
+        Entry("usage_group", "Usage Group", description="Whether hours are included or extra", meaning="CATEGORY", synonyms=["included", "extra", "overage", "billing group"]),
+        Entry("hours", "Hours", description="Number of agent hours consumed", aggregation="SUM", synonyms=["usage", "consumption", "time used", "agent hours", "cost"]),
+        Entry("resource_type", "Resource Type", description="Service consuming hours: Automation, Flow, Research", meaning="CATEGORY", synonyms=["resource", "asset", "service type"]),
+        Entry("resource_id", "Resource ID", description="Specific resource identifier consuming hours", aggregation="DISTINCT_COUNT", synonyms=["resource name", "resource id"]),
+        Entry("service_resource_arn", "Service Resource Arn"),
+        Entry("account_id", "Account Id", shown=False),
+    ],
+    "api-audit-trail": [
+        Entry("event_time", "Event Time", description="When the API call occurred", meaning="DATE", synonyms=["date", "time", "when", "timestamp"]),
+        Entry("event_id", "Event ID", description="Unique event identifier of the audit trail, for cross-referencing", synonyms=["event id", "trail id", "cloudtrail id"]),
+        Entry("api_action", "API Action", description="API operation called (CreateDashboard, DescribeDataSet, etc.)", meaning="CATEGORY", synonyms=["operation", "action", "event", "api call", "method"]),
+        Entry("event_source", "Event Source", description="Service that generated the event", meaning="CATEGORY", synonyms=["source service", "aws service"]),
+        Entry("user_name", "Caller", description="IAM user or role that made the call", meaning="PERSON", synonyms=["who", "user", "caller", "identity", "principal"]),
+        Entry("source_ip", "Source IP", description="IP address the call originated from", meaning="IP_ADDRESS", synonyms=["ip", "ip address", "origin", "client ip"]),
+        Entry("aws_region", "Region", description="AWS region where the API call was made", meaning="CATEGORY", synonyms=["region", "location"]),
+        Entry("error_code", "Error Code", description="Error code if the call failed", meaning="CATEGORY", synonyms=["error", "failure", "exception"]),
+        Entry("read_or_write", "Read or Write", description="Whether the API call was read-only or a write operation", meaning="CATEGORY", synonyms=["read", "write", "mutation"]),
+        Entry("resource_type", "Resource Type", description="Type of resource affected (dashboard, dataset, analysis, etc.)", meaning="CATEGORY", synonyms=["resource", "asset type"]),
+        Entry("resource_arn", "Resource ARN", description="ARN of the primary resource affected", synonyms=["arn", "resource"]),
+        Entry("request_parameters", "Request Parameters", description="JSON payload of the API call showing what was requested", synonyms=["parameters", "payload", "request", "what changed"]),
+        Entry("recipient_account_id", "Recipient Account", description="Account that received the event (for cross-account scenarios)", synonyms=["recipient", "target account", "cross account"]),
+        Entry("user_agent", "User Agent", description="Client user agent string (SDK, console, CLI)", synonyms=["client", "sdk", "tool"]),
+        Entry("error_message", "Error Message", description="Detailed error message if the API call failed", synonyms=["error detail", "failure message", "what went wrong"]),
+        Entry("api_feature", "API Feature", description="Feature category of the API call: Dashboard, Space, Knowledge Base, Dataset, Topic, etc.", meaning="CATEGORY", synonyms=["feature", "category", "what feature", "space", "knowledge base", "dashboard"]),
+        Entry("user_type", "User Type"),
+        Entry("event_type", "Event Type"),
+        Entry("account_id", "Account Id", shown=False),
+    ],
+    "index-usage": [
+        Entry("event_time", "Event Time", description="Timestamp of the index usage measurement", meaning="DATE", synonyms=["date", "time", "when", "timestamp", "measurement date"]),
+        Entry("consumed_index_size_gb", "Index Size (GB)", description="Total consumed index size in gigabytes", aggregation="SUM", synonyms=["index size", "total size", "index gb", "storage size", "index storage"]),
+        Entry("consumed_source_size_gb", "Source Size (GB)", description="Size consumed by this source in gigabytes", aggregation="SUM", synonyms=["source size", "source gb", "kb size", "space size", "data size"]),
+        Entry("consumed_source_doc_count", "Document Count", description="Number of documents from this source", aggregation="SUM", synonyms=["docs", "documents", "doc count", "number of documents", "file count"]),
+        Entry("source_type", "Source Type", description="Type of source: KB (Knowledge Base) or SPACE", meaning="CATEGORY", synonyms=["type", "kb or space", "knowledge base", "space", "source category"]),
+        Entry("source_name", "Source Name", description="Human-readable name of the knowledge base or Space", synonyms=["name", "kb name", "space name", "source", "resource name"]),
+        Entry("source_arn", "Source ARN", description="Full ARN of the source resource", synonyms=["arn", "resource arn", "source resource"]),
+        Entry("user_name", "User", description="User associated with the index usage event", meaning="PERSON", synonyms=["person", "employee", "who", "owner"]),
+        Entry("account_id", "Account Id", shown=False),
+    ],
 }
 # Labels the datasets are documented to carry.
 DOMAINS = {
     ("agent-hours-usage", "service"): ["RESEARCH", "FLOW", "AUTOMATION", "CHAT"],
     ("agent-hours-usage", "usage_group"): ["Included", "Extra"],
+    ("chat-activity", "feature"): ["System Chat Agent (My Assistant)", "Custom Chat Agent", "Flow"],
+    ("chat-activity", "status"): ["success", "request_blocked", "no_answer_found"],
+    ("chat-activity", "message_scope"): ["no_resources", "all_resources", "specific_resource"],
     ("feedback-analysis", "feedback_type"): ["Useful", "Not Useful"],
+    ("feedback-analysis", "reason"): ["Inaccurate", "Incomplete", "Too wordy", "Too slow"],
     ("index-usage", "source_type"): ["SPACE", "KB"],
     ("api-audit-trail", "read_or_write"): ["Read", "Write"],
 }
@@ -105,32 +123,9 @@ DOMAINS = {
 _SCALE = {"consumed_index_size_gb": 4, "consumed_source_size_gb": 4}
 
 
-@dataclass(frozen=True)
-class Entry:
-    column: str
-    label: str
-    aggregation: str | None
-    meaning: str | None
-    synonyms: tuple[str, ...]
-    shown: bool
-
-
 def entries(dataset: str) -> list[Entry]:
     """The dataset's catalog, in order."""
-    found = []
-    for line in CATALOG[dataset].strip().splitlines():
-        column, label, aggregation, meaning, names = (part.strip() for part in line.split("|"))
-        found.append(
-            Entry(
-                column.removeprefix("- "),
-                label,
-                aggregation or None,
-                meaning or None,
-                tuple(n.strip() for n in names.split(",") if n.strip()),
-                not column.startswith("-"),
-            )
-        )
-    return found
+    return CATALOG[dataset]
 
 
 def entry(dataset: str, column: str) -> Entry:
@@ -149,12 +144,12 @@ def catalog_frame(datasets: Mapping[str, DataFrame]) -> DataFrame:
             if e.column not in types:
                 raise ValueError(f"{name} has no column {e.column}")
             role = "MEASURE" if e.aggregation in ("SUM", "AVERAGE") else "DIMENSION"
-            rows.append((name, e.column, e.label, role, e.aggregation, e.meaning, types[e.column], e.shown))
+            rows.append((name, e.column, e.label, e.description, role, e.aggregation, e.meaning, list(e.synonyms), types[e.column], e.shown))
     spark = next(iter(datasets.values())).sparkSession
     return spark.createDataFrame(
         rows,
-        "dataset string, column_name string, label string, role string,"
-        " aggregation string, meaning string, data_type string, shown boolean",
+        "dataset string, column_name string, label string, description string, role string,"
+        " aggregation string, meaning string, synonyms array<string>, data_type string, shown boolean",
     )
 
 

@@ -129,26 +129,29 @@ def invalid(read: DataFrame) -> DataFrame:
 def flatten_audit(df: DataFrame, ingest_date: Column, carry: Sequence[str] = ()) -> DataFrame:
     """Decoded audit events to the table's 25 columns and the partition keys.
 
-    Missing text is '', a missing flag false, a missing object ``{}``; an object
-    given as null is the text ``null``. ``ingest_date`` stands in for the day of
-    an event whose time cannot be read, so that a re-run gives the same rows.
+    Missing text is '', a missing flag false, a missing object ``{}``; text or a flag
+    given as null is NULL, an object given as null the text ``null``. ``ingest_date``
+    stands in for the day of an event whose time cannot be read, so that a re-run gives
+    the same rows.
     """
     detail = F.col("event")["detail"]
-    blank = F.lit("")
-    # Only a fragment that is not there needs to know whether it was given as null.
-    incomplete = F.coalesce(*[F.when(detail[k].isNull(), True) for k in FRAGMENT_FIELDS.values()])
-    keys = F.when(incomplete, F.json_object_keys(F.get_json_object("payload", "$.detail")))
+    # Only an event that has the word can have given a field as null; which ones, its keys tell.
+    detail_text = F.when(F.contains("payload", F.lit("null")), F.get_json_object("payload", "$.detail"))
+    keys = F.json_object_keys(detail_text)
+    identity_keys = F.json_object_keys(F.get_json_object(detail_text, "$.userIdentity"))
 
-    def fragment(name: str) -> Column:
-        absent = F.when(F.array_contains("_keys", name), "null").otherwise("{}")
-        return F.coalesce(detail[name], absent)
+    def given(value: Column, key: str, absent: Column, null: Column, among: str = "_keys") -> Column:
+        return F.coalesce(value, F.when(F.array_contains(among, key), null).otherwise(absent))
+
+    def text(value: Column, key: str, among: str = "_keys") -> Column:
+        return given(value, key, F.lit(""), F.lit(None), among)
 
     resources = F.coalesce(detail["resources"], F.lit("[]"))
-    made = {name: F.coalesce(detail[key], blank) for name, key in DETAIL_FIELDS.items()}
-    made |= {name: F.coalesce(detail["userIdentity"][key], blank) for name, key in IDENTITY_FIELDS.items()}
-    made |= {name: fragment(key) for name, key in FRAGMENT_FIELDS.items()}
+    made = {name: text(detail[key], key) for name, key in DETAIL_FIELDS.items()}
+    made |= {name: text(detail["userIdentity"][key], key, "_identity_keys") for name, key in IDENTITY_FIELDS.items()}
+    made |= {name: given(detail[key], key, F.lit("{}"), F.lit("null")) for name, key in FRAGMENT_FIELDS.items()}
     made |= {
-        "read_only": F.coalesce(detail["readOnly"], F.lit(False)),
+        "read_only": given(detail["readOnly"], "readOnly", F.lit(False), F.lit(None).cast("boolean")),
         "resources": resources,
         "resource_type": resource_type(resources),
         "resource_arn": resource_arn(resources),
@@ -156,7 +159,7 @@ def flatten_audit(df: DataFrame, ingest_date: Column, carry: Sequence[str] = ())
     names = schemas.feed("cloudtrail_events").data.fieldNames()
     day = event_day(F.col("timestamp"), F.col("_ingest_date"))
     return (
-        bind(df.filter(_is_valid()), _keys=keys)
+        bind(df.filter(_is_valid()), _keys=keys, _identity_keys=identity_keys)
         .select(*[made[n].alias(n) for n in names], ingest_date.alias("_ingest_date"), *carry)
         .select(*names, *partition_keys(day), *carry)
     )

@@ -4,9 +4,7 @@ from __future__ import annotations
 
 import re
 
-from usagelens.functions import classify
-from usagelens.plans import visuals
-from workload import derive
+from workload import catalog_sql, derive
 
 _GB, _MB = 1073741824.0, 1048576.0
 _YMD = "year, month, day"
@@ -22,25 +20,6 @@ def _last_part(column: str) -> str:
     return f"string_split({column}, '/')[-1]"
 
 
-def _feature_sql(rules: classify.Rules, fallback: str, excepted: dict[str, str]) -> str:
-    """A rule table as a list of (hit, label) pairs, first hit taken."""
-
-    def test(fragment: str) -> str:
-        if fragment.startswith("*"):
-            return f"ends_with(event_name, '{fragment[1:]}')"
-        if fragment.endswith("*"):
-            return f"starts_with(event_name, '{fragment[:-1]}')"
-        return f"contains(event_name, '{fragment}')"
-
-    arms = []
-    for label, fragments in rules:
-        hit = "(" + " OR ".join(map(test, fragments)) + ")"
-        if label in excepted:
-            hit += f" AND NOT {test(excepted[label])}"
-        arms.append(f"CASE WHEN {hit} THEN '{label}' END")
-    return f"coalesce({', '.join(arms)}, {fallback})"
-
-
 _TIME = "TRY_CAST(timestamp AS TIMESTAMP)"
 _CHAT = f"""SELECT {_TIME} AS event_time, user_arn AS user_id, {_last_part('user_arn')} AS user_name, status_code AS status,
   conversation_id, agent_id, flow_id, action_connectors, namespace,
@@ -69,8 +48,52 @@ def _audit(feature: str, where: str) -> str:
 FROM cloudtrail_events {where}"""
 
 
-_VIEW_FEATURE = _feature_sql(classify.VIEW_RULES, "'Other'", {})
-_DATASET_FEATURE = _feature_sql(classify.DATASET_RULES, "event_name", classify.DATASET_EXCEPT)
+_VIEW_FEATURE = """CASE
+  WHEN regexp_matches(event_name, 'Automation|Deployment') THEN 'Automation'
+  WHEN regexp_matches(event_name, 'ActionConnector|PassAction') THEN 'Connector'
+  WHEN event_name LIKE '%Workflow%' THEN 'Workflow'
+  WHEN event_name LIKE '%Research%' THEN 'Research'
+  WHEN regexp_matches(event_name, 'Assistant|Chat|Conversation') THEN 'Chat'
+  WHEN event_name LIKE '%Integration%' THEN 'Integration'
+  WHEN event_name LIKE '%Dashboard%' THEN 'Dashboard'
+  WHEN event_name LIKE '%Analys%' THEN 'Analysis'
+  WHEN regexp_matches(event_name, 'Data[Ss]et') THEN 'Dataset'
+  WHEN event_name LIKE '%DataSource%' THEN 'Data Source'
+  WHEN regexp_matches(event_name, 'Ingestion|Refresh') THEN 'Ingestion'
+  WHEN event_name LIKE '%Topic%' THEN 'Q Topic'
+  WHEN regexp_matches(event_name, 'Space|Namespace') THEN 'Space'
+  WHEN event_name LIKE '%Knowledge%' THEN 'Knowledge Base'
+  WHEN event_name LIKE '%Flow%' THEN 'Flow'
+  WHEN event_name LIKE '%Folder%' THEN 'Folder'
+  WHEN event_name LIKE '%Template%' THEN 'Template'
+  WHEN event_name LIKE '%Theme%' THEN 'Theme'
+  WHEN regexp_matches(event_name, 'User|Group|Membership') THEN 'User & Access'
+  WHEN event_name LIKE '%Embed%' THEN 'Embedding'
+  WHEN regexp_matches(event_name, 'Account|Setting') THEN 'Account Settings'
+  WHEN event_name LIKE '%Authorization%' THEN 'Authorization'
+  WHEN event_name LIKE '%Search%' THEN 'Search'
+  ELSE 'Other' END"""
+_DATASET_FEATURE = """CASE
+  WHEN regexp_matches(event_name, 'Automation|Deployment') AND event_name NOT LIKE 'Search%' THEN 'Automation'
+  WHEN event_name LIKE '%PassAction%' THEN 'Connector'
+  WHEN event_name LIKE '%Workflow%' THEN 'Workflow'
+  WHEN event_name LIKE '%Research%' THEN 'Research'
+  WHEN event_name LIKE '%Dashboard%' THEN 'Dashboard'
+  WHEN event_name LIKE '%Analys%' THEN 'Analysis'
+  WHEN regexp_matches(event_name, 'Data[Ss]et') THEN 'Dataset'
+  WHEN event_name LIKE '%DataSource%' THEN 'Data Source'
+  WHEN regexp_matches(event_name, 'Ingestion|Refresh') THEN 'Ingestion'
+  WHEN event_name LIKE '%Topic%' THEN 'Topic'
+  WHEN event_name LIKE '%Space' THEN 'Space'
+  WHEN event_name LIKE '%Knowledge%' THEN 'Knowledgebase'
+  WHEN event_name LIKE '%Folder%' THEN 'Folder'
+  WHEN event_name LIKE '%Template%' THEN 'Template'
+  WHEN event_name LIKE '%Theme%' THEN 'Theme'
+  WHEN event_name LIKE '%Embed%' THEN 'Embedding'
+  WHEN event_name LIKE '%Authorization%' THEN 'Authorization'
+  WHEN event_name LIKE 'Search%' THEN 'Search'
+  WHEN event_name LIKE '%Database%' THEN 'Database'
+  ELSE event_name END"""
 
 
 def _scalar(name: str) -> str:
@@ -209,22 +232,35 @@ _FRAMES = {
 }
 
 
-def _drill(key: str) -> str:
+_USERS, _SESSIONS = "count(DISTINCT user_name) AS unique_users", "count(DISTINCT conversation_id) AS chat_sessions"
+_HOURS_SUM, _CALLS, _RESPONSES = "sum(hours) AS agent_hours", "count(api_action) AS api_calls", "count({}) AS feedback_responses"
+# Each visual's drill path: table, measure, columns from the coarsest on.
+_DRILLS = {
+    "m03": ("d_chat", _USERS, "day feature user_name"),
+    "m04": ("d_chat", _SESSIONS, "feature user_name"),
+    "m05": ("d_chat", _SESSIONS, "user_name feature"),
+    "m06": ("d_chat", _SESSIONS, "day feature user_name"),
+    "m07": ("d_chat", _SESSIONS, "status user_name"),
+    "m10": ("d_hours", _HOURS_SUM, "service resource_type user_name"),
+    "m11": ("d_hours", _HOURS_SUM, "user_name service"),
+    "m12": ("d_hours", _HOURS_SUM, "usage_group service user_name"),
+    "m13": ("d_hours", _HOURS_SUM, "day service user_name"),
+    "m15": ("d_feedback", _RESPONSES.format("feedback_type"), "feedback_type user_name"),
+    "m16": ("d_feedback", _RESPONSES.format("reason"), "reason user_name"),
+    "m18": ("d_audit", _CALLS, "api_feature api_action user_name"),
+    "m19": ("d_audit", _CALLS, "user_type api_feature"),
+}
+
+
+def _drill(frame: str, measure: str, path: str) -> str:
     """All levels of a drill path as one union of plain group-bys."""
-    spec = visuals.VISUALS[key]
-    column, agg, name = spec.measure
-    measure = {
-        "DISTINCT_COUNT": f"count(DISTINCT {column})",
-        "COUNT": f"count({column})",
-        "SUM": f"sum({column})",
-    }[agg]
-    names = ["day" if c == "event_time" else c for c in spec.drill]
-    values = [_DAY if c == "event_time" else c for c in spec.drill]
-    frame, parts = _FRAMES[spec.dataset], []
+    names = path.split()
+    values = [_DAY if c == "day" else c for c in names]
+    parts = []
     for level in range(len(names) + 1):
         keys = [f"{v if i < level else 'NULL'} AS {n}" for i, (n, v) in enumerate(zip(names, values, strict=True))]
         grouping = f"GROUP BY {', '.join(values[:level])}" if level else ""
-        parts.append(f"SELECT {', '.join(keys)}, {level} AS level, {measure} AS {name} FROM {frame} {grouping}")
+        parts.append(f"SELECT {', '.join(keys)}, {level} AS level, {measure} FROM {frame} {grouping}")
     return " UNION ALL ".join(parts)
 
 
@@ -481,9 +517,8 @@ FROM chat_activity GROUP BY surface_type"""
     o["v4_click_through"] = f"SELECT event_time, feature, conversation_id FROM d_chat WHERE {_DAY} = DATE '2024-01-09' AND feature = 'Flow'"
     busiest = _top("SELECT user_name, feature, count(*) AS n FROM d_chat GROUP BY ALL", "n", "user_name, feature", 20)
     o["v4_click_through_many"] = f"SELECT user_name, feature, conversation_id, event_time FROM d_chat SEMI JOIN ({busiest}) USING (user_name, feature)"
-    for key, spec in visuals.VISUALS.items():
-        if spec.drill:
-            o[f"v5_drill_{key}"] = _drill(key)
+    for key, spec in _DRILLS.items():
+        o[f"v5_drill_{key}"] = _drill(*spec)
     levels = (("NULL", "NULL", "NULL", ""), (_DAY, "NULL", "NULL", "GROUP BY 1"), (_DAY, "feature", "NULL", "GROUP BY 1, 2"), (_DAY, "feature", "surface_type", "GROUP BY 1, 2, 3"))
     o["v5_drill_average"] = " UNION ALL ".join(
         f"SELECT CAST({a} AS DATE) AS day, CAST({b} AS VARCHAR) AS feature, CAST({c} AS VARCHAR) AS surface_type, {i} AS level, avg(latency_ms) AS latency_ms FROM d_chat {g}"
@@ -540,6 +575,11 @@ FROM chat_activity GROUP BY surface_type"""
         for role, n in (("MEASURE", measures), ("DIMENSION", dims))
         if n
     )
+    filled = " UNION ALL ".join(
+        f"SELECT '{name}' AS dataset, column_name, filled FROM (UNPIVOT (SELECT count(COLUMNS(*)) FROM {frame}) ON COLUMNS(*) INTO NAME column_name VALUE filled)"
+        for name, frame in _FRAMES.items()
+    )
+    o["t1_catalog_columns"] = f"SELECT * FROM (VALUES {catalog_sql.ROWS}) AS c({catalog_sql.COLUMNS}) JOIN ({filled}) USING (dataset, column_name)"
     o["t2_default_aggregation"] = """SELECT surface_type, count(DISTINCT conversation_id) AS conversation_id_distinct_count, avg(latency_ms) AS latency_ms_average,
   avg(time_to_first_token_ms) AS time_to_first_token_ms_average, count(status) AS status_count FROM d_chat GROUP BY surface_type"""
     o["t3_default_date"] = f"SELECT {day}, sum(hours) AS hours_sum FROM d_hours GROUP BY 1"
@@ -547,6 +587,10 @@ FROM chat_activity GROUP BY surface_type"""
   {_gb('consumed_source_size_gb')} AS consumed_source_size_gb_sum FROM d_index GROUP BY ALL"""
     o["t5_shown_columns"] = "SELECT * EXCLUDE (account_id) FROM d_feedback"
     domains = [
+        ("d_chat", "feature", "('System Chat Agent (My Assistant)', 'Custom Chat Agent', 'Flow')"),
+        ("d_chat", "status", "('success', 'request_blocked', 'no_answer_found')"),
+        ("d_chat", "message_scope", "('no_resources', 'all_resources', 'specific_resource')"),
+        ("d_feedback", "reason", "('Inaccurate', 'Incomplete', 'Too wordy', 'Too slow')"),
         ("d_hours", "service", "('RESEARCH', 'FLOW', 'AUTOMATION', 'CHAT')"),
         ("d_hours", "usage_group", "('Included', 'Extra')"),
         ("d_feedback", "feedback_type", "('Useful', 'Not Useful')"),
@@ -554,7 +598,7 @@ FROM chat_activity GROUP BY surface_type"""
         ("d_audit", "read_or_write", "('Read', 'Write')"),
     ]
     o["t6_label_domains"] = " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, {c} AS label, count(*) AS row_count, {c} IN {known} AS known FROM {frame} GROUP BY {c}"
+        f"SELECT '{c}' AS column_name, {c} AS label, count(*) AS row_count, coalesce({c} IN {known}, false) AS known FROM {frame} GROUP BY {c}"
         for frame, c, known in domains
     )
     # X

@@ -612,6 +612,18 @@ def _(x):
     return rows.join(counts, on).groupBy("dataset", "role", "row_count").agg(F.count(F.lit(1)).alias("columns"))
 
 
+@query("t1_catalog_columns")
+def _(x):
+    """Every entry of the catalog, and how many rows have a value in its column."""
+    frames = {name: x.dataset(name) for name in datasets.DATASETS}
+    rows = catalog.catalog_frame(frames).withColumn("synonyms", F.array_join("synonyms", ", "))
+    filled = None
+    for name, df in frames.items():
+        counts = df.agg(*[F.count(c).alias(c) for c in df.columns]).unpivot([], df.columns, "column_name", "filled").withColumn("dataset", F.lit(name))
+        filled = counts if filled is None else filled.unionByName(counts)
+    return rows.join(filled, ["dataset", "column_name"])
+
+
 @query("t2_default_aggregation")
 def _(x):
     terms = ["conversation_id", "latency_ms", "time_to_first_token_ms", "status"]
