@@ -37,7 +37,8 @@ END_ID = 2
 MAX_BITS = 20  # of a code; look-up tables have 2^MAX_BITS rows
 STEP = 128  # ids between checkpoints
 BLOCK_BYTES = 1 << 19  # a block ends with the document that reaches this
-CACHED_PIECES = 600_000
+CACHED_PIECES = 300_000  # of each generation
+CACHED_BYTES = 64  # of a piece that is kept
 
 TOKENS = "doc_id long, n_tokens int, crc long, low binary, high binary"
 CODES = "id long, bits int"
@@ -74,21 +75,35 @@ def pieces(text: str) -> list[bytes] | None:
 
 
 class Pieces(dict):
-    """The ids of pieces as little-endian 16-bit numbers, encoded when first asked for."""
+    """The ids of pieces as little-endian 16-bit numbers, encoded when first asked for.
+
+    Two generations: when this one is full it becomes the old one, and pieces that are
+    asked for again come back from there, so that those in use stay.
+    """
 
     def __init__(self, tokenizer):
         super().__init__()
-        self.tokenizer, self.tokens = tokenizer, tokenizer.model.tokenize
+        self.tokenizer, self.tokens, self.old = tokenizer, tokenizer.model.tokenize, {}
+        self.ids = [i.to_bytes(2, "little") for i in range(tokenizer.get_vocab_size())]
+        # The tokenizer's model has a letter for each byte; printable ASCII stands for itself.
+        letters = {b: chr(b) for b in (*range(33, 127), *range(161, 173), *range(174, 256))}
+        others = [b for b in range(256) if b not in letters]
+        self.letters = letters | {b: chr(256 + i) for i, b in enumerate(others)}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
 
     def __missing__(self, piece: bytes) -> bytes:
-        if len(self) >= CACHED_PIECES:
-            self.clear()
-        text = piece.decode()
-        found = np.array([t.id for t in self.tokens(text)], "<u2").tobytes() if piece.isascii() else self.whole(text)
-        self[piece] = found
+        found = self.old.get(piece)
+        if found is None:
+            text = piece.decode("latin-1")
+            ids = self.ids
+            found = b"".join([ids[t.id] for t in self.tokens(text if piece.isascii() else text.translate(self.letters))])
+        if len(piece) <= CACHED_BYTES:
+            if len(self) >= CACHED_PIECES:
+                self.old = dict(self)
+                self.clear()
+            self[piece] = found
         return found
 
 
