@@ -44,7 +44,7 @@ MAX_ITEM_WORDS = 100_000
 MAX_FRACTION = 0.5
 # Documents that one task holds against a chunk, on average at most.
 CHUNK_DOCS = 20_000
-# Columns that carry the row's number, and the hits of all chunks where there are several.
+# Columns that carry the row's number, and the hits of all chunks where there are several; longer names where a table has these.
 ROW, CARRIED = "__row", ("__hit_masks", "__hit_items")
 SCHEMA = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
 
@@ -68,22 +68,35 @@ class Automaton:
             last = 0
             for c in ids:
                 last = self._extend(last, c)
-        self.items: list[set] = [set() for _ in self.next]  # of a state: the items that its words occur in
+        # By state: of the suffixes of its words, the state of that of WINDOW words, and the longest that ends a whole short item.
+        self.window_at, self.short_at = [-1] * len(self.next), [-1] * len(self.next)
+        ends = [self._end(ids) for _, ids in sequences]
         self.short: dict[int, list[tuple[int, object]]] = {}  # whole short items by state: their length and id
+        for (key, ids), state in zip(sequences, ends, strict=True):
+            if len(ids) < WINDOW:
+                self.short.setdefault(state, []).append((len(ids), key))
+        for at in sorted(range(1, len(self.next)), key=self.length.__getitem__):
+            up = self.link[at]
+            if self.length[at] >= WINDOW:
+                self.window_at[at] = at if self.length[up] < WINDOW else self.window_at[up]
+            self.short_at[at] = at if at in self.short else self.short_at[up]
+        self.items: dict[int, set] = {}  # by the state of a window: the items that it occurs in
         for key, ids in sequences:
             state = 0
             for c in ids:
                 state = self.next[state][c]
-                at = state
-                while at > 0 and key not in self.items[at] and self.length[at] >= WINDOW:
-                    self.items[at].add(key)
-                    at = self.link[at]
-            if len(ids) < WINDOW:
-                self.short.setdefault(state, []).append((len(ids), key))
+                if self.window_at[state] > 0:
+                    self.items.setdefault(self.window_at[state], set()).add(key)
         self.least = min([WINDOW, *(len(ids) for _, ids in sequences)])
         size = max(1, len(self.vocabulary))
         self.pairs = np.unique(np.array([a * size + b for _, ids in sequences for a, b in itertools.pairwise(ids)], np.int64))
 
+    def _end(self, ids: list[int]) -> int:
+        state = 0
+        for c in ids:
+            state = self.next[state][c]
+        return state
+
     def _extend(self, last: int, c: int) -> int:
         if c in self.next[last]:
             q = self.next[last][c]
@@ -129,7 +142,7 @@ class Automaton:
         return [(int(a), int(b)) for a, b in zip(edges[:-1][fit], edges[1:][fit], strict=True)]
 
     def matches(self, ids: list[int], offset: int):
-        """Yields (start, end, items) of each window or whole short item that ends at a word."""
+        """Yields (start, end, items) of each window or whole short item that ends at a word: a bounded number a word."""
         state, length = 0, 0
         for i, c in enumerate(ids, offset + 1):
             while state and c not in self.next[state]:
@@ -137,15 +150,14 @@ class Automaton:
                 length = self.length[state]
             if c in self.next[state]:
                 state, length = self.next[state][c], length + 1
-            at = state
+            if length >= WINDOW:
+                yield i - WINDOW, i, self.items[self.window_at[state]]
+            at = self.short_at[state]
             while at > 0:
-                low = self.length[self.link[at]]
-                if low < WINDOW <= min(length, self.length[at]):
-                    yield i - WINDOW, i, self.items[at]
-                for size, key in self.short.get(at, ()):
+                for size, key in self.short[at]:
                     if size <= length:
                         yield i - size, i, {key}
-                at = self.link[at]
+                at = self.short_at[self.link[at]]
 
     def hits(self, words: list[bytes]) -> tuple[np.ndarray, set]:
         """Mask of the hit words, and the items that hit them."""
@@ -154,7 +166,8 @@ class Automaton:
         for a, b in self.runs(ids):
             for start, end, items in self.matches(ids[a:b].tolist(), a):
                 mask[start:end] = True
-                found |= items
+                if not items <= found:
+                    found |= items
         return mask, found
 
 
@@ -219,22 +232,31 @@ def _by_chunk(batches):
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(masks, pa.binary()), pa.array(found, pa.list_(pa.string()))], ["row", "mask", "items"])
 
 
+def own_names(columns: list[str]) -> tuple[str, str, str]:
+    """ROW and CARRIED, made longer until no column has such a name."""
+    names = (ROW, *CARRIED)
+    while {x.lower() for x in names} & {x.lower() for x in columns}:
+        names = tuple(f"{x}_" for x in names)
+    return names
+
+
 def _chunked(docs: DataFrame, items: DataFrame, chunks: int) -> DataFrame:
     """docs with what all chunks of the items hit in them."""
+    row_, masks_, items_ = own_names(docs.columns)
     items = base.saved(items.withColumn("chunk", F.pmod(F.xxhash64("item", "words"), F.lit(chunks)).cast("int")), "chunks")
     lengths = sorted(x[0] for x in items.select(F.least("n_words", F.lit(WINDOW))).distinct().collect())
-    numbered = base.saved(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+    numbered = base.saved(docs.withColumn(row_, F.monotonically_increasing_id()), "numbered")
     asked = base.map_batches(items.select("chunk", F.col("words").alias("text")), lambda: lambda x: _hashed(x, "chunk", None), "chunk int, hash long").distinct()
-    there = base.map_batches(numbered.select(ROW, "text"), lambda: lambda x: _hashed(x, ROW, lengths), f"{ROW} long, hash long")
+    there = base.map_batches(numbered.select(F.col(row_).alias(ROW), "text"), lambda: lambda x: _hashed(x, ROW, lengths), f"{ROW} long, hash long")
     pairs = base.saved(there.join(asked, "hash").select(ROW, "chunk").distinct(), "candidates")
     parts = pairs.groupBy("chunk").agg(F.ceil(F.count(F.lit(1)) / CHUNK_DOCS).cast("int").alias("parts"))
-    texts = numbered.select(ROW, F.col("text").cast("binary").alias("data")).join(pairs.join(parts, "chunk"), ROW)
+    texts = numbered.select(F.col(row_).alias(ROW), F.col("text").cast("binary").alias("data")).join(pairs.join(parts, "chunk"), ROW)
     met = texts.select("chunk", F.pmod(F.xxhash64(ROW), F.col("parts")).cast("int").alias("part"), F.lit(None).cast("string").alias("item"), F.col(ROW).alias("row"), "data")
     own = items.join(parts, "chunk").select("chunk", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "item", F.lit(None).cast("long").alias("row"), F.col("words").alias("data"))
     dealt = own.unionByName(met).repartition(base.parts(docs.sparkSession), "chunk", "part").sortWithinPartitions("chunk", "part", F.col("row").asc_nulls_first())
     hits = base.saved(dealt.mapInArrow(_by_chunk, "row long, mask binary, items array<string>"), "hits")
-    by_row = hits.groupBy(F.col("row").alias(ROW)).agg(F.collect_list("mask").alias(CARRIED[0]), F.array_distinct(F.flatten(F.collect_list("items"))).alias(CARRIED[1]))
-    return numbered.join(by_row, ROW, "left").drop(ROW)
+    by_row = hits.groupBy(F.col("row").alias(row_)).agg(F.collect_list("mask").alias(masks_), F.array_distinct(F.flatten(F.collect_list("items"))).alias(items_))
+    return numbered.join(by_row, row_, "left").drop(row_)
 
 
 def _prepared(docs: DataFrame, benchmark: DataFrame, max_words: int) -> tuple[DataFrame, list[tuple[str, bytes]] | None]:
@@ -246,10 +268,10 @@ def _prepared(docs: DataFrame, benchmark: DataFrame, max_words: int) -> tuple[Da
     return docs, [(x.item, bytes(x.words)) for x in items.select("item", "words").collect()]
 
 
-def _judged(batch: pa.RecordBatch, machine: Automaton | None) -> list[tuple[bytes, int, np.ndarray, set]]:
+def _judged(batch: pa.RecordBatch, machine: Automaton | None, carried: tuple[str, str] = CARRIED) -> list[tuple[bytes, int, np.ndarray, set]]:
     """Text, number of words, hit mask and item ids of each row; without an automaton, as the row carries them."""
     out = []
-    masks, ids = ([None] * batch.num_rows,) * 2 if machine else [batch.column(c).to_pylist() for c in CARRIED]
+    masks, ids = ([None] * batch.num_rows,) * 2 if machine else [batch.column(c).to_pylist() for c in carried]
     for text, own, found in zip(base.text_bytes(batch), masks, ids, strict=True):
         words = words_of(text)
         if machine:
@@ -300,10 +322,11 @@ def clean(docs: DataFrame, benchmark: DataFrame, max_fraction: float = MAX_FRACT
     counted = "n_chars" in names and isinstance(schema["n_chars"].dataType, IntegralType)
 
     docs, items = _prepared(docs, benchmark, max_words)
+    carried = own_names(names)[1:]
 
     def run(batches):
         for batch in batches:
-            rows = _judged(batch, machine_of(items))
+            rows = _judged(batch, machine_of(items), carried)
             columns = {name: batch.column(i) for i, name in enumerate(names)}
             hit = [mask.any() for _, _, mask, _ in rows]
             if any(hit):
