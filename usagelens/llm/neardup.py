@@ -220,17 +220,12 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return base.map_batches(pairs.join(own("b").hint("merge"), "b").join(own("a").hint("merge"), "a").select("a", "b", "set_a", "set_b"), lambda: act, "a long, b long")
 
 
-SET_BYTES = 5  # of a shingle's hash in a packed set; sets are compared with each other only, of some thousand members
-
-
 def pack(hashes: np.ndarray) -> bytes:
-    return np.ascontiguousarray(hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SET_BYTES]).tobytes()
+    return hashes.astype("<u8").tobytes()
 
 
 def unpack(packed: bytes) -> np.ndarray:
-    wide = np.zeros((len(packed) // SET_BYTES, 8), np.uint8)
-    wide[:, :SET_BYTES] = np.frombuffer(packed, np.uint8).reshape(-1, SET_BYTES)
-    return wide.view("<u8").reshape(-1)
+    return np.frombuffer(packed, "<u8")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -337,7 +332,8 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     """One document of each component, with all its columns; of rows equal in id and text one stays."""
     kept = judge(docs).filter("kept").groupBy(F.col("doc_id").alias("kept_id")).agg((F.count(F.lit(1)) > 1).alias("repeated"))
     kept = base.saved(kept, "kept")
-    staying = lambda table: docs.join(table.select("kept_id"), docs["doc_id"].eqNullSafe(F.col("kept_id")), "left_semi")
+    same = F.col("d.doc_id").eqNullSafe(F.col("k.kept_id"))
+    staying = lambda table: docs.alias("d").join(table.select("kept_id").alias("k"), same, "left_semi")
     repeated = kept.filter("repeated")
     if repeated.isEmpty():
         return staying(kept)
