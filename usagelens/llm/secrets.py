@@ -119,12 +119,14 @@ def update(texts: DataFrame, path: str, rules: tuple[Rule, ...] = RULES) -> Data
 def findings(texts: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Every version (path, blob) with all findings of its blob under the given rules."""
     current = F.array(*[F.lit(r.version) for r in rules])
-    own = ledger.groupBy("blob").agg(F.flatten(F.collect_set("findings")).alias("all"))
+    # Scans that ran at once may both have listed a blob: a finding counts once.
+    own = ledger.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_set("findings"))).alias("all"))
     order = F.array(*[F.lit(r.kind) for r in rules])
     found = F.filter("all", lambda x: F.array_contains(current, x["rule"]))
     ordered = F.array_sort(F.transform(found, lambda x: F.struct(x["start"], F.array_position(order, x["kind"]).alias("at"), x["end"], x["kind"], x["rule"])))
     versions = texts.select("path", blob(F.col("text")).alias("blob"))
-    return versions.join(own.select("blob", ordered.alias("findings")), "blob", "left")
+    # Written first, so that both sides of the join are shuffled as they are and a blob with many versions can be split.
+    return versions.join(base.saved(own.select("blob", ordered.alias("findings")), "found"), "blob", "left")
 
 
 def digest(found: DataFrame) -> DataFrame:
