@@ -43,7 +43,10 @@ def saved_by(df: DataFrame, name: str, column: str) -> DataFrame:
     path = session.scratch_dir(spark, name)
     table = f"{name}_{uuid.uuid4().hex}"
     df.write.bucketBy(parts(spark), column).option("path", path).saveAsTable(table)
-    return spark.table(table)
+    written = spark.table(table)
+    # The name was needed for the buckets only; what has been read off the catalog stays, and so do the files.
+    spark.sql(f"DROP TABLE {table}")
+    return written
 
 
 def parts(spark: SparkSession) -> int:
