@@ -1,11 +1,12 @@
 """Operators for preparing training data at corpus scale.
 
-Functions of this package travel to the executors by value, so that a cluster
-need not have the package installed.
+Functions of this package travel to the executors by value, with those they use of
+the rest of the library, so that a cluster need not have it installed.
 """
 
 import sys
 
 from pyspark import cloudpickle
 
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+# The whole library: functions here refer to modules, which are sent as well.
+cloudpickle.register_pickle_by_value(sys.modules[__name__.partition(".")[0]])

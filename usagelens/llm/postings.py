@@ -239,13 +239,16 @@ def index(found: DataFrame) -> Graph | None:
 
 def listed(found: DataFrame, graph: Graph, choose, kind: str) -> DataFrame:
     """Rows (list, first, entry, vector, ...) for the lists that choose gives to each vector; first marks its nearest."""
-    told = found.sparkSession.sparkContext.broadcast(graph)
+    # At most CENTROID_BYTES and their neighbours: bounded, whatever the table's size.
+    told = found.sparkSession.sparkContext.broadcast((graph.centroids, graph.neighbours, graph.entries))
 
     def make():
+        graph = Graph(*told.value)
+
         def act(batch):
             vectors, lists = matrix(batch.column("vector"), np.float32), []
             for a in range(0, len(vectors), BLOCK):
-                lists += choose(told.value, vectors[a : a + BLOCK])
+                lists += choose(graph, vectors[a : a + BLOCK])
             place = pa.array(np.repeat(np.arange(len(lists)), [len(x) for x in lists]))
             first = [k == 0 for x in lists for k in range(len(x))]
             return [[k for x in lists for k in x], first, *(batch.column(c).take(place) for c in batch.schema.names)]

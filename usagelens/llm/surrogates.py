@@ -41,7 +41,6 @@ rows get the same result; an empty table gives no rows; extra columns are kept b
 from __future__ import annotations
 
 import bisect
-import functools
 import hmac
 import itertools
 import re
@@ -298,13 +297,15 @@ def script(text: str) -> str:
     return unicodedata.name(text[0], "LATIN").split()[0].partition("-")[0]
 
 
-@functools.cache
 def letters(of: str) -> str:
-    """Letters to draw from in a script; small ones if it has capitals."""
+    """Letters to draw from in a script; small ones if it has capitals. A worker keeps what it has looked up."""
     if of in ("LATIN", "CYRILLIC"):
         return "abcdefghijklmnopqrstuvwxyz" if of == "LATIN" else "аеиоу"
-    every = [c for c in map(chr, range(0x370, 0xFB00)) if c.isalpha() and not c.isupper() and re.fullmatch(rf"{of} (?:SMALL )?LETTER [A-Z]+", unicodedata.name(c, "")) and c.casefold() == c]
-    return LETTERS.get(of) or "".join(every) or letters("LATIN")
+    known = base.worker_state("letters")
+    if of not in known:
+        every = [c for c in map(chr, range(0x370, 0xFB00)) if c.isalpha() and not c.isupper() and re.fullmatch(rf"{of} (?:SMALL )?LETTER [A-Z]+", unicodedata.name(c, "")) and c.casefold() == c]
+        known[of] = LETTERS.get(of) or "".join(every) or letters("LATIN")
+    return known[of]
 
 
 def drawn_name(draw: Draw, of: str, gender: str, attempt: int) -> str:
