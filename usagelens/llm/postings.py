@@ -298,7 +298,8 @@ def answered(rows: DataFrame, asked: DataFrame, k: int) -> DataFrame:
     if graph is None:
         return spark.createDataFrame([], result)
     vectors = base.saved(listed(found, graph, assign, "list long, first boolean, entry long, vector array<double>, ids array<long>"), "postings")
-    single = base.saved(asked.groupBy("vector").agg(F.min("id").alias("query")).select("query", "vector"), "query_vectors")
+    # Numbered and written, so that a number stays with its vector; an id may have several.
+    single = base.saved(asked.select("vector").distinct().select(F.monotonically_increasing_id().alias("query"), "vector"), "query_vectors")
     probed = base.saved(listed(single, graph, probes, "list long, first boolean, query long, vector array<double>"), "probes")
     # A row for each list: their number is bounded with the centroids.
     sizes = {r.list: r["count"] for r in vectors.groupBy("list").count().collect()}
