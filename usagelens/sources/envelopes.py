@@ -187,13 +187,22 @@ def _not_given(value: Column) -> Column:
     return value.isNull() | F.to_json(value).isin("null", "0", "0.0", "false", '""', "[]", "{}")
 
 
-def event_seconds(event_time: Column, message: Column, envelope_time: Column) -> Column:
+def given_time(event_time: Column, message: Column) -> Column:
+    """The time a message gives in any other way than as a plain whole number, which ``event_time`` holds.
+
+    Only a message that names it, as it is or with escapes, is looked at again for it.
+    """
+    named = F.contains(message, F.lit("event_timestamp")) | F.contains(message, F.lit("\\u"))
+    looked_up = F.try_variant_get(F.try_parse_json(message), "$.event_timestamp", "variant")
+    return F.when(F.coalesce(event_time == 0, F.lit(True)) & named, looked_up)
+
+
+def event_seconds(event_time: Column, given: Column, envelope_time: Column) -> Column:
     """Epoch seconds of an event; NULL when neither source gives a usable number.
 
     The message's own time wins, in milliseconds above ten digits and in seconds
     otherwise. Only when it is absent does the envelope's (milliseconds) count.
-    ``event_time`` holds a plain whole number. A message that gives its time any
-    other way has it NULL here, and only then is the message looked at again.
+    ``event_time`` holds a plain whole number, ``given`` what :func:`given_time` has found.
     """
 
     def scaled(n: Column) -> Column:
@@ -203,8 +212,7 @@ def event_seconds(event_time: Column, message: Column, envelope_time: Column) ->
         arrival = F.floor(F.when(envelope_time.isNull(), F.lit(0)).otherwise(_whole(envelope_time)) / 1000)
         return F.when(_not_given(value), arrival).otherwise(let(_whole(value), scaled))
 
-    given = F.try_variant_get(F.try_parse_json(message), "$.event_timestamp", "variant")
-    seconds = F.when(event_time != 0, scaled(event_time)).otherwise(let(given, odd))
+    seconds = F.when(event_time != 0, scaled(event_time)).otherwise(odd(given))
     return let(seconds, lambda s: F.when(s.between(_MIN_SECOND, _MAX_SECOND), s))
 
 
@@ -251,11 +259,9 @@ def conform_keys(df: DataFrame, table: str = "chat_logs", include_content: bool
     carried = [c for c in df.columns if c not in used]
     type_value = F.coalesce(f["logType"], f["log_type"])
     message_type = F.when(type_value.isNull(), UNKNOWN).otherwise(F.try_variant_get(type_value, "$", "string"))
-    # A time not given as a plain whole number is looked up again, for those rows only.
-    given = F.try_variant_get(F.try_parse_json("message"), "$.event_timestamp", "bigint")
     special = {
         "account_id": F.coalesce(f["accountId"], f["account_id"]),
-        "event_timestamp": F.coalesce(f["event_timestamp"], given),
+        "event_timestamp": F.coalesce(f["event_timestamp"], F.try_variant_get("_given", "$", "bigint")),
     }
     kinds = {c.name: c.dataType for c in schemas.feed(table, include_content).data}
     names = _payload_fields(table, include_content)
@@ -267,9 +273,8 @@ def conform_keys(df: DataFrame, table: str = "chat_logs", include_content: bool
         .when(F.col("_seconds").isNull(), "bad_event_time")
         .when(reduce(Column.__or__, misfits, F.lit(False)), "bad_value")
     )
-    timed = bind(
-        df, _seconds=event_seconds(f["event_timestamp"], F.col("message"), F.col("envelope_time"))
-    )
+    looked_up = bind(df, _given=given_time(f["event_timestamp"], F.col("message")))
+    timed = bind(looked_up, _seconds=event_seconds(f["event_timestamp"], F.col("_given"), F.col("envelope_time")))
     return timed.select(
         *carried,
         second_text(F.col("_seconds")).alias("timestamp"),
@@ -319,7 +324,8 @@ def _event_survives(event: Column) -> Column:
 
     def outcome(parsed: Column) -> Column:
         readable = parsed.isNotNull() | ~_is_other_json(message)
-        return readable & event_seconds(parsed["event_timestamp"], message, event["timestamp"]).isNotNull()
+        own = parsed["event_timestamp"]
+        return readable & let(given_time(own, message), lambda given: event_seconds(own, given, event["timestamp"])).isNotNull()
 
     return let(one_object(message, _TIME_ONLY), outcome)
 
