@@ -172,6 +172,20 @@ def test_alignment_equals_plain_version(docs, rows, size, fan, page_links):
     assert sum(x[1] > 0 for x in got) > 60
 
 
+def test_a_task_of_alignment_has_one_worker(docs, monkeypatch):
+    """Pages are filled where documents are aligned: no Python step feeds another in a task."""
+    plans, saved = {}, base.saved
+
+    def watch(df, name, **options):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        return saved(df, name, **options)
+
+    monkeypatch.setattr(base, "saved", watch)
+    alignment.judge(docs, 700, 2, 200)
+    steps = [len(line) - len(line.lstrip(" :+-")) for line in plans["aligned"] if "MapInArrow" in line]
+    assert len(steps) == 2 and steps[0] == steps[1]  # short and long texts, side by side
+
+
 def test_fragments_compose_in_any_grouping():
     t = alignment.tokenizers()
     r = random.Random(3)

@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -327,50 +327,53 @@ def reduce_tree(parts: DataFrame, longest: int, fan: int = FAN) -> DataFrame:
 # --- Documents and pages ----------------------------------------------------------
 
 
-def aligned(docs: DataFrame, size: int = CHUNK_BYTES, fan: int = FAN) -> DataFrame:
-    """A row for each document: its numbers, the digest of its groups, its linked pairs and their times."""
+def aligned(docs: DataFrame, size: int = CHUNK_BYTES, fan: int = FAN, n_links: int = PAGE_LINKS) -> DataFrame:
+    """Pages of documents: for each document its numbers, the digest of its groups, its linked pairs and their times."""
 
     def short():
         t = tokenizers()
 
         def act(batch):
-            rows = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 found = INVALID
                 if text:
                     a, b, same = t.both(f" {text}")
                     if same:
                         found = fragment(a, b, np.cumsum(t.size_a[a]), np.cumsum(t.size_b[b]), t, True)
-                rows.append([doc, *whole(found)])
-            return list(zip(*rows, strict=True))
+                yield doc, *whole(found)
 
         return act
 
     def finish():
-        return lambda batch: list(zip(*([r["doc_id"], *whole(unpacked(r))] for r in batch.to_pylist()), strict=True))
+        return lambda batch: ((r["doc_id"], *whole(unpacked(r))) for r in batch.to_pylist())
 
     docs = docs.select("doc_id", "text")
     is_long = F.octet_length("text") >= size
-    done = base.map_batches(docs.filter(~F.coalesce(is_long, F.lit(False))), short, DOCUMENTS)
+    done = pages(docs.filter(~F.coalesce(is_long, F.lit(False))), short, n_links)
     chunks = base.saved(cut(docs.filter(is_long), size), "chunks", compression="zstd")
     longest = chunks.agg(F.max("chunk")).first()[0]
-    if longest is None:
-        return done
-    spread = fragments(chunks.repartition(base.parts(docs.sparkSession), "row", "chunk"))
-    whole_texts = reduce_tree(base.saved(spread, "fragments"), longest + 1, fan)
-    return done.unionByName(base.map_batches(whole_texts, finish, DOCUMENTS))
+    if longest is not None:
+        spread = fragments(chunks.repartition(base.parts(docs.sparkSession), "row", "chunk"))
+        whole_texts = reduce_tree(base.saved(spread, "fragments"), longest + 1, fan)
+        done = done.unionByName(pages(whole_texts, finish, n_links))
+    return base.saved(done, "aligned", compression="zstd")
+
 
+def pages(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterator[tuple]]], n_links: int) -> DataFrame:
+    """Documents in pages: rows that hold about n_links linked pairs.
 
-def pages(documents: DataFrame, n_links: int = PAGE_LINKS) -> DataFrame:
-    """Documents in pages: rows that hold about n_links linked pairs."""
+    ``make()`` returns a function that yields the documents of a batch. They go into
+    their pages in the worker that makes them, so that a task has one worker.
+    """
     types = base.arrow_schema(StructType.fromDDL(PAGES))
+    names = StructType.fromDDL(DOCUMENTS).fieldNames()
 
     def run(batches: Iterator[pa.RecordBatch]):
-        held, size, count = [], 0, 0
+        act, held, size, count = make(), [], 0, 0
         for batch in batches:
-            for r in batch.to_pylist():
-                held.append(r)
-                size += len(r["keys"]) // 8
+            for document in act(batch):
+                held.append(dict(zip(names, document, strict=True)))
+                size += len(held[-1]["keys"]) // 8
                 if size >= n_links:
                     count += 1
                     yield base.record_batch([[base.page_number(count)], [held]], types)
@@ -378,7 +381,7 @@ def pages(documents: DataFrame, n_links: int = PAGE_LINKS) -> DataFrame:
         if held:
             yield base.record_batch([[base.page_number(count + 1)], [held]], types)
 
-    return base.saved(documents.mapInArrow(run, StructType.fromDDL(PAGES)), "aligned", compression="zstd")
+    return df.mapInArrow(run, StructType.fromDDL(PAGES))
 
 
 def posts(paged: DataFrame) -> DataFrame:
@@ -409,7 +412,7 @@ def pair_counts(posted: DataFrame) -> DataFrame:
 
 def judge(docs: DataFrame, size: int = CHUNK_BYTES, fan: int = FAN, page_links: int = PAGE_LINKS) -> DataFrame:
     """Each document's alignment, and how common its links are over the corpus."""
-    paged = pages(aligned(docs, size, fan), page_links)
+    paged = aligned(docs, size, fan, page_links)
     posted = base.saved(posts(paged), "posts", compression="zstd")
     wanted = posted.select("page", F.explode("keys").alias("key"))
     # A page's pairs come back to it: no more than it has posted.
