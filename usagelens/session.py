@@ -21,11 +21,26 @@ REQUIRED = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+# Upper bounds. Gzipped files take many times their size when a task has read them.
+AT_MOST = {
+    "spark.sql.files.maxPartitionBytes": 16 << 20,
+}
+_UNITS = {"": 0, "k": 10, "m": 20, "g": 30, "t": 40, "p": 50}
+
+
+def size(text: str) -> int:
+    """A setting such as 64, 64b, 16m or 16mb as a number."""
+    number, unit = re.fullmatch(r"\s*(-?\d+)\s*([kmgtp]?)b?\s*", text.lower()).groups()
+    return int(number) << _UNITS[unit]
+
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the run-time settings the library relies on."""
+    """Pin the run-time settings the library relies on; a session that has set less than an upper bound keeps it."""
     for key, value in REQUIRED.items():
         spark.conf.set(key, value)
+    for key, most in AT_MOST.items():
+        if not 0 < size(spark.conf.get(key)) <= most:
+            spark.conf.set(key, str(most))
     return spark
 
 

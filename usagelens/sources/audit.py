@@ -121,6 +121,27 @@ def fate() -> Column:
     return F.when(~_is_valid(), envelopes.FAILED).when(F.coalesce(_is_watched(), F.lit(False)), envelopes.OK).otherwise(envelopes.DROPPED)
 
 
+def kept_parts(read: DataFrame) -> DataFrame:
+    """Decoded records with their ``fate``, and of each what is still to be written.
+
+    That is the event where it is landed, with the payload where :func:`flatten_audit`
+    looks into it for nulls, and the record as it came where it failed.
+    """
+    landed = F.col("fate") == envelopes.OK
+    return read.withColumn("fate", fate()).withColumns(
+        {
+            "data": F.when(F.col("fate") == envelopes.FAILED, F.col("data")),
+            "payload": F.when(landed & _may_hold_null(), F.col("payload")),
+            "event": F.when(landed, F.col("event")),
+        }
+    )
+
+
+def _may_hold_null() -> Column:
+    """Only an event that has the word can have given a field as null."""
+    return F.contains("payload", F.lit("null"))
+
+
 def invalid(read: DataFrame) -> DataFrame:
     """Records that are no audit event."""
     return read.filter(~_is_valid())
@@ -135,8 +156,8 @@ def flatten_audit(df: DataFrame, ingest_date: Column, carry: Sequence[str] = ())
     the same rows.
     """
     detail = F.col("event")["detail"]
-    # Only an event that has the word can have given a field as null; which ones, its keys tell.
-    detail_text = F.when(F.contains("payload", F.lit("null")), F.get_json_object("payload", "$.detail"))
+    # Which fields are given as null, their keys tell.
+    detail_text = F.when(_may_hold_null(), F.get_json_object("payload", "$.detail"))
     keys = F.json_object_keys(detail_text)
     identity_keys = F.json_object_keys(F.get_json_object(detail_text, "$.userIdentity"))
 

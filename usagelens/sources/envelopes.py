@@ -347,6 +347,18 @@ def with_result(read: DataFrame) -> DataFrame:
     return read.withColumn("result", result)
 
 
+def kept_parts(read: DataFrame) -> DataFrame:
+    """Of each record what is still to be written: its text where that is kept as it came, its events where they are landed."""
+    kind = F.col("kind")
+    return read.withColumns(
+        {
+            "data": F.when(kind == "unreadable", F.col("data")),
+            "payload": F.when(kind == "passthrough", F.col("payload")),
+            "envelope": F.when(kind == "events", F.col("envelope")),
+        }
+    )
+
+
 def route_records(df: DataFrame) -> DataFrame:
     """Add ``kind`` and ``result``: the fate of each delivered record, its ``data`` untouched."""
     return with_result(read_envelopes(decode_envelopes(df))).select(*df.columns, "kind", "result")

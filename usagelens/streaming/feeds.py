@@ -92,7 +92,8 @@ def ingest_logs(
     prefix = schemas.feed(table).prefix
 
     def write(batch: DataFrame, name: str) -> None:
-        read = envelopes.with_result(envelopes.read_envelopes(envelopes.decode_envelopes(batch))).persist()
+        routed = envelopes.with_result(envelopes.read_envelopes(envelopes.decode_envelopes(batch)))
+        read = envelopes.kept_parts(routed).persist()
         events = envelopes.transform_envelopes(read.drop("result"), table, include_content).persist()
         records, rows = Observation(), Observation()
         try:
@@ -123,13 +124,13 @@ def ingest_audit(
     prefix = schemas.PREFIXES["cloudtrail_events"]
 
     def write(batch: DataFrame, name: str) -> None:
-        read = audit.read_audit_records(batch).persist()
+        read = audit.kept_parts(audit.read_audit_records(batch)).persist()
         records = Observation()
         try:
             flat = audit.flatten_audit(audit.filter_audit_feed(read), F.col("arrival"), carry=["arrival"])
             _write_batch(flat, f"{root}/{prefix}", name)
-            routed = read.observe(records, *_fates(audit.fate()), F.lit(0).cast("long").alias("unparseable"))
-            failed = audit.invalid(routed).select("record_id", "data")
+            routed = read.observe(records, *_fates(F.col("fate")), F.lit(0).cast("long").alias("unparseable"))
+            failed = routed.filter(F.col("fate") == envelopes.FAILED).select("record_id", "data")
             _write_errors(failed, root, "cloudtrail_events", "records", name)
             _write_report(batch.sparkSession, records.get, root, "cloudtrail_events", name)
         finally:

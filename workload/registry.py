@@ -22,6 +22,7 @@ AS_OF = dt.datetime(2024, 1, 20, 12, 0, 0)
 RANGE = dt.date(2024, 1, 5), dt.date(2024, 1, 12)
 INGEST_DATE = dt.date(2024, 2, 1)
 LIMIT_GB = 0.05
+FILE_RECORDS = 50_000  # a gzipped file is one task's to read
 MASKED = list(masking.PATTERNS)
 
 
@@ -816,7 +817,7 @@ def _(x):
 
 def _delivered_files(x: Inputs, records: DataFrame, name: str) -> str:
     path = x.scratch(name)
-    records.write.option("compression", "gzip").json(path)
+    records.write.option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).json(path)
     return path
 
 
