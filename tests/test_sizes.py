@@ -3,6 +3,7 @@
 import datetime as dt
 import glob
 import gzip
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -89,3 +90,26 @@ def test_a_kept_batch_of_audit_records_holds_what_is_written(spark, sf_dir, fold
     found = feeds.ingest_days(spark, f"{folder}/lake", "cloudtrail_events").select("ok", "dropped", "failed").collect()
     fates = [decoded.filter(audit.fate() == f).count() for f in (envelopes.OK, envelopes.DROPPED, envelopes.FAILED)]
     assert [tuple(r) for r in found] == [tuple(fates)] and min(fates) > 0
+
+
+def test_feeds_land_side_by_side(spark, sf_dir, monkeypatch):
+    both, land = threading.Barrier(2, timeout=60), lake.land
+
+    def watch(*args):
+        both.wait()
+        land(*args)
+
+    monkeypatch.setattr(lake, "land", watch)
+    names = ["feedback_logs", "agent_hours_logs"]
+    x = registry.Inputs(spark, sf_dir)
+    root = x.landed(*names)
+    for name in names:
+        assert lake.read_raw(spark, root, name).count() == x.table(name).count()
+
+
+def test_a_feed_that_does_not_land_is_told(spark, sf_dir, folder):
+    x = registry.Inputs(spark, sf_dir)
+    broken = x.table("feedback_logs").withColumn("rating", F.raise_error(F.lit("no such thing")).cast("string"))
+    with pytest.raises(ExceptionGroup, match="feeds not landed: feedback_logs"):
+        lake.land_feeds({"feedback_logs": broken, "agent_hours_logs": x.table("agent_hours_logs")}, folder)
+    assert lake.read_raw(spark, folder, "agent_hours_logs").count() == x.table("agent_hours_logs").count()

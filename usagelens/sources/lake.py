@@ -9,7 +9,7 @@ lines that hold no JSON object are left out of the rows and set apart by ``curat
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -341,28 +341,22 @@ class Outcome:
     error: Exception | None = None
 
 
-def curate_feeds(
-    spark: SparkSession, raw_root: str, curated_root: str, include_content: bool = False, tables: Iterable[str] = schemas.TABLES
-) -> list[Outcome]:
-    """Curate feeds side by side, each in a scheduler pool of its own; a feed that fails doesn't stop the others.
+def side_by_side(spark: SparkSession, work: Callable[[str], bool], tables: Iterable[str]) -> list[Outcome]:
+    """Do something for each feed at once, each in a scheduler pool of its own; a feed that fails doesn't stop the others.
 
     The pools share the cluster evenly where its scheduler is fair
     (``spark.scheduler.mode``); else the first feed's tasks go first.
     """
+    tables, found = list(tables), {}
 
-    def run(table: str) -> Outcome:
+    def run(table: str) -> None:
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", table)
         try:
-            return Outcome(table, curate(spark, raw_root, curated_root, table, include_content))
+            found[table] = Outcome(table, work(table))
         except Exception as error:  # whatever it is, it is this feed's alone
-            return Outcome(table, False, error)
-
-    tables, found = list(tables), {}
+            found[table] = Outcome(table, False, error)
 
-    def keep(table: str) -> None:
-        found[table] = run(table)
-
-    threads = [InheritableThread(target=keep, args=(t,), session=spark) for t in tables]
+    threads = [InheritableThread(target=run, args=(t,), session=spark) for t in tables]
     for thread in threads:
         thread.start()
     for thread in threads:
@@ -370,15 +364,37 @@ def curate_feeds(
     return [found[t] for t in tables]
 
 
+def checked(outcomes: list[Outcome], what: str) -> dict[str, bool]:
+    """Whether each feed had rows; the errors of those that failed, raised together."""
+    errors = [o.error for o in outcomes if o.error]
+    if errors:
+        raise ExceptionGroup(f"feeds not {what}: {', '.join(o.table for o in outcomes if o.error)}", errors)
+    return {o.table: o.curated for o in outcomes}
+
+
+def land_feeds(frames: dict[str, DataFrame], root: str) -> None:
+    """Land the rows of several feeds side by side; errors are raised together once every feed has had its turn."""
+
+    def work(table: str) -> bool:
+        land(frames[table], _path(root, schemas.PREFIXES[table]))
+        return True
+
+    if frames:
+        checked(side_by_side(next(iter(frames.values())).sparkSession, work, frames), "landed")
+
+
+def curate_feeds(
+    spark: SparkSession, raw_root: str, curated_root: str, include_content: bool = False, tables: Iterable[str] = schemas.TABLES
+) -> list[Outcome]:
+    """Curate feeds side by side; a feed that fails doesn't stop the others."""
+    return side_by_side(spark, lambda table: curate(spark, raw_root, curated_root, table, include_content), tables)
+
+
 def curate_all(
     spark: SparkSession, raw_root: str, curated_root: str, include_content: bool = False
 ) -> dict[str, bool]:
     """Curate all feeds; whether each had rows. Errors are raised together once every feed has had its turn."""
-    outcomes = curate_feeds(spark, raw_root, curated_root, include_content)
-    errors = [o.error for o in outcomes if o.error]
-    if errors:
-        raise ExceptionGroup(f"feeds not curated: {', '.join(o.table for o in outcomes if o.error)}", errors)
-    return {o.table: o.curated for o in outcomes}
+    return checked(curate_feeds(spark, raw_root, curated_root, include_content), "curated")
 
 
 def register_tables(spark: SparkSession, frames: dict[str, DataFrame]) -> None:

@@ -67,8 +67,7 @@ class Inputs:
     def landed(self, *names: str) -> str:
         """Land the named tables as raw JSON; returns the root."""
         root = self.scratch("landed")
-        for name in names:
-            lake.land(self.table(name), f"{root}/{schemas.PREFIXES[name]}")
+        lake.land_feeds({name: self.table(name) for name in names}, root)
         return root
 
 
