@@ -21,9 +21,11 @@ REQUIRED = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
-# Upper bounds. Gzipped files take many times their size when a task has read them.
+# Upper bounds, in bytes or rows. Gzipped files take many times their size when a task has
+# read them, and a row that goes to Python may be a whole delivered payload.
 AT_MOST = {
     "spark.sql.files.maxPartitionBytes": 16 << 20,
+    "spark.sql.execution.arrow.maxRecordsPerBatch": 1000,
 }
 _UNITS = {"": 0, "k": 10, "m": 20, "g": 30, "t": 40, "p": 50}
 
