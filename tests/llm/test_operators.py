@@ -8,6 +8,7 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import duckdb
@@ -441,6 +442,39 @@ def test_near_duplicates(docs, rows):
     assert left.columns == docs.columns and sorted(x.doc_id for x in left.collect()) == sorted(i for i, v in label.items() if i == v)
 
 
+def test_shingles_take_memory_by_chunk():
+    r = random.Random(8)
+    texts = [" ".join(word(r) for _ in range(300)).encode() for _ in range(1500)] + [b"", b"one two"]
+    tracemalloc.start()
+    found = neardup.shingles(texts)
+    kept, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert sum(map(len, texts)) > 12 * neardup.CHUNK_BYTES and peak - kept < 16 << 20
+    assert all((a == neardup.shingles([t])[0]).all() for a, t in zip(found, texts, strict=True))
+
+
+def test_local_tables_start_no_python_worker(spark):
+    columns = [[3, 1, 3], [1, 2, None]]
+    table = base.local_table(spark, columns, "id long, bits int")
+    assert [tuple(x) for x in table.collect()] == list(zip(*columns, strict=True))
+    empty = base.local_table(spark, [[], []], "node long, label long")
+    assert empty.dtypes == [("node", "bigint"), ("label", "bigint")] and empty.isEmpty()
+    for x in (table, empty):  # rows from Python show as a scan of an RDD
+        assert "LocalTableScan" in (plan := x._jdf.queryExecution().executedPlan().toString()) and "RDD" not in plan
+
+
+def test_components_scan_no_rows_from_python(spark, monkeypatch):
+    plans, save = [], base.saved
+
+    def noted(df, name, **options):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return save(df, name, **options)
+
+    monkeypatch.setattr(base, "saved", noted)
+    found = base.components(spark.range(4).selectExpr("id AS a", "id + 1 AS b"))
+    assert sorted(map(tuple, found.collect())) == [(i, 0) for i in range(5)] and not any("LogicalRDD" in x for x in plans)
+
+
 def test_stated_miss_rate():
     n, p = neardup.COORDINATES, neardup.PERCENT / 100
     missed = sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(neardup.COLLISIONS))

@@ -84,6 +84,13 @@ def record_batch(columns: list, types: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=types)
 
 
+def local_table(spark: SparkSession, columns: list, schema: str) -> DataFrame:
+    """A small table of the driver's columns. It comes as Arrow: from rows, Spark starts Python workers of another kind
+    on every executor, with a daemon of their own that stays."""
+    fields = StructType.fromDDL(schema)
+    return spark.createDataFrame(pa.Table.from_batches([record_batch(columns, arrow_schema(fields))]), fields)
+
+
 def worker_state(name: str) -> dict:
     """A dictionary that a Python worker keeps from task to task."""
     return sys.modules.setdefault(f"usagelens_state_{name}", types.ModuleType(name)).__dict__
@@ -231,7 +238,7 @@ def components(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """
     spark = links.sparkSession
     if labels is None:
-        labels = spark.createDataFrame([], "node long, label long")
+        labels = local_table(spark, [[], []], "node long, label long")
     nodes = nodes_of(links)
     labels = saved(labels.unionByName(nodes.join(labels, "node", "left_anti").withColumn("label", F.col("node"))), "labels")
     links = saved(links.select("a", "b").distinct(), "links")

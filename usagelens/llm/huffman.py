@@ -282,7 +282,7 @@ def write_blocks(tokens: DataFrame, path: str) -> None:
     """Write codes, shards and blocks under path; tokens is a saved table."""
     spark = tokens.sparkSession
     ids, bits = make_code(tokens)
-    spark.createDataFrame(list(zip(ids.tolist(), bits.tolist(), strict=True)), CODES).coalesce(1).write.parquet(f"{path}/codes")
+    base.local_table(spark, [ids.tolist(), bits.tolist()], CODES).coalesce(1).write.parquet(f"{path}/codes")
     cuts = shard_bounds(tokens, base.parts(spark))
     # Shard k holds the ids from cut k-1 up to below cut k; nulls go to shard 0.
     bounds = F.array(*[F.lit(c).cast("long") for c in cuts]) if cuts else F.array().cast("array<long>")

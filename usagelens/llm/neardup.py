@@ -28,6 +28,7 @@ text has an id; an empty table gives no rows; extra columns are kept by ``dedupl
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +47,8 @@ TURNS = 2
 BLOCK = 512
 COLUMNS = 4096  # shingles of two blocks that are compared at once
 PAGE_ROWS = 1024
+# Texts are hashed together up to so many bytes; a longer text is hashed alone. A byte takes some 60 while it is hashed.
+CHUNK_BYTES = 128 << 10
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _SPACE = np.zeros(256, bool)
@@ -55,8 +58,24 @@ _FACTORS = np.random.default_rng(20240131).integers(1 << 62, 1 << 63, COORDINATE
 SIGNED = "doc_id long, n_shingles long, set_id binary, signature binary"
 
 
+def chunks(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """Texts in order, cut into lists of CHUNK_BYTES at most or of one text."""
+    start, total = 0, 0
+    for i, text in enumerate(texts):
+        if i > start and total + len(text) > CHUNK_BYTES:
+            yield texts[start:i]
+            start, total = i, 0
+        total += len(text)
+    if texts:
+        yield texts[start:]
+
+
 def shingles(texts: list[bytes]) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
+    return [x for chunk in chunks(texts) for x in _shingles(chunk)]
+
+
+def _shingles(texts: list[bytes]) -> list[np.ndarray]:
     data = np.frombuffer(b"\n".join([*texts, b""]).translate(_LOWER), np.uint8)
     starts, ends = base.spans_of(~_SPACE[data])
     words = base.Rolling(data)(starts, ends)
